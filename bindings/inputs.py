@@ -15,8 +15,14 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self._read(name)
+        return self._tables[name]
+
+    def _read(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         times = {f.name: F.col(f.name).cast("timestamp") for f in df.schema if f.dataType.typeName() == "timestamp_ntz"}
         return df.withColumns(times) if times else df
