@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from bindings import retail, freight  # noqa: F401
+from bindings import freight, retail, themes  # noqa: F401
 from bindings.register import ORACLES, QUERIES  # noqa: F401

@@ -12,6 +12,7 @@ from bindings.inputs import Inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+SOURCE: dict[str, str] = {}
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -38,6 +39,7 @@ def query(sql: str | None = None, name: str | None = None):
         key = name or fn.__name__
         assert key not in QUERIES, key
         QUERIES[key] = lambda spark, sf_dir: plain(fn(Inputs(spark, sf_dir)))
+        SOURCE[key] = fn.__module__
         if sql is not None:
             ORACLES[key] = with_ctes(sql)
         return fn

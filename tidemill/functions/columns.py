@@ -37,7 +37,12 @@ def money(column: Column | str) -> Column:
 def ratio(part: Column | str, whole: Column | str, digits: int = 4) -> Column:
     """part / whole rounded, 0.0 where the whole is missing or not positive."""
     p, w = as_col(part).cast("double"), as_col(whole).cast("double")
-    return F.coalesce(F.when(w > 0, F.round(p / w, digits)), F.lit(0.0))
+    return F.when(w > 0, F.round(p / w, digits)).otherwise(F.lit(0.0))
+
+
+def ratio_or_null(part: Column | str, whole: Column | str, digits: int = 4) -> Column:
+    """part / whole rounded, NULL where the whole is missing or 0."""
+    return F.round(mean(part, whole), digits)
 
 
 def ratio_over_one(part: Column | str, whole: Column | str, digits: int = 4) -> Column:
