@@ -40,6 +40,14 @@ def ratio(part: Column | str, whole: Column | str, digits: int = 4) -> Column:
     return F.when(w > 0, F.round(p / w, digits)).otherwise(F.lit(0.0))
 
 
+def amount_per(amount: Column | str, count: Column | str) -> Column:
+    """Amount per unit to whole cents, halves up, worked in integers so that no half is lost to DOUBLE."""
+    cents = (as_col(amount).cast("decimal(28,2)") * 100).cast("decimal(30,0)")
+    n = as_col(count).cast("decimal(20,0)")
+    halves_up = F.call_function("div", 2 * cents + n, F.when(n > 0, 2 * n))
+    return F.when(n > 0, (halves_up * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(20,2)")).otherwise(F.lit(0))
+
+
 def ratio_or_null(part: Column | str, whole: Column | str, digits: int = 4) -> Column:
     """part / whole rounded, NULL where the whole is missing or 0."""
     return F.round(mean(part, whole), digits)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import Day, band, count_where, day, flag, ratio, zero_if_null
+from tidemill.functions.columns import Day, amount_per, band, count_where, day, flag, ratio, zero_if_null
 from tidemill.operators.joins import lookup
 from tidemill.operators.ordered import HOT_ROWS, row_numbers
 
@@ -118,8 +118,8 @@ def product_efficiency_overview(visit: DataFrame, fav: DataFrame, cart: DataFram
         "order_rate": ratio("order_user_cnt", "uv"),
         "fav_rate": ratio("fav_user_cnt", "uv"),
         "cart_rate": ratio("cart_user_cnt", "uv"),
-        "item_per_pay_user": ratio("pay_total_amt", "pay_user_cnt", 2),
-        "visitor_value": ratio("pay_total_amt", "uv", 2),
+        "item_per_pay_user": amount_per("pay_total_amt", "pay_user_cnt"),
+        "visitor_value": amount_per("pay_total_amt", "uv"),
     })
 
 
