@@ -174,7 +174,7 @@ def cdc_dims_by_config(i: Inputs):
 
 @query(_DIMS)
 def stream_cdc_dims_by_config(i: Inputs):
-    table = jobs.dim_upsert_job(dim_envelopes(i, live=True), lambda: cdc.dim_rules(i.spark), scratch(i.spark, "dims"))
+    table = jobs.dim_upsert_job(dim_envelopes(i, live=True), lambda: cdc.dim_rules(i.spark), scratch(i.spark, "dims"), buckets=8)
     return _columns_text(jobs.live_dims(table, cdc.dim_rules(i.spark)))
 
 
@@ -202,7 +202,7 @@ def cdc_order_wide(i: Inputs):
 
 @query(_WIDE)
 def stream_cdc_order_wide(i: Inputs):
-    return jobs.order_wide_job(all_envelopes(i, live=True), scratch(i.spark, "order-wide"))
+    return jobs.order_wide_job(all_envelopes(i, live=True), scratch(i.spark, "order-wide"), buckets=8)
 
 
 @query("""
@@ -292,19 +292,16 @@ _DIM_COLS = """
 
 
 @query(f"""
-WITH t AS (SELECT list(DISTINCT p_type ORDER BY p_type) AS names FROM part),
-o AS (SELECT o_orderkey AS order_id, o_custkey AS user_key, o_orderkey % 3000 AS sku_key, names[o_orderkey % (len(names) + 1) + 1] AS category3_id, o_orderkey % 30 AS prov_key FROM orders, t)
-SELECT order_id, user_key || '' AS user_id, sku_key || '' AS sku_id, o.category3_id, prov_key || '' AS province, 'click' AS page_id, {_DIM_COLS},
-       n_nationkey || '' AS province_id, n_name AS province_name, 'click' AS page_id_page_id, 'CLICK' AS page_id_page_name
-FROM o LEFT JOIN customer ON c_custkey = user_key LEFT JOIN part ON p_partkey = sku_key LEFT JOIN d_cat d ON d.c3 = o.category3_id LEFT JOIN nation ON n_nationkey = prov_key
+SELECT o_orderkey AS order_id, o_custkey || '' AS user_id, (o_orderkey % 3000) || '' AS sku_id, p.p_type AS category3_id, (o_orderkey % 30) || '' AS province, o_orderpriority AS page_id,
+       {_DIM_COLS.replace('p_type AS', 'p.p_type AS')}, n_nationkey || '' AS province_id, n_name AS province_name, cast(NULL as varchar) AS page_id_page_id, cast(NULL as varchar) AS page_id_page_name
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN part p ON p_partkey = o_orderkey % 3000 LEFT JOIN d_cat d ON d.c3 = p.p_type LEFT JOIN nation ON n_nationkey = o_orderkey % 30
 """)
 def enrich_orders(i: Inputs):
-    names = i.table("part").agg(F.sort_array(F.collect_set("p_type"))).scalar()  # six names
-    o = i.table("orders")
+    kinds = i.table("part").select(F.col("p_partkey").alias("pk"), F.col("p_type").alias("category3_id"))
     k = F.col("o_orderkey")
-    rows = o.select(
-        k.alias("order_id"), F.col("o_custkey").cast("string").alias("user_id"), (k % 3000).cast("string").alias("sku_id"),
-        F.get(names, (k % (F.size(names) + 1)).cast("int")).alias("category3_id"), (k % 30).cast("string").alias("province"), F.lit("click").alias("page_id"))
+    rows = i.table("orders").join(kinds, k % 3000 == F.col("pk"), "left").select(
+        k.alias("order_id"), F.col("o_custkey").cast("string").alias("user_id"), (k % 3000).cast("string").alias("sku_id"), "category3_id",
+        (k % 30).cast("string").alias("province"), F.col("o_orderpriority").alias("page_id"))
     return enrich.enrich_orders(rows, dims(i))
 
 

@@ -167,7 +167,7 @@ def fix_is_new(i: Inputs):
 
 @query(_FIX)
 def stream_fix_is_new(i: Inputs):
-    return flat_log(jobs.fix_is_new_job(app_log(i, live=True), scratch(i.spark, "fix-is-new")), "ts")
+    return flat_log(jobs.fix_is_new_job(app_log(i, live=True), scratch(i.spark, "fix-is-new"), buckets=8), "ts")
 
 
 def unified(i: Inputs, live: bool = False):
@@ -372,7 +372,7 @@ def province_stats(i: Inputs):
 
 @query(_PROVINCE)
 def stream_province_stats(i: Inputs):
-    return jobs.province_stats_job(enriched_orders(i, live=True), scratch(i.spark, "province-stats"))
+    return jobs.province_stats_job(enriched_orders(i, live=True), scratch(i.spark, "province-stats"), buckets=8)
 
 
 # alerts
@@ -446,7 +446,7 @@ def user_behaviour_stats(i: Inputs):
 
 @query(_BEH)
 def stream_user_behaviour_stats(i: Inputs):
-    return jobs.behaviour_stats_job(behaviour(i, live=True), scratch(i.spark, "behaviour-stats"))
+    return jobs.behaviour_stats_job(behaviour(i, live=True), scratch(i.spark, "behaviour-stats"), buckets=8)
 
 
 def _funnel(limit: str) -> str:
@@ -553,7 +553,7 @@ def dedup_newer_only(i: Inputs):
 
 @query(_NEWER)
 def stream_dedup_newer_only(i: Inputs):
-    return jobs.newer_only_job(arriving(i, live=True), ["user_id"], ["order_id"], scratch(i.spark, "newer-only"))
+    return jobs.newer_only_job(arriving(i, live=True), ["user_id"], ["order_id"], scratch(i.spark, "newer-only"), buckets=8)
 
 
 @query("""

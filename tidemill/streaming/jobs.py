@@ -7,12 +7,13 @@ id, so a batch that is run again after a failure gives the same tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.sources.keyed import KeyedTable
+from tidemill.sources.keyed import BUCKETS, KeyedTable
 from tidemill.sources.schemas import ORDER_ROW
 from tidemill.sources.streams import run_each_batch
 from tidemill.streaming import cdc, dedup, logs, users
@@ -24,8 +25,10 @@ def _fields(spec: str) -> T.StructType:
 class Sums:
     """Totals per key kept as one partial row per key and batch; the partial rows are merged on read."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], merge: Callable[[DataFrame], DataFrame]):
-        self.table = KeyedTable(spark, path, T.StructType([*schema.fields, T.StructField("part", T.LongType())]), [*keys, "part"], ["part"])
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str],
+                 merge: Callable[[DataFrame], DataFrame], buckets: int = BUCKETS):
+        parts = T.StructType([*schema.fields, T.StructField("part", T.LongType())])
+        self.table = KeyedTable(spark, path, parts, [*keys, "part"], ["part"], buckets, keys)
         self.merge, self.columns = merge, schema.names
 
     def add(self, parts: DataFrame, batch_id: int) -> None:
@@ -35,29 +38,29 @@ class Sums:
         return self.merge(self.table.read().select(*self.columns))
 
 
-def behaviour_stats_job(stream: DataFrame, path: str) -> DataFrame:
+def behaviour_stats_job(stream: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
     """Running user statistics from partial session totals."""
     spark = stream.sparkSession
     schema = _fields("user_id bigint, session_id string, pv bigint, click bigint, cart bigint, pay bigint, "
                      "records bigint, first_ms bigint, last_ms bigint")
-    sums = Sums(spark, path, schema, ["user_id", "session_id"], users.merge_session_totals)
+    sums = Sums(spark, path, schema, ["user_id", "session_id"], users.merge_session_totals, buckets)
     run_each_batch(stream, "behaviour-stats", lambda batch, n: sums.add(users.session_totals(batch), n))
     return users.stats_of_sessions(sums.read())
 
 
-def province_stats_job(stream: DataFrame, path: str) -> DataFrame:
+def province_stats_job(stream: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
     spark = stream.sparkSession
     schema = _fields("province string, user_id bigint, order_amount decimal(26,2), paid bigint, refund_amount decimal(26,2)")
-    sums = Sums(spark, path, schema, ["province", "user_id"], users.merge_province_user_totals)
+    sums = Sums(spark, path, schema, ["province", "user_id"], users.merge_province_user_totals, buckets)
     run_each_batch(stream, "province-stats", lambda batch, n: sums.add(users.province_user_totals(batch), n))
     return users.stats_of_province_users(sums.read())
 
 
-def dim_upsert_job(envelopes: DataFrame, rules: Callable[[], DataFrame], path: str) -> KeyedTable:
+def dim_upsert_job(envelopes: DataFrame, rules: Callable[[], DataFrame], path: str, buckets: int = BUCKETS) -> KeyedTable:
     """Change stream -> keyed dimension rows. ``rules`` is called per batch, so changed rules apply from the next batch."""
     spark = envelopes.sparkSession
     table = KeyedTable(spark, path, _fields("sink_table string, row_key string, columns map<string,string>, ts_ms bigint"),
-                       ["sink_table", "row_key"], ["ts_ms"])
+                       ["sink_table", "row_key"], ["ts_ms"], buckets)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         table.upsert(cdc.dim_changes(batch, rules()), batch_id)
@@ -72,7 +75,7 @@ def live_dims(table: KeyedTable, rules: DataFrame) -> DataFrame:
     return table.read().join(names, "sink_table", "left_semi")
 
 
-def order_wide_job(envelopes: DataFrame, path: str) -> DataFrame:
+def order_wide_job(envelopes: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
     """Wide order rows kept up to date: six keyed tables hold the newest rows, and only the orders a batch touches
     are joined again."""
     spark = envelopes.sparkSession
@@ -80,7 +83,7 @@ def order_wide_job(envelopes: DataFrame, path: str) -> DataFrame:
     by = {"order_detail": ["order_id"]}
     state = {
         t: KeyedTable(spark, f"{path}/{t}", row, keys, ["refund_create_time", "ts_ms"] if t == "order_refund_info" else ["ts_ms"],
-                      bucket_by=by.get(t, keys))
+                      buckets, by.get(t, keys))
         for t, keys in cdc.WIDE_TABLES.items()
     }
     wide_schema = _fields(
@@ -88,7 +91,7 @@ def order_wide_job(envelopes: DataFrame, path: str) -> DataFrame:
         "order_detail_create_time string, ts bigint, user_id string, province_id string, order_create_time string, "
         "activity_id string, coupon_id string, payment_type string, payment_time string, pay_amount string, "
         "refund_amount string, refund_reason_type string, refund_create_time string, event_type string, batch_no bigint")
-    wide = KeyedTable(spark, f"{path}/wide", wide_schema, ["order_detail_id"], ["batch_no"])
+    wide = KeyedTable(spark, f"{path}/wide", wide_schema, ["order_detail_id"], ["batch_no"], buckets)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = cdc.order_rows(batch).persist()
@@ -104,14 +107,17 @@ def order_wide_job(envelopes: DataFrame, path: str) -> DataFrame:
         orders = orders.persist()
         details = state["order_detail"].read(orders).persist()
         ids = details.select(F.col("id").alias("order_detail_id"))
-        again = cdc.wide_orders({
+        near = {
             "order_detail": details,
             "order_info": state["order_info"].read(orders.select(F.col("order_id").alias("id"))),
             "order_detail_activity": state["order_detail_activity"].read(ids),
             "order_detail_coupon": state["order_detail_coupon"].read(ids),
             "payment_info": state["payment_info"].read(orders),
             "order_refund_info": state["order_refund_info"].read(orders),
-        })
+        }
+        fields = F.struct(*ORDER_ROW.names).alias("after")
+        tagged = [df.select(F.lit(t).alias("table"), fields, "ts_ms") for t, df in near.items()]
+        again = cdc.wide_of_rows(reduce(DataFrame.unionByName, tagged))
         wide.upsert(again.withColumn("batch_no", F.lit(batch_id).cast("bigint")), batch_id)
         for used in (rows, orders, details):
             used.unpersist()
@@ -120,10 +126,10 @@ def order_wide_job(envelopes: DataFrame, path: str) -> DataFrame:
     return wide.read().drop("batch_no")
 
 
-def fix_is_new_job(log: DataFrame, path: str) -> DataFrame:
+def fix_is_new_job(log: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
     """The app log with repaired new flags; first days are remembered per device without expiry."""
     spark = log.sparkSession
-    known = KeyedTable(spark, f"{path}/first-days", _fields("mid string, first_day date, rank bigint"), ["mid"], ["rank"])
+    known = KeyedTable(spark, f"{path}/first-days", _fields("mid string, first_day date, rank bigint"), ["mid"], ["rank"], buckets)
     out = f"{path}/log"
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -139,11 +145,11 @@ def fix_is_new_job(log: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(log.schema).parquet(out).select(*log.columns)
 
 
-def newer_only_job(stream: DataFrame, keys: list[str], arrival: list[str], path: str, ts: str = "ts_ms") -> DataFrame:
+def newer_only_job(stream: DataFrame, keys: list[str], arrival: list[str], path: str, ts: str = "ts_ms", buckets: int = BUCKETS) -> DataFrame:
     """Records newer than everything before them of their key; the newest time per key is remembered between batches."""
     spark = stream.sparkSession
     schema = T.StructType([*[stream.schema[k] for k in keys], T.StructField("newest", T.LongType())])
-    tops = KeyedTable(spark, f"{path}/newest", schema, keys, ["newest"])
+    tops = KeyedTable(spark, f"{path}/newest", schema, keys, ["newest"], buckets)
     out = f"{path}/rows"
 
     def step(batch: DataFrame, batch_id: int) -> None:
