@@ -96,6 +96,7 @@ class SnapshotWatch(StatefulProcessor):
 def snapshot_completion_stream(envelopes: DataFrame, quiet_seconds: int = 15) -> DataFrame:
     """Tables whose snapshot phase has ended: table, completed_at (ms), reason.
 
+    The quiet-time timer keeps the query alive, so run it with a processing-time trigger and not ``availableNow``.
     Records are first reduced to one row per Arrow batch and table, so a large table does not pass whole through
     the task that holds its state.
     """
