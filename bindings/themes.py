@@ -457,7 +457,7 @@ def _money_rate(part: str, whole: str) -> str:
 
 
 cte("p_over", f"""
-SELECT product_id, store_id, dt, pv, uv, round(avg_stay_time * uv / uv, 2) AS avg_stay_time, round(bounce_rate * pv / pv, 4) AS bounce_rate, micro_detail_uv,
+SELECT product_id, store_id, dt, pv, uv, cast(round(cast(avg_stay_time * uv / uv as decimal(20,10)), 2) as double) AS avg_stay_time, cast(round(cast(bounce_rate * pv / pv as decimal(20,10)), 4) as double) AS bounce_rate, micro_detail_uv,
        fav_user_cnt, cart_user_cnt, cart_total_qty, order_user_cnt, order_total_qty, order_total_amt, pay_user_cnt, pay_total_qty, pay_total_amt, refund_amt,
        {_rate('pay_user_cnt', 'uv')} AS pay_rate, {_rate('order_user_cnt', 'uv')} AS order_rate, {_rate('fav_user_cnt', 'uv')} AS fav_rate,
        {_rate('cart_user_cnt', 'uv')} AS cart_rate, {_money_rate('pay_total_amt', 'pay_user_cnt')} AS item_per_pay_user, {_money_rate('pay_total_amt', 'uv')} AS visitor_value

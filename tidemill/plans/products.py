@@ -107,7 +107,8 @@ def product_efficiency_overview(visit: DataFrame, fav: DataFrame, cart: DataFram
     """All measures per product, store and day with stay weighted by visitors and bounce by visits."""
     def weighted(value: str, weight: str, digits: int):
         total = F.sum(F.col(weight))
-        return F.when(total > 0, F.round(F.sum(F.col(value) * F.col(weight)) / total, digits)).alias(value)
+        mean = (F.sum(F.col(value) * F.col(weight)) / total).cast("decimal(20,10)")  # so that halves round up
+        return F.when(total > 0, F.round(mean, digits).cast("double")).alias(value)
 
     wide = _joined(visit, fav, cart, orders).groupBy(*KEYS).agg(
         F.sum("pv").alias("pv"), F.sum("uv").alias("uv"), weighted("avg_stay_time", "uv", 2), weighted("bounce_rate", "pv", 4),
