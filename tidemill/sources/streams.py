@@ -30,11 +30,20 @@ def json_stream(spark: SparkSession, fmt: str, at: str, schema: T.StructType, **
     return parsed(text_stream(spark, fmt, at, **options), schema)
 
 
+def once(column: Column) -> Column:
+    """An expensive expression worked out once per row.
+
+    Without this the optimizer copies it into every filter and projection that uses its result. A generator of
+    exactly one row keeps it in one place.
+    """
+    return F.explode(F.array(column))
+
+
 def parse(raw: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
     """Add ``record`` and ``bad``: the raw text where it is no JSON object of the schema, else NULL."""
     marked = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     record = F.from_json(column, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    with_record = raw.withColumn("record", record)
+    with_record = raw.select("*", once(record).alias("record"))
     broken = F.col("record").isNull() | F.col("record._corrupt").isNotNull()
     return with_record.withColumn("bad", F.when(broken, F.coalesce(F.col(column), F.lit(""))))
 

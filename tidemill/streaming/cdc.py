@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.latest import latest_by_key
 from tidemill.sources.schemas import ORDER_ROW
+from tidemill.sources.streams import once
 
 # Where change records go by table and operation, and the sink of all others.
 FACT_ROUTES = [
@@ -83,7 +84,7 @@ def cdc_route(envelopes: DataFrame, routes: DataFrame, default: str = DEFAULT_SI
 def snapshot_rows(envelopes: DataFrame, table: str, schema) -> DataFrame:
     """The ``after`` rows of one table's snapshot records, parsed."""
     rows = envelopes.where((_table() == table) & (F.col("op") == "r") & F.col("after").isNotNull())
-    return rows.select(F.from_json("after", schema).alias("row")).select("row.*")
+    return rows.select(once(F.from_json("after", schema)).alias("row")).select("row.*")
 
 
 # Fields taken over per table, as target name -> field of the change record.
@@ -125,7 +126,7 @@ def current_config(config_changes: DataFrame) -> DataFrame:
 def dim_changes(envelopes: DataFrame, rules: DataFrame) -> DataFrame:
     """Change rows of configured tables: sink table, row key, the configured columns as a map, time."""
     rows = envelopes.where((F.col("op") != "d") & F.col("after").isNotNull()).select(
-        _table().alias("_t"), F.from_json("after", "map<string,string>").alias("_row"), "ts_ms"
+        _table().alias("_t"), once(F.from_json("after", "map<string,string>")).alias("_row"), "ts_ms"
     )
     joined = rows.join(rules, F.col("_t") == F.col("source_table"))
     keep = F.split("sink_columns", ",")
@@ -159,7 +160,7 @@ WIDE_TABLES = {
 def order_rows(envelopes: DataFrame) -> DataFrame:
     """Change records with ``after`` read as an order row."""
     rows = envelopes.where(F.col("after").isNotNull())
-    return rows.select(_table().alias("table"), F.from_json("after", ORDER_ROW).alias("after"), "ts_ms")
+    return rows.select(_table().alias("table"), once(F.from_json("after", ORDER_ROW)).alias("after"), "ts_ms")
 
 
 def _newest(table: str, columns: dict[str, str], by_refund_time: bool = False) -> Column:
