@@ -205,15 +205,18 @@ def stream_cdc_order_wide(i: Inputs):
     return jobs.order_wide_job(all_envelopes(i, live=True), scratch(i.spark, "order-wide"), buckets=8)
 
 
-@query("""
+_LIFE = """
 SELECT l_orderkey || '-' || l_linenumber AS order_detail_id, any_value(l_orderkey) AS order_id, any_value(o_custkey) AS user_id, any_value(l_linenumber) AS sku_id,
        cast(any_value(l_orderkey % 100 + l_linenumber) as double) AS order_amount, CASE WHEN any_value(l_orderkey) % 2 = 0 THEN cast(any_value(l_orderkey % 100) as double) END AS pay_amount,
        CASE WHEN any_value(l_orderkey) % 6 = 0 THEN cast(any_value(l_linenumber) as double) END AS refund_amount,
        any_value(epoch_us(o_orderdate) // 1000) + CASE WHEN any_value(l_orderkey) % 6 = 0 THEN 2 WHEN any_value(l_orderkey) % 2 = 0 THEN 1 ELSE 0 END AS ts
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey, l_linenumber
-""")
-def order_lifecycle_merge(i: Inputs):
-    li = i.table("lineitem").join(i.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+"""
+
+
+def lifecycle(i: Inputs, live: bool = False):
+    lines = stream_of(i, "lineitem") if live else i.table("lineitem")
+    li = lines.join(i.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     ms, even, sixth = F.unix_millis("o_orderdate"), F.col("l_orderkey") % 2 == 0, F.col("l_orderkey") % 6 == 0
     base = [F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_detail_id"), F.col("l_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
             F.col("l_linenumber").alias("sku_id")]
@@ -223,6 +226,17 @@ def order_lifecycle_merge(i: Inputs):
     return cdc.order_lifecycle_merge(cdc.lifecycle_events(orders, pays, refunds))
 
 
+@query(_LIFE)
+def order_lifecycle_merge(i: Inputs):
+    return lifecycle(i)
+
+
+@query(_LIFE)
+def stream_order_lifecycle_merge(i: Inputs):
+    """A running aggregate in update mode, upserted by key."""
+    return jobs.upsert_updates_job(lifecycle(i, live=True), ["order_detail_id"], scratch(i.spark, "lifecycle"), buckets=8)
+
+
 _JOIN = f"""
 SELECT o_orderkey AS order_id, o_custkey AS user_id, {tms('o_orderdate', 'order_time')}, 'r' || o_orderkey AS refund_id,
        strftime(o_orderdate + (o_orderkey % 15 - 7) * interval 1 minute, '%Y-%m-%d %H:%M:%S.%f') AS refund_time

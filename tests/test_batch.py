@@ -184,3 +184,24 @@ def test_sensitive_words_match_whole_last_part(spark, as_rows):
 def test_timestamps_keep_one_zone(spark):
     at = spark.range(1).select(c.event_time(F.lit(1704067200123)).alias("t")).select("t", c.epoch_ms("t"), c.date_id("t")).first()
     assert at[0] == datetime(2024, 1, 1, 0, 0, 0, 123000) and at[1] == 1704067200123 and at[2] == "2024-01-01"
+
+
+def test_module_styles_do_not_change_between_runs(spark, as_rows):
+    df = spark.range(40).select(F.col("id").alias("module_id"))
+    first = as_rows(pages.dim_page_module(df))
+    assert first == as_rows(pages.dim_page_module(df.repartition(3))) and {s for _, s in first} == {"Card", "Banner", "Slider", "List"}
+
+
+def test_saved_table_is_replaced(spark, as_rows):
+    from tidemill.sources import tables
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, dt string")
+    for _ in range(2):
+        tables.save_table(df, "saved_rows", partition_by=["dt"])
+    assert as_rows(spark.table("saved_rows")) == [(1, "a"), (2, "b")]
+    spark.sql("drop table saved_rows")
+
+
+def test_calendar_and_masks_accept_nulls(spark):
+    df = spark.createDataFrame([(None,)], "phone_num string")
+    assert dims.mask_pii(df, name=None, email=None).first()[0] is None

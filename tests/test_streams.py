@@ -273,6 +273,23 @@ def test_snapshot_completion_after_quiet_time(spark, tmp_path):
     assert [(table, reason) for table, _, reason in done] == [("t", "quiet")]
 
 
+def test_running_aggregate_is_upserted(spark, tmp_path, as_rows):
+    rng = random.Random(8)
+    rows = [{"order_detail_id": f"d{rng.randrange(5)}", "order_id": 1, "user_id": 2, "sku_id": None, "order_amount": rng.choice([None, 1.0 * n]), "pay_amount": None,
+             "refund_amount": rng.choice([None, 2.0 * n]), "ts": n} for n in range(40)]
+    folder = feed(tmp_path, [rows[:10], rows[10:11], rows[11:]])
+    schema = "order_detail_id string, order_id int, user_id int, sku_id int, order_amount double, pay_amount double, refund_amount double, ts bigint"
+    def merged(df):
+        return cdc.order_lifecycle_merge(df.select(F.from_json("value", schema).alias("r")).select("r.*"))
+    got = jobs.upsert_updates_job(merged(live(spark, folder)), ["order_detail_id"], scratch(spark, "life"), buckets=2)
+    assert as_rows(got) == as_rows(merged(batch(spark, folder)))
+
+
+def test_first_rows_of_a_stream(spark, tmp_path):
+    folder = feed(tmp_path, [["a", "b", "c"], ["d"], ["e"]])
+    assert streams.run_to_parquet(streams.first_rows(live(spark, folder), 4), "first").count() == 4
+
+
 def test_topic_rows(spark, as_rows):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, sink string")
     got = as_rows(streams.topic_rows(df, F.col("sink"), key="id"))

@@ -101,6 +101,11 @@ def without_fields(df: DataFrame, marked: list[str]) -> DataFrame:
     return df.drop(*marked)
 
 
+def first_rows(stream: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of a stream (append mode)."""
+    return stream.limit(n)
+
+
 def topic_preview(records: DataFrame) -> DataFrame:
     """The first record of each topic."""
     return records.groupBy("topic").agg(F.min_by("value", "offset").alias("value"))

@@ -56,6 +56,22 @@ def province_stats_job(stream: DataFrame, path: str, buckets: int = BUCKETS) ->
     return users.stats_of_province_users(sums.read())
 
 
+def upsert_updates_job(updates: DataFrame, keys: list[str], path: str, buckets: int = BUCKETS) -> DataFrame:
+    """A running aggregate in update mode -> one current row per key.
+
+    Update mode hands over the new value of every key a batch changed, so the newest batch wins.
+    """
+    spark = updates.sparkSession
+    schema = T.StructType([*updates.schema.fields, T.StructField("batch_no", T.LongType())])
+    table = KeyedTable(spark, path, schema, keys, ["batch_no"], buckets)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(batch.withColumn("batch_no", F.lit(batch_id).cast("bigint")), batch_id)
+
+    run_each_batch(updates, "upsert-updates", step, mode="update")
+    return table.read().drop("batch_no")
+
+
 def dim_upsert_job(envelopes: DataFrame, rules: Callable[[], DataFrame], path: str, buckets: int = BUCKETS) -> KeyedTable:
     """Change stream -> keyed dimension rows. ``rules`` is called per batch, so changed rules apply from the next batch."""
     spark = envelopes.sparkSession
