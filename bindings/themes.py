@@ -175,7 +175,7 @@ FROM (SELECT user_id, session_id, string_agg(from_page || '->' || to_page, '->'
 LEFT JOIN (SELECT user_id, cast(sum(duration) as bigint) AS d FROM z_stay GROUP BY 1) s ON p.user_id = s.user_id
 """)
 def user_flow_path(i: Inputs):
-    return pages.user_flow_path(pages.page_transitions(visit_log(i)), page_stay(i), EVENT_DAY)
+    return pages.user_flow_path(pages.page_transitions(visit_log(i), number="rn"), page_stay(i), EVENT_DAY)
 
 
 # page modules

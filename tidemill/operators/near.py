@@ -91,7 +91,7 @@ def near_pair_counts(
     """
     width = seconds * 1_000_000
     a = _slotted(left, key, time, [tag], width)
-    b = _slotted(right, key, time, tags, width)
+    b = _slotted(right.join(left.select(key), key, "left_semi"), key, time, tags, width)
 
     sizes_a = a.groupBy(key, "_slot").agg(F.sum("_n").alias("_la"))
     sizes_b = b.groupBy(key, "_slot").agg(F.sum("_n").alias("_lb")).select(

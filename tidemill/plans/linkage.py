@@ -19,8 +19,13 @@ def fact_user_sku_action(action: DataFrame, sku: DataFrame) -> DataFrame:
 def related_actions(
     action: DataFrame, main_skus: Sequence, as_of: Day, minutes: int = 30, days: int = 7, heavy_pairs: int = HEAVY_PAIRS
 ) -> DataFrame:
-    """Actions on other items within ``minutes`` of a recent action on a main item by the same user."""
-    main = action.where(F.col("sku_id").isin(list(main_skus)) & (F.col("action_time") >= F.date_sub(day(as_of), days)))
+    """Actions on other items within ``minutes`` of a recent action on a main item by the same user.
+
+    Only actions since the first possible main action, less the range, can pair, so older ones are not read.
+    """
+    first = F.date_sub(day(as_of), days).cast("timestamp")
+    main = action.where(F.col("sku_id").isin(list(main_skus)) & (F.col("action_time") >= first))
+    action = action.where(F.col("action_time") >= first - F.expr(f"interval {minutes} minutes"))
     pairs = near_pair_counts(
         main.select("user_id", "action_time", F.col("sku_id").alias("main_sku")),
         action.select("user_id", "action_time", F.col("sku_id").alias("related_sku"), "action_type"),
@@ -39,7 +44,7 @@ def related_behaviour_pivot(related: DataFrame) -> DataFrame:
 def sku_linkage(action: DataFrame, main_skus: Sequence) -> DataFrame:
     """For users who viewed a main item: how many viewed, carted and ordered each other item.
 
-    Both sides are reduced to one row per user and item first. A user then gives at most
+    Actions of other users are dropped first, then both sides are reduced to one row per user and item. A user then gives at most
     (main items viewed) x (items touched) rows, and users need no second distinct.
     """
     main = list(main_skus)
@@ -47,7 +52,8 @@ def sku_linkage(action: DataFrame, main_skus: Sequence) -> DataFrame:
         "user_id", F.col("sku_id").alias("main_sku_id")
     ).distinct()
     kinds = {"visit": "view", "cart": "cart", "order": "order"}
-    touched = action.where(~F.col("sku_id").isin(main)).groupBy("user_id", F.col("sku_id").alias("related_sku_id")).agg(
+    others = action.where(~F.col("sku_id").isin(main)).join(viewers, "user_id", "left_semi")
+    touched = others.groupBy("user_id", F.col("sku_id").alias("related_sku_id")).agg(
         *[F.max(flag(F.col("action_type") == kind)).alias(name) for name, kind in kinds.items()]
     )
     return viewers.join(touched, "user_id").groupBy("main_sku_id", "related_sku_id").agg(

@@ -49,13 +49,13 @@ def page_transitions(
     keys: Sequence[str] = ("user_id", "session_id"),
     order: Sequence[str] = ("event_time",),
     hot_rows: int = HOT_ROWS,
+    number: str | None = None,
 ) -> DataFrame:
-    """from_page -> to_page for each pair of consecutive visits of a session."""
+    """from_page -> to_page for each pair of consecutive visits of a session; ``number`` adds the step number."""
     columns = list(dict.fromkeys([*keys, "page_id", *order]))
-    steps = next_values(visit_log.select(*columns), keys, order, {"to_page": "page_id"}, hot_rows=hot_rows)
-    return steps.where(F.col("to_page").isNotNull()).select(
-        F.col("page_id").alias("from_page"), "to_page", *[c for c in columns if c != "page_id"]
-    )
+    steps = next_values(visit_log.select(*columns), keys, order, {"to_page": "page_id"}, number, hot_rows)
+    kept = [c for c in columns if c != "page_id"] + ([number] if number else [])
+    return steps.where(F.col("to_page").isNotNull()).select(F.col("page_id").alias("from_page"), "to_page", *kept)
 
 
 # summaries
@@ -148,10 +148,11 @@ def user_flow_path(
     """The ordered path of each session as text, with the user's total stay.
 
     A path is one value, so its length sets the row size; it is put together from chunks of ``CHAIN_CHUNK``
-    steps, so no task sorts more steps than that plus one entry per chunk.
+    steps, so no task sorts more steps than that plus one entry per chunk. Transitions that already carry their
+    step number as ``rn`` are not numbered again.
     """
     keys = ["user_id", "session_id"]
-    numbered = row_numbers(transitions, keys, order, "rn", hot_rows)
+    numbered = transitions if "rn" in transitions.columns else row_numbers(transitions, keys, order, "rn", hot_rows)
     step = F.concat(F.col("from_page"), F.lit("->"), F.col("to_page"))
 
     def joined(entries):

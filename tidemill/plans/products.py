@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.columns import Day, amount_per, band, count_where, day, flag, ratio, zero_if_null
 from tidemill.operators.joins import lookup
 from tidemill.operators.ordered import HOT_ROWS, row_numbers
+from tidemill.session import pinned
 
 KEYS = ["product_id", "store_id", "dt"]
 
@@ -172,7 +173,8 @@ def product_summary(order_detail: DataFrame, product_action: DataFrame) -> DataF
 
 
 def _daily_rank(df: DataFrame, measure: str, name: str, hot_rows: int) -> DataFrame:
-    return row_numbers(df, ["dt"], [F.col(measure).desc_nulls_last(), "product_id"], name, hot_rows)
+    """Ranks need the day sizes first, so the summary is written once instead of being worked out twice."""
+    return row_numbers(pinned(df), ["dt"], [F.col(measure).desc_nulls_last(), "product_id"], name, hot_rows)
 
 
 def product_sales_rank(summary: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.columns import count_where, percent_text
 from tidemill.operators.ordered import HOT_ROWS, row_numbers
+from tidemill.session import pinned
 
 
 def first_purchase_in_month(purchases: DataFrame, month: int, year: int | None = None) -> DataFrame:
@@ -85,16 +86,15 @@ def two_day_active(visits: DataFrame) -> DataFrame:
     age_means = ages.agg(
         F.round(F.avg("age"), 2).alias("mean_age"), F.round(F.avg(F.when(F.col("active") == 1, F.col("age"))), 2).alias("active_mean_age")
     )
+    means = age_means.select(F.struct("mean_age", "active_mean_age")).scalar()
     return user_counts.select(
-        "users", "active_users",
-        age_means.select("mean_age").scalar().alias("mean_age"),
-        age_means.select("active_mean_age").scalar().alias("active_mean_age"),
+        "users", "active_users", means["mean_age"].alias("mean_age"), means["active_mean_age"].alias("active_mean_age")
     )
 
 
 def totals_with_share(amounts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Total per name, its overall rank and its share of everything as text."""
-    totals = amounts.groupBy("name").agg(F.sum("amount").alias("total"))
+    totals = pinned(amounts.groupBy("name").agg(F.sum("amount").alias("total")))
     everything = totals.agg(F.sum("total")).scalar()
     ranked = row_numbers(totals, [], [F.col("total").desc(), "name"], "rank", hot_rows)
     share = F.round(F.col("total").cast("double") / everything.cast("double"), 4)
