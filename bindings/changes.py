@@ -31,14 +31,14 @@ def tables(i: Inputs, live: bool):
 
 
 def order_envelopes(i: Inputs, live: bool = False):
-    """order_info: snapshot rows for finished orders, creates and updates for the others; every fifth order changes its user later."""
+    """order_info: snapshot rows for finished orders, creates and updates for the others; urgent orders change their user later, pending urgent ones are deleted."""
     o = tables(i, live)("orders")
     op = F.when(F.col("o_orderstatus") == "F", "r").when(F.col("o_orderstatus") == "O", "c").otherwise("u")
     row = {"id": F.col("o_orderkey"), "user_id": F.col("o_custkey"), "sku_id": F.col("o_orderkey") % 100, "province_id": F.col("o_custkey") % 25,
            "create_time": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), "total_amount": money("o_totalprice")}
     first = envelope(o, "order_info", op, row, F.unix_millis("o_orderdate"), "false")
-    later = envelope(o.where(F.col("o_orderkey") % 5 == 0), "order_info", "u", {**row, "user_id": F.col("o_custkey") + 1}, F.unix_millis("o_orderdate") + 1000)
-    gone = envelope(o.where(F.col("o_orderkey") % 50 == 0), "order_info", "d", row, F.unix_millis("o_orderdate") + 2000)
+    later = envelope(o.where(F.col("o_orderpriority") == "1-URGENT"), "order_info", "u", {**row, "user_id": F.col("o_custkey") + 1}, F.unix_millis("o_orderdate") + 1000)
+    gone = envelope(o.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")), "order_info", "d", row, F.unix_millis("o_orderdate") + 2000)
     return first.unionByName(later).unionByName(gone)
 
 
@@ -55,7 +55,7 @@ def detail_envelopes(i: Inputs, live: bool = False):
 
 
 def payment_envelopes(i: Inputs, live: bool = False):
-    o = tables(i, live)("orders").where(F.col("o_orderkey") % 2 == 0)
+    o = tables(i, live)("orders").where(F.col("o_orderstatus") == "F")
     row = {"id": F.concat(F.lit("p"), F.col("o_orderkey")), "order_id": F.col("o_orderkey"), "user_id": F.col("o_custkey"),
            "payment_type": F.concat(F.lit("110"), F.col("o_orderkey") % 4), "payment_time": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
            "callback_time": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), "total_amount": money("o_totalprice")}
@@ -63,8 +63,8 @@ def payment_envelopes(i: Inputs, live: bool = False):
 
 
 def refund_envelopes(i: Inputs, live: bool = False):
-    """Two refunds for every sixth order, the second one newer."""
-    o = tables(i, live)("orders").where(F.col("o_orderkey") % 6 == 0)
+    """Two refunds for every order of low priority, the second one newer."""
+    o = tables(i, live)("orders").where(F.col("o_orderpriority") == "5-LOW")
     def one(n: int):
         at = F.date_format(F.col("o_orderdate") + F.expr(f"interval {n} days"), "yyyy-MM-dd HH:mm:ss")
         return envelope(o, "order_refund_info", "c", {
@@ -86,8 +86,8 @@ def all_envelopes(i: Inputs, live: bool = False):
 
 cte("e_order", """
 SELECT *, epoch_us(o_orderdate) // 1000 AS ms, CASE o_orderstatus WHEN 'F' THEN 'r' WHEN 'O' THEN 'c' ELSE 'u' END AS op, o_custkey AS uid FROM orders
-UNION ALL SELECT *, epoch_us(o_orderdate) // 1000 + 1000, 'u', o_custkey + 1 FROM orders WHERE o_orderkey % 5 = 0
-UNION ALL SELECT *, epoch_us(o_orderdate) // 1000 + 2000, 'd', o_custkey FROM orders WHERE o_orderkey % 50 = 0
+UNION ALL SELECT *, epoch_us(o_orderdate) // 1000 + 1000, 'u', o_custkey + 1 FROM orders WHERE o_orderpriority = '1-URGENT'
+UNION ALL SELECT *, epoch_us(o_orderdate) // 1000 + 2000, 'd', o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'
 """)
 
 
@@ -102,8 +102,8 @@ def cdc_flatten(i: Inputs):
 
 @query("""
 SELECT CASE WHEN op IN ('r', 'c') THEN 'dwd_trade_order_detail' WHEN op = 'u' THEN 'dwd_trade_order_pay' ELSE 'dwd_dynamic_fallback' END AS sink_table, o_orderkey || '' AS id FROM e_order
-UNION ALL SELECT 'dwd_trade_pay_detail', 'p' || o_orderkey FROM orders WHERE o_orderkey % 2 = 0
-UNION ALL SELECT 'dwd_dynamic_fallback', 'r-' || o_orderkey || '-' || n FROM orders, (VALUES (1), (2)) t(n) WHERE o_orderkey % 6 = 0
+UNION ALL SELECT 'dwd_trade_pay_detail', 'p' || o_orderkey FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'dwd_dynamic_fallback', 'r-' || o_orderkey || '-' || n FROM orders, (VALUES (1), (2)) t(n) WHERE o_orderpriority = '5-LOW'
 """)
 def cdc_route(i: Inputs):
     raw = order_envelopes(i).unionByName(payment_envelopes(i)).unionByName(refund_envelopes(i))
@@ -122,7 +122,7 @@ def cdc_order_facts(i: Inputs):
 @query("""
 SELECT 'payment_info' AS "table", 'c' AS op, epoch_us(o_orderdate) // 1000 AS ts, 'p' || o_orderkey AS payment_id, o_orderkey || '' AS order_id, o_custkey || '' AS user_id,
        cast(o_totalprice as decimal(16,2)) || '' AS total_amount, '110' || (o_orderkey % 4) AS payment_type, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS payment_time
-FROM orders WHERE o_orderkey % 2 = 0
+FROM orders WHERE o_orderstatus = 'F'
 """)
 def cdc_payment_facts(i: Inputs):
     return cdc.cdc_facts(parsed_envelopes(payment_envelopes(i)), "payment_info")
@@ -136,7 +136,7 @@ def cdc_snapshot_facts(i: Inputs):
 # dimensions by rule
 
 def dim_envelopes(i: Inputs, live: bool = False):
-    """Regions, nations, parts and customers as change records; every fourth customer is renamed, every tenth part deleted."""
+    """Regions, nations, parts and customers as change records; households are renamed, large parts deleted."""
     get = tables(i, live)
     zero = F.lit(1000).cast("bigint")
     n, p, c = get("nation"), get("part"), get("customer")
@@ -145,8 +145,8 @@ def dim_envelopes(i: Inputs, live: bool = False):
     user = {"id": F.col("c_custkey"), "name": F.col("c_name"), "user_level": F.col("c_mktsegment"), "passwd": F.lit("x")}
     parts = [
         envelope(n, "base_province", "r", nation, zero), envelope(p, "sku_info", "r", sku, zero),
-        envelope(p.where(F.col("p_partkey") % 10 == 0), "sku_info", "d", sku, zero + 1), envelope(c, "user_info", "r", user, zero),
-        envelope(c.where(F.col("c_custkey") % 4 == 0), "user_info", "u", {**user, "name": F.concat(F.lit("new "), F.col("c_name"))}, zero + 1),
+        envelope(p.where(F.col("p_size") > 45), "sku_info", "d", sku, zero + 1), envelope(c, "user_info", "r", user, zero),
+        envelope(c.where(F.col("c_mktsegment") == "HOUSEHOLD"), "user_info", "u", {**user, "name": F.concat(F.lit("new "), F.col("c_name"))}, zero + 1),
         envelope(get("supplier"), "not_configured", "r", {"id": F.col("s_suppkey")}, zero),
     ]
     raw = parts[0]
@@ -158,7 +158,7 @@ def dim_envelopes(i: Inputs, live: bool = False):
 _DIMS = """
 SELECT 'dim_base_province' AS sink_table, n_nationkey || '' AS row_key, 'id=' || n_nationkey || ';iso_code=CN-' || n_nationkey || ';name=' || n_name || ';region_id=' || n_regionkey AS columns FROM nation
 UNION ALL SELECT 'dim_sku_info', p_partkey || '', 'id=' || p_partkey || ';price=' || cast(p_retailprice as decimal(16,2)) || ';sku_name=' || p_name || ';tm_id=' || p_brand FROM part
-UNION ALL SELECT 'dim_user_info', c_custkey || '', 'id=' || c_custkey || ';name=' || CASE WHEN c_custkey % 4 = 0 THEN 'new ' ELSE '' END || c_name || ';user_level=' || c_mktsegment FROM customer
+UNION ALL SELECT 'dim_user_info', c_custkey || '', 'id=' || c_custkey || ';name=' || CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'new ' ELSE '' END || c_name || ';user_level=' || c_mktsegment FROM customer
 """
 
 
@@ -181,16 +181,16 @@ def stream_cdc_dims_by_config(i: Inputs):
 # wide orders
 
 _WIDE = """
-WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN o_custkey WHEN o_orderkey % 5 = 0 THEN o_custkey + 1 ELSE o_custkey END AS uid, o_custkey, o_orderdate, o_totalprice FROM orders)
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' THEN o_custkey WHEN o_orderpriority = '1-URGENT' THEN o_custkey + 1 ELSE o_custkey END AS uid, o_custkey, o_orderdate, o_totalprice, o_orderstatus = 'F' AS paid, o_orderpriority = '5-LOW' AS back FROM orders)
 SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(round(l_extendedprice * 100) as bigint)) AS order_detail_id, l_orderkey || '' AS order_id, l_partkey || '' AS sku_id,
        'sku ' || l_partkey AS sku_name, cast(l_extendedprice as decimal(16,2)) || '' AS order_price, cast(l_quantity as bigint) || '' AS sku_num,
        strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS order_detail_create_time, uid || '' AS user_id, (o_custkey % 25) || '' AS province_id,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_create_time, CASE WHEN l_discount > 0 THEN cast(round(l_discount * 100) as bigint) || '' END AS activity_id,
-       CASE WHEN l_tax > 0 THEN cast(round(l_tax * 100) as bigint) || '' END AS coupon_id, CASE WHEN o_orderkey % 2 = 0 THEN '110' || (o_orderkey % 4) END AS payment_type,
-       CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS payment_time, CASE WHEN o_orderkey % 2 = 0 THEN cast(o_totalprice as decimal(16,2)) || '' END AS pay_amount,
-       CASE WHEN o_orderkey % 6 = 0 THEN cast(o_orderkey % 1000 + 2 as decimal(16,2)) || '' END AS refund_amount, CASE WHEN o_orderkey % 6 = 0 THEN 't' || (o_orderkey % 3) END AS refund_reason_type,
-       CASE WHEN o_orderkey % 6 = 0 THEN strftime(o_orderdate + interval 2 days, '%Y-%m-%d %H:%M:%S') END AS refund_create_time,
-       CASE WHEN o_orderkey % 6 = 0 THEN 'refund' WHEN o_orderkey % 2 = 0 THEN 'payment' ELSE 'order' END AS event_type, epoch_us(l_shipdate) // 1000 AS ts
+       CASE WHEN l_tax > 0 THEN cast(round(l_tax * 100) as bigint) || '' END AS coupon_id, CASE WHEN paid THEN '110' || (o_orderkey % 4) END AS payment_type,
+       CASE WHEN paid THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS payment_time, CASE WHEN paid THEN cast(o_totalprice as decimal(16,2)) || '' END AS pay_amount,
+       CASE WHEN back THEN cast(o_orderkey % 1000 + 2 as decimal(16,2)) || '' END AS refund_amount, CASE WHEN back THEN 't' || (o_orderkey % 3) END AS refund_reason_type,
+       CASE WHEN back THEN strftime(o_orderdate + interval 2 days, '%Y-%m-%d %H:%M:%S') END AS refund_create_time,
+       CASE WHEN back THEN 'refund' WHEN paid THEN 'payment' ELSE 'order' END AS event_type, epoch_us(l_shipdate) // 1000 AS ts
 FROM lineitem JOIN o ON l_orderkey = o_orderkey
 """
 
@@ -207,9 +207,9 @@ def stream_cdc_order_wide(i: Inputs):
 
 _LIFE = """
 SELECT l_orderkey || '-' || l_linenumber AS order_detail_id, any_value(l_orderkey) AS order_id, any_value(o_custkey) AS user_id, any_value(l_linenumber) AS sku_id,
-       cast(any_value(l_orderkey % 100 + l_linenumber) as double) AS order_amount, CASE WHEN any_value(l_orderkey) % 2 = 0 THEN cast(any_value(l_orderkey % 100) as double) END AS pay_amount,
-       CASE WHEN any_value(l_orderkey) % 6 = 0 THEN cast(any_value(l_linenumber) as double) END AS refund_amount,
-       any_value(epoch_us(o_orderdate) // 1000) + CASE WHEN any_value(l_orderkey) % 6 = 0 THEN 2 WHEN any_value(l_orderkey) % 2 = 0 THEN 1 ELSE 0 END AS ts
+       cast(any_value(l_orderkey % 100 + l_linenumber) as double) AS order_amount, CASE WHEN any_value(o_orderstatus) = 'F' THEN cast(any_value(l_orderkey % 100) as double) END AS pay_amount,
+       CASE WHEN any_value(o_orderpriority) = '5-LOW' THEN cast(any_value(l_linenumber) as double) END AS refund_amount,
+       any_value(epoch_us(o_orderdate) // 1000) + CASE WHEN any_value(o_orderpriority) = '5-LOW' THEN 2 WHEN any_value(o_orderstatus) = 'F' THEN 1 ELSE 0 END AS ts
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey, l_linenumber
 """
 
@@ -217,12 +217,12 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey, l_line
 def lifecycle(i: Inputs, live: bool = False):
     lines = stream_of(i, "lineitem") if live else i.table("lineitem")
     li = lines.join(i.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    ms, even, sixth = F.unix_millis("o_orderdate"), F.col("l_orderkey") % 2 == 0, F.col("l_orderkey") % 6 == 0
+    ms, paid, back = F.unix_millis("o_orderdate"), F.col("o_orderstatus") == "F", F.col("o_orderpriority") == "5-LOW"
     base = [F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_detail_id"), F.col("l_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
             F.col("l_linenumber").alias("sku_id")]
     orders = li.select(*base, (F.col("l_orderkey") % 100 + F.col("l_linenumber")).alias("total_amount"), ms.alias("ts"))
-    pays = li.where(even).select(*base, (F.col("l_orderkey") % 100).alias("total_amount"), (ms + 1).alias("ts"))
-    refunds = li.where(sixth).select(*base, F.col("l_linenumber").alias("total_amount"), (ms + 2).alias("ts"))
+    pays = li.where(paid).select(*base, (F.col("l_orderkey") % 100).alias("total_amount"), (ms + 1).alias("ts"))
+    refunds = li.where(back).select(*base, F.col("l_linenumber").alias("total_amount"), (ms + 2).alias("ts"))
     return cdc.order_lifecycle_merge(cdc.lifecycle_events(orders, pays, refunds))
 
 
@@ -240,7 +240,7 @@ def stream_order_lifecycle_merge(i: Inputs):
 _JOIN = f"""
 SELECT o_orderkey AS order_id, o_custkey AS user_id, {tms('o_orderdate', 'order_time')}, 'r' || o_orderkey AS refund_id,
        strftime(o_orderdate + (o_orderkey % 15 - 7) * interval 1 minute, '%Y-%m-%d %H:%M:%S.%f') AS refund_time
-FROM orders WHERE o_orderkey % 3 = 0 AND abs(o_orderkey % 15 - 7) <= 5
+FROM orders WHERE o_orderpriority = '5-LOW' AND abs(o_orderkey % 15 - 7) <= 5
 """
 
 
@@ -248,7 +248,7 @@ def order_refunds(i: Inputs, live: bool = False):
     get = tables(i, live)
     orders = get("orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("order_time"))
     gap = F.make_dt_interval(F.lit(0), F.lit(0), (F.col("o_orderkey") % 15 - 7).cast("int"))
-    refunds = get("orders").where(F.col("o_orderkey") % 3 == 0).select(
+    refunds = get("orders").where(F.col("o_orderpriority") == "5-LOW").select(
         F.col("o_orderkey").alias("order_id"), F.concat(F.lit("r"), F.col("o_orderkey")).alias("refund_id"), (F.col("o_orderdate") + gap).alias("refund_time"))
     return cdc.order_refund_interval_join(orders, refunds)
 
@@ -264,11 +264,11 @@ def stream_order_refund_interval_join(i: Inputs):
 
 
 @query("""
-SELECT doc_id AS comment_id, doc_id % 1500 AS order_id, n_chars, o_orderkey AS info_id, o_custkey AS info_user_id, cast(o_totalprice as double) AS info_total_amount
-FROM documents JOIN orders ON doc_id % 1500 = o_orderkey
+SELECT doc_id AS comment_id, doc_id AS order_id, n_chars, o_orderkey AS info_id, o_custkey AS info_user_id, cast(o_totalprice as double) AS info_total_amount
+FROM documents JOIN orders ON doc_id = o_orderkey
 """)
 def comment_order_join(i: Inputs):
-    comments = i.table("documents").select(F.col("doc_id").alias("comment_id"), (F.col("doc_id") % 1500).alias("order_id"), "n_chars")
+    comments = i.table("documents").select(F.col("doc_id").alias("comment_id"), F.col("doc_id").alias("order_id"), "n_chars")
     orders = i.table("orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_totalprice").alias("total_amount"))
     return enrich.comment_order_join(comments, orders)
 

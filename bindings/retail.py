@@ -140,8 +140,8 @@ def mask_pii_daily(i: Inputs):
 @query(f"""
 WITH changed AS (SELECT o_custkey, max(o_orderpriority) AS level FROM orders WHERE cast(o_orderdate as date) = {T} GROUP BY 1),
 hist AS (SELECT c_custkey AS id, c_name AS name, c_mktsegment AS user_level, date '1995-01-01' AS start_date,
-         CASE WHEN c_custkey % 10 = 0 THEN date '1999-12-31' ELSE date '9999-12-31' END AS end_date FROM customer
-         UNION ALL SELECT c_custkey, c_name, lower(c_mktsegment), date '2000-01-01', date '9999-12-31' FROM customer WHERE c_custkey % 10 = 0)
+         CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN date '1999-12-31' ELSE date '9999-12-31' END AS end_date FROM customer
+         UNION ALL SELECT c_custkey, c_name, lower(c_mktsegment), date '2000-01-01', date '9999-12-31' FROM customer WHERE c_mktsegment = 'HOUSEHOLD')
 SELECT h.id, name, user_level, {txt('start_date', 'start_date')},
        strftime(CASE WHEN end_date = date '9999-12-31' AND o_custkey IS NOT NULL THEN {T} - 1 ELSE end_date END, '%Y-%m-%d') AS end_date
 FROM hist h LEFT JOIN changed ON h.id = o_custkey
@@ -150,7 +150,7 @@ SELECT c_custkey, c_name, level, '{TRADE_DAY}', '9999-12-31' FROM changed JOIN c
 """)
 def scd2_user_history(i: Inputs):
     c, o = i.table("customer"), i.table("orders")
-    old = (F.col("c_custkey") % 10) == 0
+    old = F.col("c_mktsegment") == "HOUSEHOLD"
     open_end = F.lit("9999-12-31").cast("date")
     base = c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("user_level"),
                     F.lit("1995-01-01").cast("date").alias("start_date"),

@@ -35,13 +35,13 @@ def table_pruned_scan(i: Inputs):
     return tables.scan(i.spark, at).where(F.col("dt") == "1997-05")
 
 
-@query(f"SELECT * REPLACE (CASE WHEN dt = '1997-05' THEN amount * 0 ELSE amount END AS amount) FROM ({_ORDERS}) WHERE dt <> '1998-02' OR id % 2 = 0")
+@query(f"SELECT * REPLACE (CASE WHEN dt = '1997-05' THEN amount * 0 ELSE amount END AS amount) FROM ({_ORDERS}) WHERE dt <> '1998-02' OR amount > 200000")
 def table_overwrite_partitions(i: Inputs):
     """Two partitions replaced by new rows, the others left as they were."""
     at = scratch(i.spark, "overwrite")
     tables.overwrite_days(orders(i), at)
     new = orders(i).where(F.col("dt") == "1997-05").withColumn("amount", (F.col("amount") * 0).cast("decimal(16,2)"))
-    new = new.unionByName(orders(i).where((F.col("dt") == "1998-02") & (F.col("id") % 2 == 0)))
+    new = new.unionByName(orders(i).where((F.col("dt") == "1998-02") & (F.col("amount") > 200000)))
     tables.overwrite_days(new, at)
     return tables.scan(i.spark, at)
 
@@ -104,11 +104,11 @@ SELECT o_custkey AS user_id, o_orderkey AS order_id, epoch_us(o_orderdate) // 10
 """)
 def keyed_upsert(i: Inputs):
     """Three batches, the last one twice, into a keyed table; then one row per key from a compacted copy."""
-    o = i.table("orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("order_id"), F.unix_millis("o_orderdate").alias("ts"))
-    table = KeyedTable(i.spark, scratch(i.spark, "keyed"), o.schema, ["user_id"], ["ts", "order_id"], buckets=8)
-    for n in range(3):
-        table.upsert(o.where(F.col("order_id") % 3 == n), n)
-    table.upsert(o.where(F.col("order_id") % 3 == 2), 2)
+    o = i.table("orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("order_id"), F.unix_millis("o_orderdate").alias("ts"), "o_orderstatus")
+    wanted = o.drop("o_orderstatus").schema
+    table = KeyedTable(i.spark, scratch(i.spark, "keyed"), wanted, ["user_id"], ["ts", "order_id"], buckets=8)
+    for n, status in enumerate(("F", "O", "P", "P")):
+        table.upsert(o.where(F.col("o_orderstatus") == status), min(n, 2))
     return table.compact(scratch(i.spark, "keyed-packed"), 2).read()
 
 
