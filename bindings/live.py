@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bindings.ctes import PRICE, CUT, LINE_ID, UNIT, cte
+from bindings.ctes import cte
 from bindings.inputs import Inputs
-from bindings.register import big, dbl, query, txt
+from bindings.register import big, dbl, query
 from tidemill.functions import text
 from tidemill.functions.columns import money
 from tidemill.session import scratch
 from tidemill.sources import schemas, streams
-from tidemill.streaming import cdc, dedup, enrich, jobs, logs, users, windows
+from tidemill.streaming import dedup, jobs, logs, users, windows
 
 
 def stream_of(i: Inputs, name: str):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings.inputs import Inputs
-from bindings.register import dbl, query
+from bindings.register import query
 from tidemill.functions.columns import money
 from tidemill.session import scratch
 from tidemill.sources import streams, tables

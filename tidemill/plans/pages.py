@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import Day, count_where, day, flag, ratio, ratio_or_null, ratio_over_one
+from tidemill.functions.columns import Day, count_where, day, flag, ratio_or_null, ratio_over_one
 from tidemill.operators.joins import lookup
 from tidemill.operators.ordered import HOT_ROWS, next_values, row_numbers
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import Day, count_where, day, days_back, flag, mean, within_days
+from tidemill.functions.columns import Day, count_where, day, mean
 from tidemill.operators.joins import full_join, lookup, region_chain
 from tidemill.operators.recent import recent_days
 
