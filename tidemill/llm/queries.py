@@ -62,8 +62,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH RECURSIVE {shingles_sql("d", "documents", "doc_id")},
 n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
-pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM d x JOIN d y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
-links AS (SELECT a, b FROM pairs JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * both >= 75 * (na.n + nb.n - both)),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM d x JOIN d y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * k >= 75 * (na.n + nb.n - k)),
 reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, b FROM reach JOIN links ON other = a)
 SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(other) AS component_id
 FROM reach r LEFT JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id

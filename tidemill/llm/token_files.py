@@ -36,9 +36,8 @@ from tidemill.llm.shared import in_arrow, kept, pick, text_slices
 
 # Fixed values of the file format.
 GAP_MAGIC, DOCS_MAGIC, TABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A50, 0x184D2A51, 0x184D2A5E, 0x8F92EAB1
-FRAME = struct.Struct("<QIII")
+FRAME, TAIL = "<QIII", "<QIIc"
 DOCS = np.dtype([("doc_id", "<i8"), ("flags", "u1"), ("frame", "<u4"), ("at", "<u4"), ("n", "<u4")])
-TAIL = struct.Struct("<QIIc")
 FRAME_IDS = 32_768
 
 
@@ -141,7 +140,7 @@ def _lines(path: str, end_id: int, level: int):
         if records:
             docs_at = position
             yield line(_skippable(DOCS_MAGIC, np.array(records, DOCS).tobytes() + bytes([encode.width])))
-            table = b"".join(FRAME.pack(*f) for f in frames) + TAIL.pack(docs_at, len(frames), SEEKABLE_MAGIC, b"\n")[:-1]
+            table = b"".join(struct.pack(FRAME, *f) for f in frames) + struct.pack(TAIL, docs_at, len(frames), SEEKABLE_MAGIC, b"\n")[:-1]
             yield line(_skippable(TABLE_MAGIC, table))
 
     return run
@@ -152,11 +151,11 @@ class TokenFile:
 
     def __init__(self, content: bytes):
         self.content = content
-        docs_at, n, magic, _ = TAIL.unpack(content[-TAIL.size :])
+        docs_at, n, magic, _ = struct.unpack(TAIL, content[-struct.calcsize(TAIL) :])
         if magic != SEEKABLE_MAGIC:
             raise ValueError("not a token file, or cut short")
-        begin = len(content) - TAIL.size - n * FRAME.size
-        self.frames = [FRAME.unpack_from(content, begin + i * FRAME.size) for i in range(n)]
+        begin = len(content) - struct.calcsize(TAIL) - n * struct.calcsize(FRAME)
+        self.frames = [struct.unpack_from(FRAME, content, begin + i * struct.calcsize(FRAME)) for i in range(n)]
         _, size = struct.unpack_from("<II", content, docs_at)
         records = content[docs_at + 8 : docs_at + 8 + size - 2]
         self.kind = np.dtype(f"<u{content[docs_at + 8 + size - 2]}")
