@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemill.llm import decontamination, jaccard, token_counts, token_files
+from tidemill.llm import decontamination, jaccard, line_dedup, mixing, quality, token_counts, token_files, toxicity, url_filter
 from tidemill.llm.shared import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -14,6 +15,7 @@ ORACLES: dict[str, str] = {}
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
+MIN_SITES = 8
 
 
 def vocabulary_path() -> str:
@@ -44,6 +46,17 @@ def shingles_sql(name: str, source: str, key: str) -> str:
     FROM (SELECT {key}, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM {name}_words WHERE len(w) > 0))"""
 
 
+@query()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 @query(f"""
 WITH {shingles_sql("d", "documents", "doc_id")}, {shingles_sql("b", "benchmark", "item_id")},
 n AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id)
@@ -54,6 +67,19 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query(f"""
+WITH lines AS (SELECT doc_id, source, line, pos, trim(line, chr(32) || chr(9) || chr(13)) AS bare FROM
+    (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS pos FROM documents)),
+bad AS (SELECT bare FROM lines WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= {MIN_SITES}),
+marked AS (SELECT l.*, b.bare IS NOT NULL AS gone FROM lines l LEFT JOIN bad b ON l.bare = b.bare)
+SELECT doc_id, CAST(count(*) FILTER (bare <> '') AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_removed,
+    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
+FROM marked GROUP BY doc_id
+""")
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_boilerplate(table(spark, sf_dir, "documents"), MIN_SITES)
+
+
 @query()
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path())
@@ -72,6 +98,66 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+# Captures and list entries made from the table ``pages``: a page's fetch day from its id; changes of four lists from the
+# hosts, their domains and first path parts, by the remainder of a number made from their MD5.
+CHANGES = [  # list, kind of pattern, modulus, remainder, action, day of the year
+    ("spam", "host", 3, 0, "block", 20), ("spam", "host", 6, 0, "drop", 140), ("spam", "host", 12, 0, "block", 230),
+    ("adult", "host", 5, 1, "block", 75), ("adult", "host", 5, 1, "allow", 300), ("malware", "domain", 2, 1, "block", 180),
+    ("malware", "domain", 4, 1, "drop", 210), ("trusted", "path", 4, 2, "allow", 0), ("trusted", "path", 8, 2, "drop", 250),
+    ("spam", "path", 7, 3, "block", 100),
+]
+
+
+def captures_and_entries(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    captures = pages.select("page_id", "url", F.expr("date_add(date'2024-01-01', cast(page_id * 37 % 366 as int))").alias("fetched_on"))
+    host = url_filter.host_of(F.col("url"))
+    named = pages.where("url is not null").select(host.alias("host"), F.get(F.split(url_filter.path_of(F.col("url")), "/"), F.lit(1)).alias("part"))
+    kinds = {"host": F.col("host"), "domain": F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), "path": F.concat("host", F.lit("/"), "part")}
+    patterns = named.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), p.alias("pattern")) for k, p in kinds.items()])).alias("p")) \
+        .select("p.*").where("length(pattern) > 0").distinct()
+    changes = F.array(*[F.struct(F.lit(name).alias("list"), F.lit(kind).alias("of"), F.lit(m).alias("m"), F.lit(r).alias("r"), F.lit(action).alias("action"), F.lit(day).alias("day"))
+                        for name, kind, m, r, action, day in CHANGES])
+    entries = patterns.select("kind", "pattern", F.conv(F.substring(F.md5("pattern"), 1, 7), 16, 10).cast("long").alias("x"), F.explode(changes).alias("c")).where("c.of = kind and x % c.m = c.r") \
+        .select("c.list", "pattern", "c.action", F.expr("date_add(date'2024-01-01', cast(c.day + x % 50 as int))").alias("listed_on"))
+    return captures, entries
+
+
+_HOST_SQL = r"""lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1))"""
+_PATH_SQL = r"""regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"""
+
+
+@query(rf"""
+WITH captures AS (SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INTEGER) AS fetched_on, {_HOST_SQL} AS host, {_PATH_SQL} AS path FROM pages),
+patterns AS (
+    SELECT 'host' AS kind, host AS pattern FROM captures UNION
+    SELECT 'domain', regexp_extract(host, '([^.]+\.[^.]+)$', 1) FROM captures UNION
+    SELECT 'path', host || '/' || split_part(path, '/', 2) FROM captures WHERE path LIKE '/%'),
+changes(list, kind, m, r, action, day) AS (VALUES {", ".join(str(c) for c in CHANGES)}),
+entries AS (SELECT list, pattern, action, DATE '2024-01-01' + CAST(day + x % 50 AS INTEGER) AS listed_on
+    FROM (SELECT *, CAST('0x' || substr(md5(pattern), 1, 7) AS BIGINT) AS x FROM patterns WHERE length(pattern) > 0) p JOIN changes USING (kind) WHERE x % m = r),
+days AS (SELECT list, pattern, listed_on, max(CASE action WHEN 'block' THEN 1 WHEN 'drop' THEN 2 ELSE 3 END) AS rank FROM entries GROUP BY ALL),
+spans AS (SELECT *, lead(listed_on) OVER (PARTITION BY list, pattern ORDER BY listed_on) AS next FROM days),
+met AS (SELECT page_id, url, fetched_on, list, pattern, CASE rank WHEN 1 THEN 'block' ELSE 'allow' END AS action,
+    row_number() OVER (PARTITION BY page_id, url, fetched_on ORDER BY length(pattern) DESC, rank DESC, list DESC, pattern DESC) AS place, count(*) OVER (PARTITION BY page_id, url, fetched_on) AS n
+    FROM captures c JOIN spans s ON rank <> 2 AND fetched_on >= listed_on AND (next IS NULL OR fetched_on < next)
+    AND (host = pattern OR host LIKE '%.' || pattern OR starts_with(host || regexp_replace(path, '/+$', '') || '/', pattern || '/')))
+SELECT c.page_id, c.url, strftime(c.fetched_on, '%Y-%m-%d') AS fetched_on, coalesce(n, 0) AS n_active, list, pattern, action, coalesce(action = 'block', false) AS blocked
+FROM captures c LEFT JOIN met m ON place = 1 AND c.page_id = m.page_id AND c.url = m.url AND c.fetched_on = m.fetched_on
+""")
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures, entries = captures_and_entries(table(spark, sf_dir, "pages"))
+    found = url_filter.filtered_urls(captures, entries)
+    return found.withColumn("fetched_on", F.date_format("fetched_on", "yyyy-MM-dd"))
+
+
+TARGETS = mixing.Targets(source={"src0": 0.25, mixing.OTHER: 0.75}, lang={"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.14, mixing.OTHER: 0.01}, topic=0.7)
+
+
+@query()
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"), TARGETS)
+
+
 @query()
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")

@@ -21,6 +21,9 @@ _BYTE[65:91] = _BYTE[97:123]
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
+#: Everything but letters; bytes of signs beyond ASCII count as letters.
+NOT_LETTERS = np.ones(256, bool)
+NOT_LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _BASE = 0x9E3779B97F4A7C15 | 5
 _PLACE = _random.integers(1, 2**63, WIDTH, dtype=np.uint64) | np.uint64(1)
 _powers: list[np.ndarray] = []
@@ -56,17 +59,19 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _PLACE[0])
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, ``first`` with the words of text i at ``first[i]:first[i+1]``)."""
+def spans(texts: pa.Array, gaps: np.ndarray, stems: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of bytes outside ``gaps`` (a table of 256): (hash, begin and end in the bytes of all texts, ``first`` with those
+    of text i at ``first[i]:first[i+1]``). With ``stems`` the hash has a column for the whole run and one for its first so
+    many bytes each."""
     raw, offsets = utf8(texts)
-    hashes, begins, at = [], [], 0
+    hashes, begins, limits, at = [], [], [], 0
     while at < len(raw):  # in blocks, cut after a space or between texts, so that memory stays bounded
         end = at + BLOCK
         if end >= len(raw):
             end = len(raw)
         else:
             while True:
-                spaces = np.flatnonzero(_SPACE[raw[at:end]])
+                spaces = np.flatnonzero(gaps[raw[at:end]])
                 limit = offsets[np.searchsorted(offsets, end, side="right") - 1]
                 cut = max(at + int(spaces[-1]) + 1 if len(spaces) else at, int(limit))
                 if cut > at or end == len(raw):
@@ -74,7 +79,7 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
                     break
                 end = min(len(raw), at + 2 * (end - at))  # one word longer than the block
         part = raw[at:end]
-        solid = ~_SPACE[part]
+        solid = ~gaps[part]
         edge = np.zeros(len(part) + 1, bool)
         inside = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, end, side="right")] - at
         edge[inside] = True
@@ -86,12 +91,25 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         after[-1], after[:-1] = False, solid[1:]
         ends = np.flatnonzero(solid & (~after | edge[1:])) + 1
         if len(starts):
-            hashes.append(run_hashes(_BYTE[part], starts, ends))
+            values = _BYTE[part]
+            found = run_hashes(values, starts, ends)
+            if stems:
+                found = np.column_stack([found, *[run_hashes(values, starts, np.minimum(starts + k, ends)) + np.uint64(k) for k in stems]])
+            hashes.append(found)
             begins.append(starts + at)
+            limits.append(ends + at)
         at = end
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(begins), offsets)
+        none = np.zeros(0, np.int64)
+        return np.zeros((0, 1 + len(stems)) if stems else 0, np.uint64), none, none, np.zeros(len(offsets), np.int64)
+    begins = np.concatenate(begins)
+    return np.concatenate(hashes), begins, np.concatenate(limits), np.searchsorted(begins, offsets)
+
+
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, ``first`` with the words of text i at ``first[i]:first[i+1]``)."""
+    hashes, _, _, first = spans(texts, _SPACE)
+    return hashes, first
 
 
 def runs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
