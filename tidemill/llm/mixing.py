@@ -2,8 +2,9 @@
 
 Documents fall into cells of source, language and topic; values that a target does not name are one cell value, OTHER, so
 the number of cells is bounded by the targets, whatever the data. The cells' token weights are raked to the targets'
-marginals; a cell's raked weight over its own, scaled so that the largest is 1, is the probability with which each of its
-documents is drawn. Expected token shares of the sample then equal the targets.
+marginals, no cell beyond the tokens it has, and at the largest size of the sample that this allows. A cell's raked weight
+over its own is the probability with which each of its documents is drawn, so the expected token shares of the sample equal
+the targets.
 """
 
 from __future__ import annotations
@@ -35,36 +36,46 @@ class Targets:
 
 
 def _topics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of each whole text, and its topic: the lexical group that most of its longer words fall into, ties to the first."""
+    """Words of each whole text, and its topic: the lexical group that most of its longer words fall into; the first of equals,
+    and for texts without such words."""
     for batch in text_slices(batches, "text"):
         h, begins, ends, first = spans(batch.column("text"), NOT_LETTERS)
         n = batch.num_rows
         long = ends - begins >= TOPIC_BYTES
         owner = np.repeat(np.arange(n), np.diff(first))
         votes = np.bincount(owner[long] * TOPICS + (h[long] % np.uint64(TOPICS)).astype(np.int64), minlength=n * TOPICS).reshape(n, TOPICS)
-        names = np.where(votes.sum(1) > 0, votes.argmax(1).astype(str), "none")
+        names = votes.argmax(1).astype(str)
         out = batch.drop_columns(["text"])
         yield out.append_column("n_words", pa.array(np.diff(first), pa.int64())).append_column("topic", pa.array(names.tolist(), pa.string()))
 
 
-def raked(mass: np.ndarray, margins: list[np.ndarray], rounds: int = 2000, precision: float = 1e-10) -> np.ndarray:
-    """``mass`` scaled along each axis in turn until its marginal shares are ``margins``. A value without mass gives up its
-    share to the others of its axis."""
-    share = mass / max(mass.sum(), 1e-300)
-    wanted = []
+def raked(mass: np.ndarray, margins: list[np.ndarray], rounds: int = 500, precision: float = 1e-9) -> np.ndarray:
+    """The part of ``mass`` to draw: scaled along each axis in turn, never beyond what is there, until its marginal shares are
+    ``margins``; of the sizes at which that is reached about the largest. A value without mass gives up its share to the
+    others of its axis."""
+    total = mass.sum()
+    if total <= 0:
+        return mass.astype(float)
+    wanted, size = [], total
     for axis, margin in enumerate(margins):
-        there = share.sum(axis=tuple(a for a in range(share.ndim) if a != axis)) > 0
-        margin = np.where(there, margin, 0.0)
-        wanted.append(margin / margin.sum() if margin.sum() > 0 else np.where(there, 1.0 / max(there.sum(), 1), 0.0))
-    for _ in range(rounds):
-        before = share
-        for axis, margin in enumerate(wanted):
-            now = share.sum(axis=tuple(a for a in range(share.ndim) if a != axis))
-            factor = np.divide(margin, now, out=np.zeros_like(now), where=now > 0)
-            share = share * np.expand_dims(factor, tuple(a for a in range(share.ndim) if a != axis))
-        if np.abs(share - before).max() < precision:
-            break
-    return share
+        have = mass.sum(axis=tuple(a for a in range(mass.ndim) if a != axis))
+        margin = np.where(have > 0, margin, 0.0)
+        margin = margin / margin.sum() if margin.sum() > 0 else have / total
+        wanted.append(margin)
+        size = min(size, (have[margin > 0] / margin[margin > 0]).min())
+    for _ in range(200):
+        drawn = mass * (size / total)
+        for _ in range(rounds):
+            for axis, margin in enumerate(wanted):
+                others = tuple(a for a in range(mass.ndim) if a != axis)
+                now = drawn.sum(axis=others)
+                factor = np.divide(size * margin, now, out=np.zeros_like(now), where=now > 0)
+                drawn = np.minimum(mass, drawn * np.expand_dims(factor, others))
+            off = max(np.abs(drawn.sum(axis=tuple(a for a in range(mass.ndim) if a != axis)) - size * m).max() for axis, m in enumerate(wanted))
+            if off <= precision * total:
+                return drawn
+        size *= 0.97
+    return drawn
 
 
 def _category(column: Column, named: Mapping[str, float]) -> Column:
@@ -106,14 +117,12 @@ def mixed(docs: DataFrame, targets: Targets, seed: int = 17, doc_id: str = "doc_
         else:
             found = mass.sum(axis=tuple(a for a in range(3) if a != axis))
             margins.append(np.where(found > 0, found / max(found.sum(), 1), 0) ** wanted)
-    share = raked(mass, margins)
-    weight = np.divide(share * mass.sum(), mass, out=np.zeros_like(mass), where=mass > 0)
-    top = weight.max() if weight.max() > 0 else 1.0
-    rows = [(*[v[i] for v, i in zip(values, at)], float(weight[at]) if mass[at] else 1.0, float(weight[at] / top) if mass[at] else 1.0)
-            for at in np.ndindex(*mass.shape)]
+    drawn = raked(mass, margins)
+    chance = np.divide(drawn, mass, out=np.ones_like(mass), where=mass > 0)
+    level = drawn.sum() / mass.sum() if drawn.sum() > 0 else 1.0
+    rows = [(*[v[i] for v, i in zip(values, at)], float(chance[at] / level), float(chance[at])) for at in np.ndindex(*mass.shape)]
     table = docs.sparkSession.createDataFrame(rows, "cell_source string, cell_lang string, cell_topic string, weight double, probability double")
-    drawn = _chance(F.col("doc_id"), seed)
-    drawn = F.when(F.col("doc_id").isNull(), F.lit(0.5)).otherwise(drawn)
+    drawn = F.when(F.col("doc_id").isNull(), F.lit(0.5)).otherwise(_chance(F.col("doc_id"), seed))
     return counted.join(F.broadcast(table), keys).select("doc_id", "n_words", *keys, "weight", "probability", (drawn < F.col("probability")).alias("sampled"))
 
 

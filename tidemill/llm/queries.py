@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontamination, jaccard, line_dedup, mixing, quality, token_counts, token_files, toxicity, url_filter
+from tidemill.llm import decontamination, jaccard, line_dedup, mixing, nearest, quality, token_counts, token_files, toxicity, url_filter
 from tidemill.llm.shared import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_boilerplate(table(spark, sf_dir, "documents"), MIN_SITES)
 
 
+@query()
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path())
