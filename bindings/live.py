@@ -449,22 +449,21 @@ def stream_user_behaviour_stats(i: Inputs):
     return jobs.behaviour_stats_job(behaviour(i, live=True), scratch(i.spark, "behaviour-stats"), buckets=8)
 
 
-def _funnel(limit: str) -> str:
-    return f"""
+_FUNNEL = """
 SELECT user_id, v AS view_cnt, c AS cart_cnt, p AS pay_cnt, cast(c as double) / v AS view_to_cart_rate, cast(p as double) / c AS cart_to_pay_rate, cast(p as double) / v AS view_to_pay_rate
 FROM (SELECT user_id, count(*) FILTER (b = 'view') AS v, count(*) FILTER (b = 'cart') AS c, count(*) FILTER (b = 'pay') AS p FROM u_beh GROUP BY user_id)
-WHERE v > 0 AND c > 0 AND p > 0 {limit}
+WHERE v > 0 AND c > 0 AND p > 0
 """
 
 
-@query(_funnel("ORDER BY user_id LIMIT 200"))
+@query(_FUNNEL)
 def user_funnel(i: Inputs):
     return users.user_funnel(behaviour(i))
 
 
-@query(_funnel(""))
+@query(_FUNNEL)
 def user_funnel_all(i: Inputs):
-    return users.user_funnel(behaviour(i), None)
+    return users.user_funnel(behaviour(i))
 
 
 _TOP = "(SELECT user_id, name FROM (SELECT user_id, brand_id AS name, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, brand_id) AS rn FROM u_beh WHERE b = '{k}' GROUP BY user_id, brand_id) WHERE rn = 1)"
@@ -478,9 +477,9 @@ FROM {_TOP.format(k='view')} v {join} JOIN {_TOP.format(k='cart')} c USING (user
 """
 
 
-@query(_preference("LEFT", "WHERE top_cart_brand IS NOT NULL AND top_pay_brand IS NOT NULL AND prefer_category3 IS NOT NULL AND prefer_platform IS NOT NULL ORDER BY user_id LIMIT 5000"))
+@query(_preference("LEFT", "WHERE top_cart_brand IS NOT NULL AND top_pay_brand IS NOT NULL AND prefer_category3 IS NOT NULL AND prefer_platform IS NOT NULL"))
 def user_preference(i: Inputs):
-    return users.user_preference(behaviour(i), "left", complete_only=True, limit=5000)
+    return users.user_preference(behaviour(i), "left", complete_only=True)
 
 
 @query(_preference("FULL"))

@@ -64,7 +64,7 @@ SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderkey % 300 AS sku_id,
 FROM orders LEFT JOIN part ON p_partkey = o_orderkey % 300 WHERE o_orderstatus IN ('F', 'O')
 """)
 cte("z_step", """
-SELECT * FROM (SELECT user_id, session_id, page_id AS from_page, lead(page_id) OVER (PARTITION BY user_id, session_id ORDER BY event_time) AS to_page, event_time FROM z_log)
+SELECT * FROM (SELECT user_id, session_id, page_id AS from_page, lead(page_id) OVER (PARTITION BY user_id, session_id ORDER BY event_time, log_id) AS to_page, event_time, log_id FROM z_log)
 WHERE to_page IS NOT NULL
 """)
 
@@ -94,7 +94,7 @@ def fact_valid_order(i: Inputs):
     return valid_orders(i)
 
 
-@query(f"SELECT user_id, session_id, from_page, to_page, {tms('event_time', 'event_time')} FROM z_step")
+@query(f"SELECT user_id, session_id, from_page, to_page, {tms('event_time', 'event_time')}, log_id FROM z_step")
 def page_transitions(i: Inputs):
     return pages.page_transitions(visit_log(i))
 
@@ -170,8 +170,8 @@ def entry_conversion(i: Inputs):
 
 
 @query(f"""
-SELECT p.user_id, '{EVENT_DAY}' AS visit_date, path_chain, d AS total_duration
-FROM (SELECT user_id, session_id, string_agg(from_page || '->' || to_page, '->' ORDER BY event_time) AS path_chain FROM z_step GROUP BY ALL) p
+SELECT p.user_id, session_id, '{EVENT_DAY}' AS visit_date, path_chain, d AS total_duration
+FROM (SELECT user_id, session_id, string_agg(from_page || '->' || to_page, '->' ORDER BY event_time, log_id) AS path_chain FROM z_step GROUP BY ALL) p
 LEFT JOIN (SELECT user_id, cast(sum(duration) as bigint) AS d FROM z_stay GROUP BY 1) s ON p.user_id = s.user_id
 """)
 def user_flow_path(i: Inputs):
@@ -367,7 +367,7 @@ def order_summary(i: Inputs):
 cte("p_log", f"""
 SELECT event_id AS log_id, user_id, event_type, ts, k AS product_id, k % 10 AS store_id, strftime(ts, '%Y%m%d') AS dt, cast(floor(value) as bigint) AS stay,
        k % 3 = 0 AS is_bounce, k % 5 = 0 AS is_micro, k % 7 AS quantity, cast(value as decimal(16,2)) AS amount, k % 4 = 0 AS gone, event_id % 500 AS order_id, k
-FROM x_ev WHERE ts >= {E} - 30 AND ts < {E} + 1
+FROM x_ev WHERE ts >= {E} - 29 AND ts < {E} + 1
 """)
 cte("p_visit", """
 SELECT product_id, store_id, dt, count(DISTINCT log_id) AS pv, count(DISTINCT user_id) AS uv, cast(sum(stay) as double) / count(stay) AS avg_stay_time,
@@ -568,7 +568,7 @@ def fact_user_sku_action(i: Inputs):
 cte("l_rel", f"""
 SELECT a.sku_id AS main_sku, b.sku_id AS related_sku, b.action_type, count(*) AS action_cnt FROM l_act a JOIN l_act b
   ON a.user_id = b.user_id AND b.action_time BETWEEN a.action_time - interval 30 minutes AND a.action_time + interval 30 minutes AND a.sku_id <> b.sku_id
-WHERE a.sku_id IN ({MAIN_SQL}) AND a.action_time >= {E} - 30 GROUP BY ALL
+WHERE a.sku_id IN ({MAIN_SQL}) AND a.action_time >= {E} - 29 AND a.action_time < {E} + 1 GROUP BY ALL
 """)
 
 
@@ -607,7 +607,7 @@ def detail_guide(i: Inputs):
 
 
 @query(f"""
-SELECT item_id, cast(sum(n) as bigint) AS total_uv FROM (SELECT k AS item_id, dt, count(DISTINCT user_id) AS n FROM x_ev WHERE dt BETWEEN {E} - 7 AND {E} GROUP BY ALL)
+SELECT item_id, cast(sum(n) as bigint) AS total_uv FROM (SELECT k AS item_id, dt, count(DISTINCT user_id) AS n FROM x_ev WHERE dt BETWEEN {E} - 6 AND {E} GROUP BY ALL)
 GROUP BY item_id ORDER BY total_uv DESC, item_id LIMIT 10
 """)
 def top_traffic_items(i: Inputs):

@@ -1,5 +1,7 @@
 """Small hand-worked cases of batch operators."""
 
+from collections import Counter
+
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -8,8 +10,9 @@ from tidemill.functions import columns as c
 from tidemill.functions import text
 from tidemill.operators.joins import full_join, region_chain
 from tidemill.operators.latest import dim_upsert_latest, latest_by_key, scd2_merge
-from tidemill.operators.recent import recent_days
+from tidemill.operators.recent import recent_days, roll_forward
 from tidemill.plans import dims, pages, reports, summaries, transport, visits
+from tidemill.streaming.dedup import dedup_bounded
 
 
 def test_first_purchase_in_month(spark, as_rows):
@@ -41,7 +44,6 @@ def test_totals_with_share(spark, as_rows):
     df = spark.createDataFrame([("p", 10), ("q", 30), ("p", 20), ("r", 40)], "name string, amount int")
     want = [("p", 30, 2, "30.00%"), ("q", 30, 3, "30.00%"), ("r", 40, 1, "40.00%")]
     assert as_rows(visits.totals_with_share(df)) == want
-    assert as_rows(visits.totals_with_share(df, hot_rows=1)) == want
 
 
 def test_daily_new_returning_counts_users_once(spark, as_rows):
@@ -138,18 +140,19 @@ def test_entry_conversion_counts_orders_once(spark, as_rows):
 
 def test_path_text_is_in_order_across_chunks(spark, monkeypatch):
     monkeypatch.setattr(pages, "CHAIN_CHUNK", 3)
-    steps = [(1, "s", f"p{n}", n) for n in range(12)]
-    log = spark.createDataFrame(steps, "user_id int, session_id string, page_id string, event_time int")
+    steps = [(1, "s", f"p{n}", n // 2, n) for n in range(12)]  # two visits at each time
+    log = spark.createDataFrame(steps, "user_id int, session_id string, page_id string, event_time int, log_id int").repartition(3)
     stay = spark.createDataFrame([(1, 4)], "user_id int, duration int")
-    for hot in (10**6, 2):
-        moves = pages.page_transitions(log, hot_rows=hot)
-        chain = pages.user_flow_path(moves, stay, "2020-01-01", hot_rows=hot).first()["path_chain"]
-        assert chain == "->".join(f"p{n}->p{n + 1}" for n in range(11))
+    for moves in (pages.page_transitions(log), pages.page_transitions(log, number="rn")):
+        row = pages.user_flow_path(moves, stay, "2020-01-01").first()
+        assert row["session_id"] == "s" and row["path_chain"] == "->".join(f"p{n}->p{n + 1}" for n in range(11))
 
 
 def test_page_path_hot_session(spark, as_rows):
     log = spark.createDataFrame([("s", n, f"p{n % 3}") for n in range(50)] + [("t", 1, "p0")], "session_id string, view_time int, page_id string")
-    assert as_rows(reports.page_path(log)) == as_rows(reports.page_path(log, hot_rows=5))
+    steps = Counter((f"step-{n + 1}:p{n % 3}", f"step-{n + 2}:p{(n + 1) % 3}" if n < 49 else "null") for n in range(50))
+    steps[("step-1:p0", "null")] += 1
+    assert as_rows(reports.page_path(log)) == sorted(((*k, n) for k, n in steps.items()), key=repr)
 
 
 def test_ratios(spark):
@@ -205,3 +208,27 @@ def test_saved_table_is_replaced(spark, as_rows):
 def test_calendar_and_masks_accept_nulls(spark):
     df = spark.createDataFrame([(None,)], "phone_num string")
     assert dims.mask_pii(df, name=None, email=None).first()[0] is None
+
+
+def test_scd2_merge_twice_is_merge_once(spark, as_rows):
+    history = spark.createDataFrame([(1, "a", "2020-01-01", "9999-12-31"), (2, "b", "2020-01-01", "9999-12-31"), (1, "z", "2019-01-01", "2019-12-31")],
+                                    "id int, v string, s string, e string").selectExpr("id", "v", "cast(s as date) as start_date", "cast(e as date) as end_date")
+    changes = spark.createDataFrame([(1, "c"), (3, "d")], "id int, v string")
+    once = scd2_merge(history, changes, "id", "2020-03-01")
+    assert as_rows(scd2_merge(once, changes, "id", "2020-03-01")) == as_rows(once)
+    assert once.where("start_date > end_date").count() == 0 and once.count() == 5
+
+
+def test_roll_forward_twice_is_once(spark, as_rows):
+    old = spark.createDataFrame([(1, "2020-01-01", "2020-02-01", 5), (2, "2020-01-02", "2020-02-02", 7)], "u int, f string, l string, n int").selectExpr(
+        "u", "cast(f as date) as f", "cast(l as date) as l", "cast(n as bigint) as n")
+    new = spark.createDataFrame([(1, 2), (3, 4)], "u int, d int")
+    once = roll_forward(old, new, ["u"], {"n": "d"}, "2020-03-01", "f", "l")
+    assert as_rows(roll_forward(once, new, ["u"], {"n": "d"}, "2020-03-01", "f", "l")) == as_rows(once)
+    assert as_rows(once, "u", "n") == [(1, 7), (2, 7), (3, 4)]
+
+
+def test_bounded_copies_further_apart_both_stay(spark, as_rows):
+    rows = [("a", "2020-01-01 00:00:00"), ("a", "2020-01-01 00:30:00"), ("a", "2020-01-01 00:30:00"), ("a", "2020-01-08 00:00:00"), ("b", "2020-01-01 00:00:00")]
+    df = spark.createDataFrame(rows, "k string, t string").selectExpr("k", "cast(t as timestamp) as t")
+    assert as_rows(dedup_bounded(df, ["k"], "t", "1 hour").selectExpr("k", "day(t)")) == [("a", 1), ("a", 8), ("b", 1)]

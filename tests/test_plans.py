@@ -4,14 +4,14 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from bindings.catalog import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
-BATCH = [n for n in entry.queries() if not n.startswith(("stream_", "table_", "keyed_"))]
+BATCH = [n for n in QUERIES if not n.startswith(("stream_", "table_", "keyed_"))]
 
 
 def plan(spark, name):
-    return entry.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.fixture(scope="module")
@@ -40,3 +40,8 @@ def test_top_k_is_cut_before_the_shuffle(spark, name):
 def test_last_days_reach_the_scan(spark):
     scans = re.findall(r"PushedFilters: \[[^\]]*\]", plan(spark, "user_sku_order_nd"))
     assert any("GreaterThanOrEqual(o_orderdate" in s for s in scans)
+
+
+@pytest.mark.parametrize("name", ["page_path", "page_transitions", "user_flow_path", "product_sales_rank", "totals_with_share", "dedup_newer_only", "related_actions"])
+def test_order_and_pairs_need_no_single_task(spark, no_broadcast, name):
+    assert "SinglePartition" not in plan(spark, name)

@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from bindings.catalog import ORACLES, QUERIES
 from check import compare, duck
 
 SMALL = "/root/testdata/sf0.001"
-ORACLES = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,14 +14,15 @@ def con():
     return duck(SMALL)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    problem, _, _ = compare(spark, con, name, entry.queries()[name], ORACLES.get(name), SMALL)
+    problem, _, _ = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SMALL)
     assert problem is None, problem
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):

@@ -38,8 +38,12 @@ def scd2_merge(
 
     A changed key's open row is closed the day before and its new row opened on ``as_of``. Unchanged keys
     stay open with their old start. Closed rows pass through untouched. If a key changed more than once that
-    day, ``change_order`` decides which row is the last.
+    day, ``change_order`` decides which row is the last. Rows that an earlier run of the same day opened are dropped and
+    those it closed are opened again first, so a rerun on its own output changes nothing.
     """
+    day_before = F.date_sub(day(as_of), 1)
+    history = history.where(F.coalesce(F.col("start_date") <= day_before, F.lit(True))).withColumn(
+        "end_date", F.when(F.col("end_date") == day_before, F.lit(OPEN_END).cast("date")).otherwise(F.col("end_date")))
     attributes = [c for c in history.columns if c not in (key, "start_date", "end_date")]
     new = changes.select(key, *attributes, *[c for c in change_order if isinstance(c, str) and c not in (key, *attributes)])
     order = list(change_order) or [F.struct(*attributes)]
@@ -50,7 +54,7 @@ def scd2_merge(
         key,
         *attributes,
         "start_date",
-        F.when(is_open & F.col("_touched"), F.date_sub(day(as_of), 1)).otherwise(F.col("end_date")).alias("end_date"),
+        F.when(is_open & F.col("_touched"), day_before).otherwise(F.col("end_date")).alias("end_date"),
     )
     opened = new.select(
         key, *attributes, day(as_of).alias("start_date"), F.lit(OPEN_END).cast("date").alias("end_date")

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HEAVY_PAIRS = 50_000_000
-
 
 def _slotted(df: DataFrame, key: str, time: str, tags: Sequence[str], width: int) -> DataFrame:
     """Rows merged on exact time, with the time cut into a slot of ``width`` microseconds and an offset."""
@@ -41,7 +39,7 @@ def _same_offset() -> Column:
     return F.array(F.struct(F.lit(-1).alias("level"), F.col("_off").alias("prefix")))
 
 
-def _heavy_counts(left: DataFrame, right: DataFrame, key: str, tag: str, tags: Sequence[str], width: int) -> DataFrame:
+def _counted(left: DataFrame, right: DataFrame, key: str, tag: str, tags: Sequence[str], width: int) -> DataFrame:
     """Pair counts from products of group counts.
 
     Same slot: every pair is near enough. Neighbour slot: near enough when one offset is not above the other,
@@ -73,54 +71,16 @@ def _heavy_counts(left: DataFrame, right: DataFrame, key: str, tag: str, tags: S
     return a.join(b, [key, "_slot", "_dir", "_cell"]).where(F.col(tag) != F.col(tags[0]))
 
 
-def near_pair_counts(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    time: str,
-    tag: str,
-    tags: Sequence[str],
-    seconds: int,
-    heavy_pairs: int = HEAVY_PAIRS,
-) -> DataFrame:
+def near_pair_counts(left: DataFrame, right: DataFrame, key: str, time: str, tag: str, tags: Sequence[str], seconds: int) -> DataFrame:
     """For each (left ``tag``, right ``tags``): pairs with the same key, at most ``seconds`` apart, of
     different ``tag`` / ``tags[0]``. Columns: tag, tags, ``pairs``.
 
-    Time slots as wide as the range make this an equi join on (key, slot) against three slots. Left slots that
-    could give more than ``heavy_pairs`` pairs are counted by ``_heavy_counts`` instead.
+    Time slots as wide as the range make this an equi join on (key, slot); the right side is first cut to the slots in and
+    beside those of the left side. Pairs are products of group counts and are never formed.
     """
     width = seconds * 1_000_000
     a = _slotted(left, key, time, [tag], width)
-    b = _slotted(right.join(left.select(key), key, "left_semi"), key, time, tags, width)
-
-    sizes_a = a.groupBy(key, "_slot").agg(F.sum("_n").alias("_la"))
-    sizes_b = b.groupBy(key, "_slot").agg(F.sum("_n").alias("_lb")).select(
-        key, "_lb", _neighbours(F.col("_slot")).alias("_slot")
-    ).groupBy(key, "_slot").agg(F.sum("_lb").alias("_lb"))
-    heavy = sizes_a.join(sizes_b, [key, "_slot"]).where(
-        F.col("_la").cast("double") * F.col("_lb").cast("double") > heavy_pairs
-    ).select(key, "_slot")
-    if heavy.isEmpty():
-        light, parts = a, []
-    else:
-        light = a.join(heavy, [key, "_slot"], "left_anti")
-        busy = a.join(heavy, [key, "_slot"], "left_semi")
-        around = heavy.select(key, _neighbours(F.col("_slot")).alias("_slot")).distinct()
-        parts = [_heavy_counts(busy, b.join(around, [key, "_slot"], "left_semi"), key, tag, tags, width)]
-
-    spread = light.select(
-        key, tag, F.col("_n").alias("_left_n"), F.col("_off").alias("_left_off"),
-        F.col("_slot").alias("_left_slot"), _neighbours(F.col("_slot")).alias("_slot"),
-    )
-    gap = F.col("_slot") - F.col("_left_slot")
-    near = (
-        (gap == 0)
-        | ((gap == 1) & (F.col("_off") <= F.col("_left_off")))
-        | ((gap == -1) & (F.col("_off") >= F.col("_left_off")))
-    )
-    pairs = spread.join(b.withColumnRenamed("_n", "_right_n"), [key, "_slot"]).where(near & (F.col(tag) != F.col(tags[0])))
-    columns = [tag, *tags, "_left_n", "_right_n"]
-    counted = pairs.select(*columns)
-    for part in parts:
-        counted = counted.unionByName(part.select(*columns))
+    around = a.select(key, _neighbours(F.col("_slot")).alias("_slot")).distinct()
+    b = _slotted(right, key, time, tags, width).join(around, [key, "_slot"], "left_semi")
+    counted = _counted(a, b, key, tag, tags, width)
     return counted.groupBy(tag, *tags).agg(F.sum(F.col("_left_n") * F.col("_right_n")).alias("pairs"))

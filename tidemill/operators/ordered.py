@@ -1,8 +1,9 @@
-"""Row order within a key when one key may hold a large part of all rows.
+"""Row order within a key, whatever the size of a key.
 
-A window over such a key would stream it through one task. Here keys up to ``HOT_ROWS`` rows use an ordinary
-window; the rows of larger keys are sorted across the cluster by (key, order), written once so that their
-places are fixed, and numbered from per-partition counts. Both ways give the same exact result.
+A window over a key would stream it through one task, and a key may hold a large part of all rows. Rows are therefore
+sorted across the cluster by (key, order), written once so that their places are fixed, and worked on in blocks: the rows
+of one key in one partition. What a block needs from its neighbours - the rows before it, the first row after it, the
+greatest value before it - comes from one small row per block.
 """
 
 from __future__ import annotations
@@ -14,115 +15,74 @@ from pyspark.sql import functions as F
 
 from tidemill.session import pinned
 
-HOT_ROWS = 5_000_000
-_OFFSET_BITS = 33  # monotonically_increasing_id keeps the row's place in the low 33 bits
+_PLACE_BITS = 33  # monotonically_increasing_id keeps the row's place in the low 33 bits
 
 
-def _split(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary keys, rows of hot keys or None).
-
-    There are at most rows / hot_rows hot keys, so the list of them is small by arithmetic.
-    """
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).drop("_n")
-    hot = pinned(hot)
-    if hot.isEmpty():
-        return df, None
-    same = [df[k].eqNullSafe(hot[k]) for k in keys]
-    listed = F.broadcast(hot)
-    return df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi")
+class _Blocks:
+    """Sorted, written rows with ``_part`` and ``_place``, and windows over their blocks."""
 
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]):
+        self.columns, self.keys = df.columns, list(keys) or ["_all"]
+        if not keys:
+            df = df.withColumn("_all", F.lit(0))
+        fixed = pinned(df.orderBy(*self.keys, *order))
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+        self.rows = fixed.withColumn("_part", F.spark_partition_id()).withColumn("_place", place)
+        self.inside = Window.partitionBy("_part", *self.keys).orderBy("_place")
+        self.by_part = Window.partitionBy(*self.keys).orderBy("_part")
+        self.earlier = self.by_part.rowsBetween(Window.unboundedPreceding, -1)
 
-def _placed(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    fixed = pinned(df.orderBy(*keys, *order))
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _OFFSET_BITS) - 1))
-    return fixed.withColumn("_part", F.spark_partition_id()).withColumn("_place", place)
+    def summary(self, *aggregates: Column) -> DataFrame:
+        """One row per block."""
+        return self.rows.groupBy("_part", *self.keys).agg(*aggregates)
 
+    def joined(self, blocks: DataFrame) -> DataFrame:
+        """Rows with the columns of their block."""
+        own = ["_part", *self.keys]
+        b = blocks.select(*[F.col(c).alias(f"_b{c}") for c in own], *[c for c in blocks.columns if c not in own])
+        return self.rows.join(b, [self.rows[c].eqNullSafe(b[f"_b{c}"]) for c in own]).drop(*[f"_b{c}" for c in own])
 
-def _earlier_parts(keys: Sequence[str]):
-    return Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    def numbers(self) -> DataFrame:
+        """Block rows with ``_first``, the place of its first row, and ``_before``, the key's rows in earlier blocks."""
+        blocks = self.summary(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+        return blocks.withColumn("_before", F.coalesce(F.sum("_n").over(self.earlier), F.lit(0)))
 
 
-def _join_blocks(placed: DataFrame, blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    b = blocks.select(*[F.col(c).alias(f"_b_{c}") for c in ("_part", *keys)],
-                      *[c for c in blocks.columns if c not in ("_part", *keys)])
-    on = [placed[c].eqNullSafe(b[f"_b_{c}"]) for c in ("_part", *keys)]
-    return placed.join(b, on).drop(*[f"_b_{c}" for c in ("_part", *keys)])
+def _number() -> Column:
+    return (F.col("_place") - F.col("_first") + F.col("_before") + 1).cast("bigint")
 
 
-def row_numbers(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str | Column],
-    name: str = "rn",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str = "rn") -> DataFrame:
     """``row_number`` per key. ``order`` must be unique within a key. Without keys the whole frame is ranked."""
-    if not keys:
-        return row_numbers(df.withColumn("_all", F.lit(0)), ["_all"], order, name, hot_rows).drop("_all")
-    cold, hot = _split(df, keys, hot_rows)
-    result = cold.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
-    if hot is None:
-        return result
-    placed = _placed(hot, keys, order)
-    blocks = placed.groupBy("_part", *keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")
-    )
-    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(_earlier_parts(keys)), F.lit(0)))
-    numbered = _join_blocks(placed, blocks, keys).withColumn(
-        name, (F.col("_place") - F.col("_first") + F.col("_before") + 1).cast("bigint")
-    )
-    return result.unionByName(numbered.select(*result.columns))
+    blocks = _Blocks(df, keys, order)
+    return blocks.joined(blocks.numbers()).withColumn(name, _number()).select(*blocks.columns, name)
 
 
 def next_values(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str | Column],
-    columns: dict[str, str],
-    number: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], columns: dict[str, str], number: str | None = None
 ) -> DataFrame:
     """Add each ``columns[name]`` of the following row within the key as ``name`` (NULL on the last row).
 
-    ``number`` also adds the row number.
+    ``number`` also adds the row number. Only the last row of a block looks at the next block.
     """
-    rn = number or "_rn"
-    cold, hot = _split(df, keys, hot_rows)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    result = cold
-    for name, source in columns.items():
-        result = result.withColumn(name, F.lead(source).over(w))
+    blocks = _Blocks(df, keys, order)
+    first = F.min_by(F.struct(*[F.col(source).alias(name) for name, source in columns.items()]), "_place").alias("_head")
+    summary = blocks.summary(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"), F.max("_place").alias("_last"), first)
+    summary = summary.withColumns({
+        "_before": F.coalesce(F.sum("_n").over(blocks.earlier), F.lit(0)), "_follow": F.lead("_head").over(blocks.by_part),
+    }).drop("_head")
+    rows = blocks.joined(summary)
+    follow = {name: F.when(F.col("_place") == F.col("_last"), F.col(f"_follow.{name}")).otherwise(F.lead(source).over(blocks.inside))
+              for name, source in columns.items()}
     if number:
-        result = result.withColumn(number, F.row_number().over(w).cast("bigint"))
-    if hot is None:
-        return result
-    numbered = row_numbers(hot, keys, order, rn, hot_rows=0)
-    follow = numbered.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        (F.col(rn) - 1).alias("_k_rn"),
-        *[F.col(source).alias(name) for name, source in columns.items()],
-    )
-    on = [numbered[k].eqNullSafe(follow[f"_k_{k}"]) for k in keys] + [numbered[rn] == follow["_k_rn"]]
-    return result.unionByName(numbered.join(follow, on, "left").select(*result.columns))
-
-
-def new_maxima(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+        follow[number] = _number()
+    return rows.withColumns(follow).select(*blocks.columns, *follow)
+
+
+def new_maxima(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str) -> DataFrame:
     """Rows whose ``value`` is greater than every earlier row's of the same key."""
-    cold, hot = _split(df, keys, hot_rows)
-    earlier = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    is_new = F.col("_seen").isNull() | (F.col(value) > F.col("_seen"))
-    result = cold.withColumn("_seen", F.max(value).over(earlier)).where(is_new).drop("_seen")
-    if hot is None:
-        return result
-    placed = _placed(hot, keys, order)
-    blocks = placed.groupBy("_part", *keys).agg(F.max(value).alias("_top"))
-    blocks = blocks.withColumn("_carried", F.max("_top").over(_earlier_parts(keys))).drop("_top")
-    inside = Window.partitionBy("_part", *keys).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
-    kept = (
-        _join_blocks(placed, blocks, keys)
-        .withColumn("_seen", F.greatest(F.max(value).over(inside), F.col("_carried")))
-        .where(is_new)
-    )
-    return result.unionByName(kept.select(*result.columns))
+    blocks = _Blocks(df, keys, order)
+    summary = blocks.summary(F.max(value).alias("_top")).withColumn("_carried", F.max("_top").over(blocks.earlier)).drop("_top")
+    before = F.max(value).over(blocks.inside.rowsBetween(Window.unboundedPreceding, -1))
+    seen = blocks.joined(summary).withColumn("_seen", F.greatest(before, F.col("_carried")))
+    return seen.where(F.col("_seen").isNull() | (F.col(value) > F.col("_seen"))).select(*blocks.columns)

@@ -63,15 +63,17 @@ def roll_forward(
     """Yesterday's to-date table plus one day's summary.
 
     ``sums`` maps a to-date total to the day's column. A key seen that day gets ``last = as_of``; a key
-    seen for the first time gets ``first = as_of``.
+    seen for the first time gets ``first = as_of``. A key whose ``last`` is ``as_of`` or later holds that day already and
+    stays as it is, so a rerun on its own output changes nothing.
     """
     o = old.select(*keys, first, last, *sums)
     n = new.select(*keys, *[F.col(source).alias(f"_day_{total}") for total, source in sums.items()],
                    F.lit(True).alias("_seen"))
     both = o.join(n, list(keys), "full")
+    known = F.coalesce(F.col(last) >= day(as_of), F.lit(False))
     return both.select(
         *keys,
         F.coalesce(F.col(first), day(as_of)).alias(first),
-        F.when(F.col("_seen"), day(as_of)).otherwise(F.col(last)).alias(last),
-        *[(zero_if_null(t) + zero_if_null(f"_day_{t}")).alias(t) for t in sums],
+        F.when(F.col("_seen") & ~known, day(as_of)).otherwise(F.col(last)).alias(last),
+        *[F.when(known, F.col(t)).otherwise(zero_if_null(t) + zero_if_null(f"_day_{t}")).alias(t) for t in sums],
     )

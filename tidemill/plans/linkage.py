@@ -7,29 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import Day, day, flag, sum_where
+from tidemill.functions.columns import Day, day, days_back, flag, sum_where, within_days
 from tidemill.operators.joins import lookup
-from tidemill.operators.near import HEAVY_PAIRS, near_pair_counts
+from tidemill.operators.near import near_pair_counts
 
 
 def fact_user_sku_action(action: DataFrame, sku: DataFrame) -> DataFrame:
     return lookup(action, sku, "sku_id", "sku_id")
 
 
-def related_actions(
-    action: DataFrame, main_skus: Sequence, as_of: Day, minutes: int = 30, days: int = 7, heavy_pairs: int = HEAVY_PAIRS
-) -> DataFrame:
-    """Actions on other items within ``minutes`` of a recent action on a main item by the same user.
+def related_actions(action: DataFrame, main_skus: Sequence, as_of: Day, minutes: int = 30, days: int = 7) -> DataFrame:
+    """Actions on other items within ``minutes`` of an action on a main item by the same user in the last ``days`` days.
 
-    Only actions since the first possible main action, less the range, can pair, so older ones are not read.
+    Only actions from the first possible main action, less the range, to the end of ``as_of``, plus the range, can pair, so
+    others are not read.
     """
-    first = F.date_sub(day(as_of), days).cast("timestamp")
-    main = action.where(F.col("sku_id").isin(list(main_skus)) & (F.col("action_time") >= first))
-    action = action.where(F.col("action_time") >= first - F.expr(f"interval {minutes} minutes"))
+    first, end = days_back(as_of, days).cast("timestamp"), F.date_add(day(as_of), 1).cast("timestamp")
+    at, range_ = F.col("action_time"), F.expr(f"interval {minutes} minutes")
+    main = action.where(F.col("sku_id").isin(list(main_skus)) & (at >= first) & (at < end))
+    action = action.where((at >= first - range_) & (at <= end + range_))
     pairs = near_pair_counts(
         main.select("user_id", "action_time", F.col("sku_id").alias("main_sku")),
         action.select("user_id", "action_time", F.col("sku_id").alias("related_sku"), "action_type"),
-        "user_id", "action_time", "main_sku", ["related_sku", "action_type"], minutes * 60, heavy_pairs,
+        "user_id", "action_time", "main_sku", ["related_sku", "action_type"], minutes * 60,
     )
     return pairs.withColumnRenamed("pairs", "action_cnt")
 
@@ -72,5 +72,5 @@ def detail_guide(action: DataFrame) -> DataFrame:
 
 def top_traffic_items(visit_1d: DataFrame, as_of: Day, n: int = 10, days: int = 7) -> DataFrame:
     """Items with the most visitors over the last days."""
-    recent = visit_1d.where((F.col("dt") >= F.date_sub(day(as_of), days)) & (F.col("dt") <= day(as_of)))
+    recent = visit_1d.where(within_days("dt", as_of, days))
     return recent.groupBy("item_id").agg(F.sum("pv_uv").alias("total_uv")).orderBy(F.col("total_uv").desc(), "item_id").limit(n)

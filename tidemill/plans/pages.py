@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.columns import Day, count_where, day, flag, ratio_or_null, ratio_over_one
 from tidemill.operators.joins import lookup
-from tidemill.operators.ordered import HOT_ROWS, next_values, row_numbers
+from tidemill.operators.ordered import next_values, row_numbers
 
 # Page and order codes of the page-flow theme.
 ENTRY_PAGES = ["home", "detail", "campaign"]
@@ -47,13 +47,15 @@ def fact_valid_order(orders: DataFrame, product: DataFrame, statuses: Sequence[s
 def page_transitions(
     visit_log: DataFrame,
     keys: Sequence[str] = ("user_id", "session_id"),
-    order: Sequence[str] = ("event_time",),
-    hot_rows: int = HOT_ROWS,
+    order: Sequence[str] = ("event_time", "log_id"),
     number: str | None = None,
 ) -> DataFrame:
-    """from_page -> to_page for each pair of consecutive visits of a session; ``number`` adds the step number."""
+    """from_page -> to_page for each pair of consecutive visits of a session; ``number`` adds the step number.
+
+    Visits at the same time follow in the order of the log id.
+    """
     columns = list(dict.fromkeys([*keys, "page_id", *order]))
-    steps = next_values(visit_log.select(*columns), keys, order, {"to_page": "page_id"}, number, hot_rows)
+    steps = next_values(visit_log.select(*columns), keys, order, {"to_page": "page_id"}, number)
     kept = [c for c in columns if c != "page_id"] + ([number] if number else [])
     return steps.where(F.col("to_page").isNotNull()).select(F.col("page_id").alias("from_page"), "to_page", *kept)
 
@@ -142,8 +144,7 @@ def entry_conversion(entry: DataFrame, valid_orders: DataFrame) -> DataFrame:
 
 
 def user_flow_path(
-    transitions: DataFrame, page_stay: DataFrame, as_of: Day, order: Sequence[str] = ("event_time",),
-    hot_rows: int = HOT_ROWS,
+    transitions: DataFrame, page_stay: DataFrame, as_of: Day, order: Sequence[str] = ("event_time", "log_id")
 ) -> DataFrame:
     """The ordered path of each session as text, with the user's total stay.
 
@@ -152,7 +153,7 @@ def user_flow_path(
     step number as ``rn`` are not numbered again.
     """
     keys = ["user_id", "session_id"]
-    numbered = transitions if "rn" in transitions.columns else row_numbers(transitions, keys, order, "rn", hot_rows)
+    numbered = transitions if "rn" in transitions.columns else row_numbers(transitions, keys, order, "rn")
     step = F.concat(F.col("from_page"), F.lit("->"), F.col("to_page"))
 
     def joined(entries):
@@ -163,7 +164,7 @@ def user_flow_path(
     )
     chains = chunks.groupBy(*keys).agg(joined(F.struct(F.col("chunk").alias("at"), "text")).alias("path_chain"))
     stay = page_stay.groupBy("user_id").agg(F.sum("duration").alias("total_duration"))
-    return chains.join(stay, "user_id", "left").select("user_id", day(as_of).alias("visit_date"), "path_chain", "total_duration")
+    return chains.join(stay, "user_id", "left").select("user_id", "session_id", day(as_of).alias("visit_date"), "path_chain", "total_duration")
 
 
 # page modules

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import Day, amount_per, band, count_where, day, flag, ratio, zero_if_null
+from tidemill.functions.columns import Day, amount_per, band, count_where, day, days_back, flag, ratio, zero_if_null
 from tidemill.operators.joins import lookup
-from tidemill.operators.ordered import HOT_ROWS, row_numbers
-from tidemill.session import pinned
+from tidemill.operators.ordered import row_numbers
 
 KEYS = ["product_id", "store_id", "dt"]
 
@@ -23,7 +22,7 @@ def fact_with_product_store(
     log: DataFrame, product: DataFrame, store: DataFrame, time: str, as_of: Day, days: int = 30
 ) -> DataFrame:
     """A log of the last ``days`` days with product and store names and a compact day ``dt``."""
-    recent = log.where((F.col(time) >= F.date_sub(day(as_of), days)) & (F.col(time) < F.date_add(day(as_of), 1)))
+    recent = log.where((F.col(time) >= days_back(as_of, days)) & (F.col(time) < F.date_add(day(as_of), 1)))
     named = lookup(recent, product, "product_id", "product_id", ["product_name"])
     named = lookup(named, store, "store_id", "store_id", ["store_name"])
     return named.withColumn("dt", F.date_format(time, "yyyyMMdd"))
@@ -170,20 +169,19 @@ def product_summary(order_detail: DataFrame, product_action: DataFrame) -> DataF
     return paid.join(acted, keys, "left").na.fill(0, [f"{k}_user_cnt" for k in kinds])
 
 
-def _daily_rank(df: DataFrame, measure: str, name: str, hot_rows: int) -> DataFrame:
-    """Ranks need the day sizes first, so the summary is written once instead of being worked out twice."""
-    return row_numbers(pinned(df), ["dt"], [F.col(measure).desc_nulls_last(), "product_id"], name, hot_rows)
+def _daily_rank(df: DataFrame, measure: str, name: str) -> DataFrame:
+    return row_numbers(df, ["dt"], [F.col(measure).desc_nulls_last(), "product_id"], name)
 
 
-def product_sales_rank(summary: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return _daily_rank(summary.select("dt", "product_id", "pay_amt"), "pay_amt", "rank_by_amt", hot_rows)
+def product_sales_rank(summary: DataFrame) -> DataFrame:
+    return _daily_rank(summary.select("dt", "product_id", "pay_amt"), "pay_amt", "rank_by_amt")
 
 
-def product_quantity_rank(summary: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return _daily_rank(summary.select("dt", "product_id", "pay_qty"), "pay_qty", "rank_by_qty", hot_rows)
+def product_quantity_rank(summary: DataFrame) -> DataFrame:
+    return _daily_rank(summary.select("dt", "product_id", "pay_qty"), "pay_qty", "rank_by_qty")
 
 
-def product_conversion_rank(summary: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def product_conversion_rank(summary: DataFrame) -> DataFrame:
     rated = summary.select("dt", "product_id", "pay_user_cnt", "view_user_cnt",
                            ratio("pay_user_cnt", "view_user_cnt").alias("conversion_rate"))
-    return _daily_rank(rated, "conversion_rate", "rank_by_conversion", hot_rows)
+    return _daily_rank(rated, "conversion_rate", "rank_by_conversion")

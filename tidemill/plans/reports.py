@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.columns import Day, count_where, day, flag, money, within_days
 from tidemill.operators.joins import lookup
-from tidemill.operators.ordered import HOT_ROWS, next_values
+from tidemill.operators.ordered import next_values
 from tidemill.operators.recent import last_days_to_rows, recent_days
 from tidemill.plans.summaries import PROVINCE_ATTRS
 
@@ -40,12 +40,12 @@ def traffic_by_channel(session_1d: DataFrame, as_of: Day) -> DataFrame:
     )
 
 
-def page_path(page_view: DataFrame, as_of: Day | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def page_path(page_view: DataFrame, as_of: Day | None = None) -> DataFrame:
     """Numbered steps of each session: ``step-n:page`` -> ``step-n+1:page`` and how often."""
     rows = page_view if as_of is None else page_view.where(F.col("dt") == day(as_of))
     steps = next_values(
         rows.select("session_id", "view_time", "page_id"), ["session_id"], ["view_time", "page_id"],
-        {"next_page_id": "page_id"}, number="rn", hot_rows=hot_rows,
+        {"next_page_id": "page_id"}, number="rn",
     )
     counted = steps.groupBy("rn", "page_id", "next_page_id").agg(F.count(F.lit(1)).alias("path_count"))
     return counted.select(

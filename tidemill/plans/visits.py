@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import count_where, percent_text
-from tidemill.operators.ordered import HOT_ROWS, row_numbers
+from tidemill.operators.ordered import row_numbers
 from tidemill.session import pinned
 
 
@@ -92,11 +92,11 @@ def two_day_active(visits: DataFrame) -> DataFrame:
     )
 
 
-def totals_with_share(amounts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def totals_with_share(amounts: DataFrame) -> DataFrame:
     """Total per name, its overall rank and its share of everything as text."""
     totals = pinned(amounts.groupBy("name").agg(F.sum("amount").alias("total")))
     everything = totals.agg(F.sum("total")).scalar()
-    ranked = row_numbers(totals, [], [F.col("total").desc(), "name"], "rank", hot_rows)
+    ranked = row_numbers(totals, [], [F.col("total").desc(), "name"], "rank")
     share = F.round(F.col("total").cast("double") / everything.cast("double"), 4)
     return ranked.select("name", "total", "rank", percent_text(share).alias("ratio"))
 

@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -34,13 +35,13 @@ def session(app: str = "tidemill", master: str | None = None, **extra: str) -> S
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only a local session without that setting gets a temporary folder; on a cluster a
-    machine-local folder would be lost with its machine, so a missing setting is an error.
+    Only a session of one JVM (``local[n]``) without that setting gets a temporary folder; elsewhere a machine-local folder
+    would be lost with its machine, so a missing setting is an error. Checkpoints are removed with the last reference.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local[") and context.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tidemill-")
     if not context.getCheckpointDir():

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tidemill.operators.ordered import HOT_ROWS, new_maxima
+from tidemill.operators.ordered import new_maxima
 
 
 def dedup_exact(events: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -18,20 +18,22 @@ def dedup_exact(events: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def dedup_bounded(events: DataFrame, columns: Sequence[str], event_time: str, within: str) -> DataFrame:
-    """Records with equal ``columns`` once, as long as the copies come within the given time of each other.
+    """Records with equal ``columns`` once, as long as a copy comes within the given time of the one before it.
 
-    Exact, with state bounded by the watermark. A batch has no watermark, so there every copy is dropped.
+    On a stream the state is bounded by the watermark; on a batch the gap between copies is measured, after copies of one
+    time are merged.
     """
     if events.isStreaming:
         return events.withWatermark(event_time, within).dropDuplicatesWithinWatermark(list(columns))
-    return events.dropDuplicates(list(columns))
+    times = list(dict.fromkeys([*columns, event_time]))
+    before = F.lag(event_time).over(Window.partitionBy(*columns).orderBy(event_time))
+    far = F.col("_before").isNull() | (F.col(event_time) > F.col("_before") + F.expr(f"interval {within}"))
+    return events.dropDuplicates(times).withColumn("_before", before).where(far).drop("_before")
 
 
-def dedup_newer_only(
-    events: DataFrame, keys: Sequence[str], arrival: Sequence[str], ts: str = "ts_ms", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def dedup_newer_only(events: DataFrame, keys: Sequence[str], arrival: Sequence[str], ts: str = "ts_ms") -> DataFrame:
     """Records that are newer than everything before them of the same key, in order of arrival (batch)."""
-    return new_maxima(events, keys, arrival, ts, hot_rows)
+    return new_maxima(events, keys, arrival, ts)
 
 
 def late_rows(events: DataFrame, seconds: int, kind: str, event_time: str, batch: str) -> DataFrame:

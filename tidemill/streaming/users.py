@@ -39,8 +39,8 @@ def user_behaviour_stats(behaviour: DataFrame) -> DataFrame:
     return stats_of_sessions(session_totals(behaviour))
 
 
-def user_funnel(behaviour: DataFrame, limit: int | None = 200) -> DataFrame:
-    """View, cart and pay counts with their three rates, for users with all steps; the first ``limit`` users."""
+def user_funnel(behaviour: DataFrame) -> DataFrame:
+    """View, cart and pay counts with their three rates, for users with all steps."""
     kinds = ("view", "cart", "pay")
     counts = behaviour.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         *[count_where(F.col("behavior_type") == k).alias(f"{k}_cnt") for k in kinds]
@@ -49,10 +49,9 @@ def user_funnel(behaviour: DataFrame, limit: int | None = 200) -> DataFrame:
     def rate(part: str, whole: str) -> Column:
         return F.when(F.col(f"{whole}_cnt") == 0, F.lit(0.0)).otherwise(F.col(f"{part}_cnt") / F.col(f"{whole}_cnt"))
 
-    rated = counts.withColumns({
+    return counts.withColumns({
         "view_to_cart_rate": rate("cart", "view"), "cart_to_pay_rate": rate("pay", "cart"), "view_to_pay_rate": rate("pay", "view"),
     }).where((F.col("view_cnt") > 0) & (F.col("cart_cnt") > 0) & (F.col("pay_cnt") > 0))
-    return rated if limit is None else rated.orderBy("user_id").limit(limit)
 
 
 def province_user_totals(orders: DataFrame) -> DataFrame:
@@ -81,7 +80,7 @@ def province_stats(orders: DataFrame) -> DataFrame:
     return stats_of_province_users(province_user_totals(orders))
 
 
-def user_preference(behaviour: DataFrame, form: str = "left", complete_only: bool = False, limit: int | None = None) -> DataFrame:
+def user_preference(behaviour: DataFrame, form: str = "left", complete_only: bool = False) -> DataFrame:
     """Each user's most viewed, carted and paid brand and most frequent category with platform; ties go to the
     smaller name.
 
@@ -107,9 +106,7 @@ def user_preference(behaviour: DataFrame, form: str = "left", complete_only: boo
     )
     if form == "left":
         result = result.where(F.col("top_view_brand").isNotNull())
-    if complete_only:
-        result = result.dropna()
-    return result if limit is None else result.orderBy("user_id").limit(limit)
+    return result.dropna() if complete_only else result
 
 
 # Tag -> (field of the enriched behaviour row, text where it is missing).
