@@ -1,8 +1,11 @@
-"""Bit tables of fixed size that say "perhaps" or "surely not" of a 64-bit number; their size never grows with the data."""
+"""Tables of fixed size over 64-bit numbers, which never grow with the data: bits that say "perhaps" or "surely not", and counts."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,3 +29,30 @@ def in_table(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
 def id_number(doc_id: Column) -> Column:
     """An id spread over 64 bits."""
     return F.xxhash64(doc_id.cast("string"))
+
+
+PARTS = 64
+
+
+def packed(kind: int, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A table of counts as rows (kind, part, counts); parts without counts are left out."""
+    for part, block in enumerate(counts.reshape(PARTS, -1)):
+        if block.any():
+            yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int64()), pa.array([part], pa.int64()), pa.array([block.astype("<i8").tobytes()], pa.binary())],
+                                             ["kind", "part", "counts"])
+
+
+def _added(rows: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(c.as_buffer(), "<i8") for c in rows.column("counts"))
+    return pa.table({"kind": rows.column("kind")[:1], "part": rows.column("part")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+
+PACKED = "kind long, part long, counts binary"
+
+
+def count_tables(rows: DataFrame, size: int) -> dict[int, np.ndarray]:
+    """The sums, by kind, of the tables that tasks have packed: PARTS rows of fixed size for each kind reach the driver."""
+    out: dict[int, np.ndarray] = {}
+    for r in rows.groupBy("kind", "part").applyInArrow(_added, PACKED).toLocalIterator():
+        out.setdefault(r["kind"], np.zeros((PARTS, size // PARTS), np.int64))[r["part"]] = np.frombuffer(bytes(r["counts"]), "<i8")
+    return {k: v.reshape(-1) for k, v in out.items()}

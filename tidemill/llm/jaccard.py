@@ -6,11 +6,13 @@
    its shingles in the other, so a quarter plus one of them always suffices; where more than a quarter are uncommon, so many
    of the uncommon ones suffice that a linked pair goes unmet with a chance below 1e-14, less than that of two 64-bit hashes
    being equal somewhere.
-3. Each region elects as *pivot* the class with most common shingles, the middle of its surroundings. Distances to the
+3. Each region elects as *pivot* the class with the smallest share of uncommon shingles, the middle of its surroundings. Distances to the
    pivots are exact; classes within the radius link to the pivot and need no further test among each other: the pivot joins
    them. This takes one comparison per class in place of all pairs of a group.
 4. The classes of a region outside its pivot's radius are joined again with that region, but only where the triangle
-   inequality leaves room: a pair whose distances to the pivot differ by more than the radius cannot link.
+   inequality leaves room: a pair whose distances to the pivot differ by more than the radius cannot link. In the region of
+   a common shingle, a pair is also left out if it could link only by sharing uncommon ones: a window that reaches a common
+   shingle holds all its uncommon ones, so such a pair meets in the region of one of these.
 5. Links become components; a class passes its component to its documents.
 
 Plain Voronoi cells of a few pivots would not do: texts that share no shingle have distance 1 from each other, so nearly
@@ -32,14 +34,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from tidemill.llm.bits import bit_table, id_number, in_table
+from tidemill.llm.bits import PACKED, bit_table, count_tables, id_number, in_table, packed
 from tidemill.llm.components import components
 from tidemill.llm.shared import in_arrow, kept, pick, text_slices
 from tidemill.llm.words import mixed, runs
 
 WINDOW = 32
 COMMON = 32
-COMMON_BITS, CLASS_BITS, SHARED_BITS = 22, 25, 25
+COMMON_BITS, CLASS_BITS, SHARED_BITS = 21, 25, 25
 SKETCH_DIFFERENCE = 52
 SALTS = 16
 
@@ -63,18 +65,18 @@ class Sets:
         return int(halves[0]), int(halves[1])
 
     def window(self, own: np.ndarray) -> tuple[np.ndarray, int]:
-        """(the window, uncommon shingles per thousand)."""
+        """(the window, number of uncommon shingles)."""
         n = len(own)
         safe = n - (-(-self.percent * n // 100)) + 1
         if self.common is None:
-            return own[: min(safe, WINDOW)], 1000
+            return own[: min(safe, WINDOW)], n
         common = in_table(self.common, own)
         uncommon = own[~common]
         share = len(uncommon) / n
         miss = (100 - self.percent) / 100 / share if share else 1.0
         if miss < 1:
             safe = min(safe, max(WINDOW, int(np.ceil(32.3 / -np.log(miss)))))
-        return np.concatenate([uncommon, own[common]])[:safe], int(1000 * share)
+        return np.concatenate([uncommon, own[common]])[:safe], len(uncommon)
 
 
 def _sets_of(batch: pa.RecordBatch):
@@ -114,28 +116,47 @@ def _chosen(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Iterator[p
             yield from text_slices([batch.filter(pa.array(hit))], "text")
 
 
+def _counted(wanted: np.ndarray):
+    """How many of the chosen documents hold a shingle, by its low COMMON_BITS bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COMMON_BITS, np.int64)
+        for batch in _chosen(batches, wanted):
+            for own in _sets_of(batch):
+                np.add.at(total, (own & np.uint64(len(total) - 1)).astype(np.int64), 1)
+        yield from packed(0, total)
+
+    return run
+
+
 def _windows(percent: int, wanted: np.ndarray, common: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Sets(percent, common)
         for batch in _chosen(batches, wanted):
             rows = [(sets.identity(own), *sets.window(own)) for own in _sets_of(batch) if len(own)]
             if rows:
-                cid, keys, rare = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(cid, pa.binary()), pa.array([_signed(k) for k in keys], _KEYS), pa.array(rare, pa.int64())],
-                                                 ["cid", "keys", "rare"])
+                cid, keys, u = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(cid, pa.binary()), pa.array([_signed(k) for k in keys], _KEYS), pa.array(u, pa.int64())],
+                                                 ["cid", "keys", "u"])
 
     return run
 
 
-def _members(wanted: np.ndarray):
+def _members(wanted: np.ndarray, common: np.ndarray):
+    """A row for each shingle of a window that is perhaps shared, with the one before it and whether it is common."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [np.frombuffer(memoryview(np.asarray(k.values)), np.int64) for k in batch.column("keys")]
-            keys = [k[in_table(wanted, k.view(np.uint64))] for k in keys]
+            keys = [np.asarray(k.values).view(np.uint64) for k in batch.column("keys")]
+            keys = [k[in_table(wanted, k)] for k in keys]
             at = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
             if len(at):
+                before = np.concatenate([np.concatenate([np.zeros(min(len(k), 1), np.uint64), k[:-1]]) for k in keys])
+                keys = np.concatenate(keys)
                 out = batch.drop_columns(["keys"]).take(pa.array(at))
-                yield out.append_column("key", pa.array(np.concatenate(keys), pa.int64()))
+                for name, column in (("key", _signed(keys)), ("before", _signed(before)), ("common", in_table(common, keys))):
+                    out = out.append_column(name, pa.array(column))
+                yield out
 
     return run
 
@@ -195,28 +216,42 @@ class JaccardJoin:
         number = F.when(F.col("least_id").isNotNull(), id_number(F.col("least_id")))
         self.classes = kept(classes.withColumn("number", number))
 
-    # conditions on pairs; x and y are prefixes of columns n, s1, s2
+    # conditions on pairs; x and y are prefixes of columns n, s1, s2, u
 
     def _near(self, x: str, y: str) -> Column:
         differ = f"(bit_count({x}s1 ^ {y}s1) + bit_count({x}s2 ^ {y}s2))"
         sizes = f"100 * least({x}n, {y}n) >= {self.percent} * greatest({x}n, {y}n)"
         # shingles that only one of two linked sets has: at most (100 - p) / (100 + p) of n_x + n_y
         bound = f"least({SKETCH_DIFFERENCE}, {100 - self.percent} * ({x}n + {y}n) div {100 + self.percent})"
-        return F.expr(f"{sizes} and {differ} <= {bound}")
+        # met in a common shingle's region: if they share no uncommon shingle (else they meet in its region too), they share
+        # at most the smaller common part, and differ in all that is uncommon
+        least = f"least({x}n - {x}u, {y}n - {y}u)"
+        most = f"greatest({x}n - {x}u, {y}n - {y}u) + {x}u + {y}u"
+        return F.expr(f"{sizes} and {differ} <= {bound} and (not common or 100 * {least} >= {self.percent} * ({most}))")
+
+    def common(self) -> np.ndarray:
+        """Bits of the very common shingles. Classes with a shingle in their first windows that is in the windows of more than
+        COMMON classes are counted whole, in a table of fixed size; what stands out from its mean by more than COMMON and six
+        standard deviations is common. Any choice gives the same links, a good one smaller regions."""
+        often = self.classes.select(F.explode("keys").alias("key")).groupBy("key").count().where(F.col("count") > COMMON)
+        touched = in_arrow(self.classes.select("number", "keys"), _touched(bit_table(often, "key", 22)), "number long")
+        wanted = bit_table(touched, "number", CLASS_BITS)
+        counts = count_tables(in_arrow(self.numbered, _counted(wanted), PACKED), 1 << COMMON_BITS).get(0, np.zeros(1 << COMMON_BITS, np.int64))
+        bits = counts > counts.mean() + 6 * np.sqrt(counts.mean()) + COMMON
+        return np.packbits(bits, bitorder="little").view("<u8")
 
     def members(self) -> DataFrame:
-        """(key, cid, number, n, s1, s2, rare): each class in each region that another class meets too."""
-        every = self.classes.select(F.explode("keys").alias("key")).groupBy("key").count()
-        common = bit_table(every.where(F.col("count") > COMMON), "key", COMMON_BITS)
+        """(key, before, common, cid, number, n, s1, s2, u): each class in each region that another class meets too."""
+        common = self.common()
         touched = in_arrow(self.classes.select("number", "keys"), _touched(common), "number long")
         wanted = bit_table(touched, "number", CLASS_BITS)
-        again = in_arrow(self.numbered, _windows(self.percent, wanted, common), "cid binary, keys array<long>, rare long")
-        again = again.groupBy("cid").agg(F.first("keys").alias("new"), F.first("rare").alias("rare"))
+        again = in_arrow(self.numbered, _windows(self.percent, wanted, common), "cid binary, keys array<long>, u long")
+        again = again.groupBy("cid").agg(F.first("keys").alias("new"), F.first("u").alias("u"))
         windows = kept(self.classes.join(again, "cid", "left").select(
-            "cid", "number", "n", "s1", "s2", F.coalesce("rare", F.lit(1000)).alias("rare"), F.coalesce("new", "keys").alias("keys")))
+            "cid", "number", "n", "s1", "s2", F.coalesce("u", "n").alias("u"), F.coalesce("new", "keys").alias("keys")))
         shared = windows.select(F.explode("keys").alias("key")).groupBy("key").count().where("count > 1")
         met = bit_table(shared, "key", SHARED_BITS)
-        return in_arrow(windows, _members(met), "cid binary, number long, n long, s1 long, s2 long, rare long, key long")
+        return in_arrow(windows, _members(met, common), "cid binary, number long, n long, s1 long, s2 long, u long, key long, before long, common boolean")
 
     def compared(self, pairs: DataFrame) -> DataFrame:
         """(a, b, shared, n_a, n_b) for pairs (a, number_a, b, number_b), b's set read once per salt."""
@@ -234,8 +269,10 @@ class JaccardJoin:
 
     def links(self) -> DataFrame:
         members = self.members()
-        pivots = members.groupBy("key").agg(F.min(F.struct("rare", "cid", "number", "n", "s1", "s2")).alias("p"), F.count("*").alias("size")) \
-            .where("size > 1").select("key", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("cid", "number", "n", "s1", "s2")])
+        # the class with the smallest share of uncommon shingles lies nearest to the middle of its region
+        order = F.struct((F.col("u") / F.col("n")).alias("share"), "cid", "number", "n", "s1", "s2", "u")
+        pivots = members.groupBy("key").agg(F.min(order).alias("p"), F.count("*").alias("size")) \
+            .where("size > 1").select("key", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("cid", "number", "n", "s1", "s2", "u")])
         met = kept(members.join(pivots, "key"))
         radius = (100 - self.percent) / 100
         stars = met.where("cid <> p_cid").where(self._near("", "p_")).select(
@@ -245,11 +282,13 @@ class JaccardJoin:
         # regions again, for classes outside the radius of their pivot
         distance = stars.select(F.col("a").alias("cid"), F.col("b").alias("p_cid"), (1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("d"))
         inside = F.expr(f"coalesce(d <= {radius}, false)")
-        placed = kept(met.where("cid <> p_cid").select("key", "cid", "number", "n", "s1", "s2", "p_cid").join(distance, ["cid", "p_cid"], "left")
+        placed = kept(met.where("cid <> p_cid").select("key", "before", "common", "cid", "number", "n", "s1", "s2", "u", "p_cid").join(distance, ["cid", "p_cid"], "left")
                       .withColumn("inside", inside))
-        left = placed.where("not inside").select("key", *[F.col(c).alias(f"x_{c}") for c in ("cid", "number", "n", "s1", "s2", "d")])
-        right = placed.select("key", "inside", *[F.col(c).alias(f"y_{c}") for c in ("cid", "number", "n", "s1", "s2", "d")])
-        once = F.expr("x_cid <> y_cid and (inside or x_cid < y_cid)")
+        fields = ("cid", "number", "n", "s1", "s2", "u", "d", "before")
+        left = placed.where("not inside").select("key", *[F.col(c).alias(f"x_{c}") for c in fields])
+        right = placed.select("key", "common", "inside", *[F.col(c).alias(f"y_{c}") for c in fields])
+        # a pair whose windows have the same shingle before this one meets there too
+        once = F.expr("x_cid <> y_cid and (inside or x_cid < y_cid) and (x_before <> y_before or x_before = 0)")
         room = F.expr(f"coalesce(abs(x_d - y_d) <= {radius} + 1e-9, true)")
         x, y = (F.struct(F.col(f"{p}_cid").alias("c"), F.col(f"{p}_number").alias("i")) for p in "xy")
         rest = left.join(right, "key").where(once & room & self._near("x_", "y_")).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v"))
