@@ -14,10 +14,17 @@ from tidemill.sources import schemas, streams
 from tidemill.streaming import dedup, jobs, logs, users, windows
 
 
-def stream_of(i: Inputs, name: str):
-    """A driver table as a stream."""
-    schema = i.spark.read.parquet(f"{i.sf_dir}/{name}.parquet").schema
-    df = i.spark.readStream.schema(schema).parquet(f"{i.sf_dir}/{name}.parq*")
+def stream_of(i: Inputs, name: str, by: str | None = None):
+    """A driver table as a stream of at least five batches: written in the order of time (or of ``by``) as five parts, one file a batch."""
+    table = i.spark.read.parquet(f"{i.sf_dir}/{name}.parquet")
+    by, schema = by or {"events": "ts", "orders": "o_orderdate"}.get(name, table.columns[0]), table.schema
+    at = F.col(by) if schema[by].dataType.typeName() in ("long", "integer") else F.unix_micros(F.col(by).cast("timestamp"))
+    cuts = table.agg(F.percentile_approx(at, [0.2, 0.4, 0.6, 0.8])).first()[0] or []
+    out = scratch(i.spark, f"stream-of-{name}")
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = table if low is None else table.where(at > low)
+        (part if high is None else part.where(at <= high)).write.mode("append").parquet(out)
+    df = i.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(out)
     return df.withColumns({f.name: F.col(f.name).cast("timestamp") for f in schema if f.dataType.typeName() == "timestamp_ntz"})
 
 
@@ -29,14 +36,14 @@ def events_of(i: Inputs, live: bool = False):
 # app log
 
 def raw_log(e):
-    """JSON text per event: sign-ups are starts, views show items, clicks act, errors carry an error; some lines are cut off."""
+    """JSON text per event: sign-ups are starts, half of them on a page, views show items, clicks act, errors carry an error; some lines are cut off."""
     uid, k, kind = F.col("user_id"), F.col("k"), F.col("event_type")
     common = F.struct(
         (uid % 25).cast("string").alias("ar"), uid.cast("string").alias("uid"), F.concat(F.lit("ch"), uid % 4).alias("ch"),
         F.when(k % 3 == 0, "0").otherwise("1").alias("is_new"), F.concat(F.lit("v"), k % 2).alias("vc"),
         F.concat(F.lit("ba"), uid % 6).alias("ba"), F.concat(F.lit("os"), uid % 2).alias("os"),
         F.concat(F.lit("md"), uid % 9).alias("md"), F.concat(F.lit("mid_"), uid).alias("mid"), F.concat(F.lit("s"), uid).alias("sid"))
-    page = F.when(kind != "signup", F.struct(
+    page = F.when((kind != "signup") | (k % 2 == 0), F.struct(
         F.concat(F.lit("p"), k % 10).alias("page_id"), F.when(k % 4 != 0, F.concat(F.lit("p"), k % 3)).alias("last_page_id"),
         F.round(F.col("value") * 1000).cast("bigint").alias("during_time")))
     start = F.when(kind == "signup", F.struct(F.lit("icon").alias("entry"), k.alias("loading_time")))
@@ -65,27 +72,24 @@ SELECT *, epoch_us(ts) // 1000 AS ms, event_id % 97 = 0 AS dirty, CASE WHEN k %
        'v' || (k % 2) AS vc, 'ch' || (user_id % 4) AS ch, (user_id % 25) || '' AS ar, 'mid_' || user_id AS mid
 FROM x_ev
 """)
-cte("r_ok", "SELECT * FROM r_ev WHERE NOT dirty")
+cte("r_ok", "SELECT *, event_type <> 'signup' OR k % 2 = 0 AS has_page FROM r_ev WHERE NOT dirty")
 cte("r_disp", "SELECT r.*, j, (k + j) || '' AS item FROM r_ok r, (VALUES (0), (1), (2)) t(j) WHERE event_type = 'view' AND j <= k % 3")
 
 
 @query("""
-SELECT 'page' AS part, count(*) AS n, cast(sum(ms) as double) AS check_sum FROM r_ok WHERE event_type <> 'signup'
-UNION ALL SELECT 'start', count(*), cast(sum(k) as double) FROM r_ok WHERE event_type = 'signup'
-UNION ALL SELECT 'display', count(*), cast(sum(cast(item as bigint)) as double) FROM r_disp
-UNION ALL SELECT 'action', count(*), cast(sum(ms + 1) as double) FROM r_ok WHERE event_type = 'click'
-UNION ALL SELECT 'err', count(*), cast(sum(k) as double) FROM r_ok WHERE event_type = 'error'
-UNION ALL SELECT 'dirty', count(*), cast(30 * count(*) as double) FROM r_ev WHERE dirty
+SELECT 'page' AS part, uid, page_id AS item, ms AS ts, cast(NULL as varchar) AS text FROM r_ok WHERE event_type <> 'signup'
+UNION ALL SELECT 'start', uid, CASE WHEN has_page THEN page_id END, ms, 'icon' FROM r_ok WHERE event_type = 'signup'
+UNION ALL SELECT 'display', uid, item, ms, j || '' FROM r_disp
+UNION ALL SELECT 'action', uid, k || '', ms + 1, 'a' || (k % 4) FROM r_ok WHERE event_type = 'click'
+UNION ALL SELECT 'err', NULL, k || '', NULL, 'm' || k FROM r_ok WHERE event_type = 'error'
+UNION ALL SELECT 'dirty', NULL, NULL, NULL, substring('{"common":{"ar":"' || ar || '","uid":"' || uid || '","ch":"' || ch || '"', 1, 30) FROM r_ev WHERE dirty
 """)
 def split_app_log(i: Inputs):
-    parts = logs.split_app_log(raw_log(events_of(i)))
-    probe = {"page": "ts", "start": "start.loading_time", "display": "cast(display.item as bigint)", "action": "action.ts",
-             "err": "error_code", "dirty": "length(value)"}
-    rows = [df.select(F.lit(name).alias("part"), F.expr(probe[name]).cast("bigint").alias("v")) for name, df in parts.items()]
-    both = rows[0]
-    for r in rows[1:]:
-        both = both.unionByName(r)
-    return both.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("v").cast("double").alias("check_sum"))
+    """Every row of the six outputs; one scan and one parse."""
+    parts = logs.log_parts(raw_log(events_of(i)))
+    item = F.coalesce("display.item", "action.item", F.col("err.error_code").cast("string"), "page.page_id")
+    text = F.coalesce("value", "err.msg", "action.action_id", F.col("display.pos_id").cast("string"), "start.entry")
+    return parts.select("part", F.col("common.uid").alias("uid"), item.alias("item"), F.coalesce("action.ts", "ts").alias("ts"), text.alias("text"))
 
 
 @query("SELECT uid, is_new, page_id, item, cast(j as bigint) AS pos_id, ms AS ts FROM r_disp")
@@ -99,32 +103,29 @@ def stream_split_log_displays(i: Inputs):
     return streams.run_to_parquet(flat_log(parts["display"], F.col("page.page_id").alias("page_id"), "display.item", "display.pos_id", "ts"), "displays")
 
 
-@query("""
-SELECT 'page' AS topic, count(*) AS n FROM r_ok WHERE event_type <> 'signup'
-UNION ALL SELECT 'start', count(*) FROM r_ok WHERE event_type = 'signup' UNION ALL SELECT 'display', count(*) FROM r_ok WHERE event_type = 'view'
-UNION ALL SELECT 'action', count(*) FROM r_ok WHERE event_type = 'click' UNION ALL SELECT 'error', count(*) FROM r_ok WHERE event_type = 'error'
-""")
+_ROUTED = """
+SELECT 'page' AS topic, uid, ms AS ts FROM r_ok WHERE has_page
+UNION ALL SELECT 'start', uid, ms FROM r_ok WHERE event_type = 'signup' UNION ALL SELECT 'display', uid, ms FROM r_ok WHERE event_type = 'view'
+UNION ALL SELECT 'action', uid, ms FROM r_ok WHERE event_type = 'click' UNION ALL SELECT 'error', uid, ms FROM r_ok WHERE event_type = 'error'
+"""
+
+
+def _sent(df):
+    return df.select("topic", F.get_json_object("value", "$.common.uid").alias("uid"), F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
+
+
+@query(_ROUTED)
 def route_log_by_type(i: Inputs):
-    routed = logs.route_log_by_type(raw_log(events_of(i)))
-    frames = [df.select(F.lit(name).alias("topic")) for name, df in routed.items()]
-    both = frames[0]
-    for f in frames[1:]:
-        both = both.unionByName(f)
-    return both.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    return _sent(logs.routed_records(raw_log(events_of(i))))
 
 
-@query("""
-SELECT 'page' AS topic, count(*) AS n FROM r_ok WHERE event_type <> 'signup'
-UNION ALL SELECT 'start', count(*) FROM r_ok WHERE event_type = 'signup' UNION ALL SELECT 'error', count(*) FROM r_ok WHERE event_type = 'error'
-""")
+@query(_ROUTED)
 def stream_topic_routing(i: Inputs):
-    """Records of three kinds written to one folder per topic by a stream, then counted."""
-    routed = logs.route_log_by_type(raw_log(events_of(i, live=True)))
-    rows = [df.select(F.lit(name).alias("topic"), "value") for name, df in routed.items() if name in ("page", "start", "error")]
+    """Records of all five kinds written to one folder per topic by a stream, then read back."""
     out = scratch(i.spark, "topics")
-    sent = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    sent = logs.routed_records(raw_log(events_of(i, live=True)))
     streams.start_topic_sink(sent, "parquet", out, scratch(i.spark, "topics-checkpoint")).awaitTermination()
-    return i.spark.read.parquet(out).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    return _sent(i.spark.read.schema("value string, topic string").parquet(out))
 
 
 @query("SELECT uid, is_new, page_id, 'a' || (k % 4) AS action_id, k || '' AS item, ms + 1 AS action_ts, ms AS ts FROM r_ok WHERE event_type = 'click'")
@@ -137,7 +138,7 @@ def flatten_displays(i: Inputs):
     return flat_log(logs.flatten_displays(app_log(i)), F.col("page.page_id").alias("page_id"), "display.item", "display.pos_id", "ts")
 
 
-@query("SELECT uid, is_new, page_id, last_page_id, during_time, ms AS ts FROM r_ok WHERE event_type <> 'signup'")
+@query("SELECT uid, is_new, page_id, last_page_id, during_time, ms AS ts FROM r_ok WHERE has_page")
 def page_log_facts(i: Inputs):
     return flat_log(logs.page_facts(app_log(i)), "page.page_id", "page.last_page_id", "page.during_time", "ts")
 
@@ -171,15 +172,15 @@ def stream_fix_is_new(i: Inputs):
 
 
 def unified(i: Inputs, live: bool = False):
-    parts = logs.split_app_log(raw_log(events_of(i, live)))
-    return logs.unify_user_actions(parts["start"], parts["page"], parts["display"], parts["action"])
+    return logs.unify_user_actions(logs.log_parts(raw_log(events_of(i, live))))
 
 
 cte("r_uni", """
-SELECT 'start' AS event_type, mid, uid, is_new, vc, ch, ar, ms AS event_ts, cast(NULL as varchar) AS page_id, cast(NULL as varchar) AS last_page_id, cast(NULL as bigint) AS during_time, cast(NULL as varchar) AS item FROM r_ok WHERE event_type = 'signup'
-UNION ALL SELECT 'page', mid, uid, is_new, vc, ch, ar, ms, page_id, last_page_id, during_time, NULL FROM r_ok WHERE event_type <> 'signup'
-UNION ALL SELECT 'display', mid, uid, is_new, vc, ch, ar, ms, page_id, last_page_id, during_time, item FROM r_disp
-UNION ALL SELECT 'action', mid, uid, is_new, vc, ch, ar, ms + 1, page_id, last_page_id, during_time, NULL FROM r_ok WHERE event_type = 'click'
+SELECT 'start' AS event_type, mid, uid, is_new, vc, ch, ar, ms AS event_ts, CASE WHEN has_page THEN page_id END AS page_id, CASE WHEN has_page THEN last_page_id END AS last_page_id,
+       CASE WHEN has_page THEN during_time END AS during_time, cast(NULL as varchar) AS item, cast(NULL as bigint) AS j FROM r_ok WHERE event_type = 'signup'
+UNION ALL SELECT 'page', mid, uid, is_new, vc, ch, ar, ms, page_id, last_page_id, during_time, NULL, NULL FROM r_ok WHERE event_type <> 'signup'
+UNION ALL SELECT 'display', mid, uid, is_new, vc, ch, ar, ms, page_id, last_page_id, during_time, item, j FROM r_disp
+UNION ALL SELECT 'action', mid, uid, is_new, vc, ch, ar, ms + 1, page_id, last_page_id, during_time, NULL, NULL FROM r_ok WHERE event_type = 'click'
 """)
 
 
@@ -221,12 +222,11 @@ def pv_uv_window_10s(i: Inputs):
 
 
 @query(f"""
-SELECT {win(3600, 'ms')}, vc, ch, ar, is_new, count(*) AS pv_ct, count(DISTINCT uid) AS uv_ct FROM r_ok
-WHERE event_type <> 'signup' AND {closed(3600, 'ms', "(SELECT max(ms) FROM r_ok WHERE event_type <> 'signup')")} GROUP BY ALL
+SELECT {win(3600, 'event_ts')}, vc, ch, ar, is_new, count(*) AS pv_ct, count(DISTINCT uid) AS uv_ct FROM r_uni
+WHERE {closed(3600, 'event_ts', "(SELECT max(event_ts) FROM r_uni)")} GROUP BY ALL
 """)
 def stream_pv_uv_window(i: Inputs):
-    page = logs.split_app_log(raw_log(events_of(i, live=True)))["page"]
-    return streams.run_to_parquet(windows.pv_uv_window(windows.event_timed(page), "1 hour"), "pv-uv")
+    return streams.run_to_parquet(windows.pv_uv_window(timed(unified(i, live=True)), "1 hour"), "pv-uv")
 
 
 @query(f"""
@@ -239,11 +239,14 @@ def session_window_stats(i: Inputs):
 
 @query(f"""
 SELECT *, cast(disp_ct > 0 as bigint) AS disp_sku_num, cast(click_ct > 0 as bigint) AS click_sku_num FROM (
-SELECT {win(3600, 'event_ts')}, item AS sku_id, page_id, ch, count(*) AS disp_ct, cast(0 as bigint) AS click_ct
+SELECT {win(3600, 'event_ts')}, item AS sku_id, page_id, ch, count(*) AS disp_ct, count(*) FILTER (j = 0 AND event_ts % 3 = 0) AS click_ct
 FROM r_uni WHERE event_type = 'display' GROUP BY ALL)
 """)
 def display_click_window(i: Inputs):
-    return windows.display_click_window(timed(unified(i)), "1 hour")
+    """The first of some displays is clicked as well."""
+    clicked = (F.col("event_type") == "display") & (F.col("display.pos_id") == 0) & (F.col("event_ts") % 3 == 0)
+    kinds = F.when(clicked, F.array(F.lit("display"), F.lit("click"))).otherwise(F.array("event_type"))
+    return windows.display_click_window(timed(unified(i).withColumn("event_type", F.explode(kinds))), "1 hour")
 
 
 # windows over trade
@@ -541,7 +544,7 @@ FROM (SELECT *, epoch_us(o_orderdate) // 1000 AS ms FROM orders)) WHERE seen IS
 
 
 def arriving(i: Inputs, live: bool = False):
-    o = stream_of(i, "orders") if live else i.table("orders")
+    o = stream_of(i, "orders", "o_orderkey") if live else i.table("orders")
     return o.select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("order_id"), F.unix_millis("o_orderdate").alias("ts_ms"))
 
 

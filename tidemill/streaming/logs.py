@@ -5,41 +5,62 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.sources.schemas import APP_LOG
+from tidemill.sources.schemas import ACTION, APP_LOG, COMMON, DISPLAY, ERROR, PAGE, START
 from tidemill.sources.streams import parse
 
 
-def _good(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    both = parse(raw, APP_LOG)
-    good = both.where(F.col("bad").isNull()).select("value", "record.*").drop("_corrupt")
-    return good, both.where(F.col("bad").isNotNull()).select(F.col("bad").alias("value"))
+_FIELDS = {"common": COMMON, "page": PAGE, "start": START, "display": DISPLAY, "action": ACTION, "err": ERROR}
+_KEPT = {  # part -> the fields it keeps
+    "dirty": ["value"], "err": ["err"], "start": ["common", "page", "start", "ts"], "display": ["common", "page", "display", "ts"],
+    "action": ["common", "page", "action", "ts"], "page": ["common", "page", "ts"],
+}
 
 
-def split_app_log(raw: DataFrame) -> dict[str, DataFrame]:
-    """One parse, six outputs.
+def log_parts(raw: DataFrame) -> DataFrame:
+    """Every part of every record as a row, from one scan and one parse: part, common, page, start, display, action, err, ts, value.
 
-    An error part goes to ``err`` and the rest of the record on to the others. A start record goes to ``start``;
-    any other record gives its displays, its actions and itself without them as ``page``.
+    An error part is ``err`` and the rest of the record the others. A start record is ``start``; any other record gives its
+    displays, its actions and itself without them as ``page``. What does not parse is ``dirty``, with its text as ``value``.
     """
-    log, dirty = _good(raw)
-    visit = log.where(F.col("start").isNull())
-    return {
-        "dirty": dirty,
-        "err": log.where(F.col("err").isNotNull()).select("err.*"),
-        "start": log.where(F.col("start").isNotNull()).select("common", "start", "ts"),
-        "display": visit.select("common", "page", F.explode("displays").alias("display"), "ts"),
-        "action": visit.select("common", "page", F.explode("actions").alias("action")),
-        "page": visit.select("common", "page", "ts"),
-    }
+    def part(name: str, **fields: Column) -> Column:
+        kept = {f: F.col(f"record.{f}") for f in _KEPT[name] if f in ("common", "page", "start", "err", "ts")} | fields
+        columns = [kept.get(f, F.lit(None).cast(kind)).alias(f) for f, kind in [*_FIELDS.items(), ("ts", "bigint"), ("value", "string")]]
+        return F.struct(F.lit(name).alias("part"), *columns)
+
+    def one(condition: Column, entry: Column) -> Column:
+        return F.when(condition, F.array(entry))
+
+    good, starts = F.col("bad").isNull(), F.col("record.start").isNotNull()
+    entries = [
+        one(~good, part("dirty", value=F.col("bad"))), one(good & F.col("record.err").isNotNull(), part("err")),
+        one(good & starts, part("start")), one(good & ~starts, part("page")),
+        F.when(good & ~starts, F.transform("record.displays", lambda d: part("display", display=d))),
+        F.when(good & ~starts, F.transform("record.actions", lambda a: part("action", action=a))),
+    ]
+    rows = F.flatten(F.filter(F.array(*entries), lambda e: e.isNotNull()))
+    return parse(raw, APP_LOG).select(F.explode(rows).alias("p")).select("p.*")
+
+
+def split_app_log(raw: DataFrame) -> dict[str, DataFrame]:
+    """The parts of ``log_parts`` as outputs of their own. A job that needs several reads ``log_parts`` once instead."""
+    parts = log_parts(raw)
+    outputs = {name: parts.where(F.col("part") == name).select(*kept) for name, kept in _KEPT.items()}
+    return outputs | {"err": outputs["err"].select("err.*")}
 
 
 ROUTES = {"start": "start", "page": "page", "display": "displays", "action": "actions", "error": "err"}
 
 
+def routed_records(raw: DataFrame) -> DataFrame:
+    """(topic, value): records by the keys they hold, unchanged, from one parse; several keys give several rows."""
+    topics = F.filter(F.array(*[F.when(F.col(f"record.{key}").isNotNull(), F.lit(name)) for name, key in ROUTES.items()]), lambda t: t.isNotNull())
+    return parse(raw, APP_LOG).where(F.col("bad").isNull()).select(F.explode(topics).alias("topic"), "value")
+
+
 def route_log_by_type(raw: DataFrame) -> dict[str, DataFrame]:
-    """Records by the keys they hold, unchanged; a record with several keys goes to several outputs."""
-    log, _ = _good(raw)
-    return {name: log.where(F.col(key).isNotNull()).select("value") for name, key in ROUTES.items()}
+    """The topics of ``routed_records`` as outputs of their own."""
+    routed = routed_records(raw)
+    return {name: routed.where(F.col("topic") == name).select("value") for name in ROUTES}
 
 
 def flatten_actions(log: DataFrame) -> DataFrame:
@@ -95,16 +116,8 @@ def fix_is_new(log: DataFrame, known: DataFrame | None = None) -> DataFrame:
     return joined.withColumn("common", F.col("common").withField("is_new", fixed)).select(*log.columns)
 
 
-def unify_user_actions(start: DataFrame, page: DataFrame, display: DataFrame, action: DataFrame) -> DataFrame:
-    """Four typed logs as one: event type, device and event time added. An action carries its own time."""
-    def typed(df: DataFrame, kind: str, at: str) -> DataFrame:
-        return df.withColumns({
-            "event_type": F.lit(kind), "mid": F.col("common.mid"), "event_ts": F.col(at),
-        })
-
-    parts = [typed(start, "start", "ts"), typed(page, "page", "ts"), typed(display, "display", "ts"),
-             typed(action, "action", "action.ts")]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part, allowMissingColumns=True)
-    return result
+def unify_user_actions(parts: DataFrame) -> DataFrame:
+    """The four typed logs among ``log_parts`` as one: event type, device and event time added. An action carries its own time."""
+    known = parts.where(F.col("part").isin("start", "page", "display", "action"))
+    at = F.when(F.col("part") == "action", F.col("action.ts")).otherwise(F.col("ts"))
+    return known.withColumns({"mid": F.col("common.mid"), "event_ts": at}).withColumnRenamed("part", "event_type").drop("err", "value")
