@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,13 +23,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.bits import bit_table, id_number, in_table
+from tidemill.llm.bits import PACKED, bit_table, count_tables, id_number, in_table, packed
 from tidemill.llm.calibration import Isotonic, binned
 from tidemill.llm.shared import fold, in_arrow, kept, pick, text_slices
 from tidemill.llm.words import NOT_LETTERS, spans
 
 BUCKETS = 1 << 19
-PARTS = 64
 FOLDS = (0, 1, 3)
 DRIFT = 0.5
 PRIOR = 0.01
@@ -43,19 +43,16 @@ def _buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return (h % np.uint64(BUCKETS)).astype(np.int64), begins, ends, first
 
 
-def _packed(kind: int, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """A table of counts as rows (kind, part, counts)."""
-    for part, block in enumerate(counts.reshape(PARTS, -1)):
-        if block.any():
-            yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int64()), pa.array([part], pa.int64()), pa.array([block.astype("<i8").tobytes()], pa.binary())],
-                                             ["kind", "part", "counts"])
-
-
 def _words_of_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(BUCKETS, np.int64)
     for batch in text_slices(batches, "text"):
         total += np.bincount(_buckets(batch.column("text"))[0].ravel(), minlength=BUCKETS)
-    yield from _packed(-1, total)
+    yield from packed(-1, total)
+
+
+def _short(buckets: np.ndarray, times: np.ndarray) -> bytes:
+    """Ascending buckets and their counts in few bytes, for the shuffle to the labels."""
+    return zlib.compress(np.concatenate([np.diff(buckets, prepend=0), times]).astype("<i4").tobytes(), 1)
 
 
 def _words_of_labelled(labelled: np.ndarray):
@@ -66,10 +63,8 @@ def _words_of_labelled(labelled: np.ndarray):
             hit = in_table(labelled, batch.column("number").to_numpy(zero_copy_only=False).view(np.uint64))
             for part in text_slices([batch.filter(pa.array(hit))] if hit.any() else [], "text"):
                 b, _, _, first = _buckets(part.column("text"))
-                rows = [np.unique(b[i:j].ravel(), return_counts=True) for i, j in zip(first[:-1].tolist(), first[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array([u.astype("<i4").tobytes() for u, _ in rows], pa.binary()),
-                    pa.array([c.astype("<i4").tobytes() for _, c in rows], pa.binary())], ["doc_id", "buckets", "times"])
+                rows = [_short(*np.unique(b[i:j].ravel(), return_counts=True)) for i, j in zip(first[:-1].tolist(), first[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "counts"])
 
     return run
 
@@ -77,25 +72,11 @@ def _words_of_labelled(labelled: np.ndarray):
 def _by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
-        for f, y, b, t in zip(batch.column("fold").to_pylist(), batch.column("y").to_pylist(), batch.column("buckets"), batch.column("times")):
-            own = total.setdefault(2 * f + y, np.zeros(BUCKETS, np.int64))
-            own[np.frombuffer(b.as_buffer(), "<i4")] += np.frombuffer(t.as_buffer(), "<i4")
+        for f, y, c in zip(batch.column("fold").to_pylist(), batch.column("y").to_pylist(), batch.column("counts")):
+            steps, times = np.frombuffer(zlib.decompress(c.as_py()), "<i4").reshape(2, -1)
+            total.setdefault(2 * f + y, np.zeros(BUCKETS, np.int64))[np.cumsum(steps)] += times
     for kind, counts in total.items():
-        yield from _packed(kind, counts)
-
-
-def _added(rows: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(c.as_buffer(), "<i8") for c in rows.column("counts"))
-    return pa.table({"kind": rows.column("kind")[:1], "part": rows.column("part")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
-
-
-def _table(rows: DataFrame) -> dict[int, np.ndarray]:
-    """Sums by kind; at most PARTS rows of fixed size for each kind."""
-    out: dict[int, np.ndarray] = {}
-    for r in rows.groupBy("kind", "part").applyInArrow(_added, "kind long, part long, counts binary").toLocalIterator():
-        block = np.frombuffer(bytes(r["counts"]), "<i8")
-        out.setdefault(r["kind"], np.zeros((PARTS, BUCKETS // PARTS), np.int64))[r["part"]] = block
-    return {k: v.reshape(-1) for k, v in out.items()}
+        yield from packed(kind, counts)
 
 
 def word_scores(toxic: np.ndarray, other: np.ndarray, prior: np.ndarray) -> np.ndarray:
@@ -193,11 +174,12 @@ class ToxicityModel:
             (F.avg("y") >= 0.5).cast("long").alias("y")).withColumn("fold", fold(F.col("doc_id")).cast("long")).where("fold <> 2")
         taught = kept(taught)
         labelled = bit_table(taught.select(id_number(F.col("doc_id")).alias("number")), "number", 25)
-        prior = _table(in_arrow(source.select("text"), _words_of_all, "kind long, part long, counts binary")).get(-1, np.zeros(BUCKETS, np.int64))
+        prior = count_tables(in_arrow(source.select("text"), _words_of_all, PACKED), BUCKETS).get(-1, np.zeros(BUCKETS, np.int64))
         counted = in_arrow(source.where("doc_id is not null").select("doc_id", id_number(F.col("doc_id")).alias("number"), "text"),
-                           _words_of_labelled(labelled), f"doc_id {kind}, buckets binary, times binary")
-        rows = counted.join(taught, "doc_id").select("fold", "y", "buckets", "times")
-        counts = _table(in_arrow(rows, _by_class, "kind long, part long, counts binary"))
+                           _words_of_labelled(labelled), f"doc_id {kind}, counts binary")
+        # labels grow with the documents: a sort-merge join at every size
+        rows = counted.join(taught.hint("merge"), "doc_id").select("fold", "y", "counts")
+        counts = count_tables(in_arrow(rows, _by_class, PACKED), BUCKETS)
         none = np.zeros(BUCKETS, np.int64)
 
         def fit(folds) -> np.ndarray:
@@ -209,7 +191,7 @@ class ToxicityModel:
         left = {f: fit([k for k in FOLDS if k != f]) for f in FOLDS}
         folded = source.select("doc_id", fold(F.col("doc_id")).cast("long").alias("fold"), "text")
         self.scanned = kept(in_arrow(folded, _scanned(left, self.scores), f"doc_id {kind}, fold long, n long, segments {_SEGMENTS}, left_out {_SEGMENTS}"))
-        train = self.scanned.join(taught.select("doc_id", "y"), "doc_id")
+        train = self.scanned.join(taught.select("doc_id", "y").hint("merge"), "doc_id")
         best = F.coalesce(F.array_max(F.transform("left_out", lambda s: s["score"])), F.lit(0.0))
         law = train.where("y = 0").agg(F.count("*").alias("n"), F.sum(F.greatest("n", F.lit(1)) * F.exp(-self.rate * best)).alias("d")).first()
         # the extreme-value law's size parameter of greatest likelihood, given the decay
