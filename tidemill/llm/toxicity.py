@@ -1,19 +1,23 @@
 """Toxic passages: maximum-scoring segments over word log-odds, weighed by extreme-value statistics.
 
 1. Words (runs of letters, A-Z lower-cased) and their beginnings of four and six bytes, which stand for the stem in languages
-   that inflect or compound, are counted by class in the labelled documents, and in all documents for the prior. Counts lie in a table of fixed size (a word's hash modulo BUCKETS), so nothing grows with the vocabulary.
+   that inflect or compound, are counted by class in the labelled documents, and in all documents for the prior: once a
+   document, since texts repeat their own words. Counts lie in a table of fixed size (a word's hash modulo BUCKETS), so
+   nothing grows with the vocabulary.
 2. A word's score is its log-odds between the classes under an informative Dirichlet prior (the corpus' own word shares),
-   pulled to zero by two standard errors, less a drift. A word takes
-   the best of its own and its stems' scores. Unknown and ordinary words cost the drift, toxic ones gain.
+   pulled to zero by ERRORS standard errors, less a drift; the best of the word's own and its stems'. Unknown and ordinary
+   words cost the drift, toxic ones gain, once a document.
 3. One linear scan per document finds all maximal scoring segments: those that cannot gain by being longer or shorter.
 4. Segment scores of harmless text follow an extreme-value law; its parameters give each segment its expected number of
-   equals in a harmless document of the same length. A document's evidence is the sum over its significant segments.
+   equals in a harmless document of the same length. A document's evidence is the sum over its segments, in
+   which significant ones count in full.
 5. Evidence becomes a probability by isotonic calibration. Evidence and law are taken from labelled documents with word
    scores that their own fold had no part in.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -34,6 +38,7 @@ DRIFT = 0.5
 PRIOR = 0.01
 ERRORS = 1.5
 LARGEST = 20.0
+SIGNIFICANT = 0.01
 STEMS = (4, 6)
 
 
@@ -46,25 +51,27 @@ def _buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 def _words_of_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(BUCKETS, np.int64)
     for batch in text_slices(batches, "text"):
-        total += np.bincount(_buckets(batch.column("text"))[0].ravel(), minlength=BUCKETS)
+        b, _, _, first = _buckets(batch.column("text"))
+        for i, j in zip(first[:-1].tolist(), first[1:].tolist()):
+            total[np.unique(b[i:j])] += 1
     yield from packed(-1, total)
 
 
-def _short(buckets: np.ndarray, times: np.ndarray) -> bytes:
-    """Ascending buckets and their counts in few bytes, for the shuffle to the labels."""
-    return zlib.compress(np.concatenate([np.diff(buckets, prepend=0), times]).astype("<i4").tobytes(), 1)
+def _short(buckets: np.ndarray) -> bytes:
+    """Ascending buckets in few bytes, for the shuffle to the labels."""
+    return zlib.compress(np.diff(buckets, prepend=0).astype("<i4").tobytes(), 1)
 
 
 def _words_of_labelled(labelled: np.ndarray):
-    """Bucket counts of documents that perhaps have a label, one row each."""
+    """The buckets of documents that perhaps have a label, one row each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hit = in_table(labelled, batch.column("number").to_numpy(zero_copy_only=False).view(np.uint64))
             for part in text_slices([batch.filter(pa.array(hit))] if hit.any() else [], "text"):
                 b, _, _, first = _buckets(part.column("text"))
-                rows = [_short(*np.unique(b[i:j].ravel(), return_counts=True)) for i, j in zip(first[:-1].tolist(), first[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "counts"])
+                rows = [_short(np.unique(b[i:j])) for i, j in zip(first[:-1].tolist(), first[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "buckets"])
 
     return run
 
@@ -72,9 +79,9 @@ def _words_of_labelled(labelled: np.ndarray):
 def _by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
-        for f, y, c in zip(batch.column("fold").to_pylist(), batch.column("y").to_pylist(), batch.column("counts")):
-            steps, times = np.frombuffer(zlib.decompress(c.as_py()), "<i4").reshape(2, -1)
-            total.setdefault(2 * f + y, np.zeros(BUCKETS, np.int64))[np.cumsum(steps)] += times
+        for f, y, c in zip(batch.column("fold").to_pylist(), batch.column("y").to_pylist(), batch.column("buckets")):
+            own = np.cumsum(np.frombuffer(zlib.decompress(c.as_py()), "<i4"))
+            total.setdefault(2 * f + y, np.zeros(BUCKETS, np.int64))[own] += 1
     for kind, counts in total.items():
         yield from packed(kind, counts)
 
@@ -134,6 +141,16 @@ _SEGMENTS = "array<struct<begin:int,end:int,score:double>>"
 _SEGMENT_TYPE = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
 
+def _once(value: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Scores of one document's words where a positive word that came before counts nothing: repeats are no new evidence."""
+    at = np.flatnonzero(value > 0)
+    if len(at) > 1:
+        first = np.unique(words[at], return_index=True)[1]
+        value = value.copy()
+        value[np.delete(at, first)] = 0.0
+    return value
+
+
 def _scanned(scores: dict[int, np.ndarray], fit: np.ndarray):
     """Per document: words, segments with the final word scores, and with those its own fold had no part in."""
 
@@ -147,8 +164,8 @@ def _scanned(scores: dict[int, np.ndarray], fit: np.ndarray):
             for i, f in enumerate(batch.column("fold").to_pylist()):
                 lo, hi = int(first[i]), int(first[i + 1])
                 at, to = begins[lo:hi] - starts[i], ends[lo:hi] - starts[i]
-                final.append([(int(at[x]), int(to[y - 1]), s) for x, y, s in segments(value[lo:hi])])
-                left = segments(scores[f][b[lo:hi]].max(axis=1, initial=-LARGEST)) if f in scores else []
+                final.append([(int(at[x]), int(to[y - 1]), s) for x, y, s in segments(_once(value[lo:hi], b[lo:hi, 0]))])
+                left = segments(_once(scores[f][b[lo:hi]].max(axis=1, initial=-LARGEST), b[lo:hi, 0])) if f in scores else []
                 other.append([(int(at[x]), int(to[y - 1]), s) for x, y, s in left])
             named = [[dict(zip(("begin", "end", "score"), s)) for s in doc] for doc in final]
             named_other = [[dict(zip(("begin", "end", "score"), s)) for s in doc] for doc in other]
@@ -160,8 +177,11 @@ def _scanned(scores: dict[int, np.ndarray], fit: np.ndarray):
 
 
 def _evidence(column: str, rate: float, size: float):
-    """Sum over significant segments of the log of 1 / (expected number of equals in harmless text of this length)."""
-    return F.expr(f"aggregate({column}, 0D, (a, s) -> a + greatest(0D, {rate!r}D * s.score - ln({size!r}D * greatest(n, 1))))")
+    """Sum over segments of x, the log of 1 / (expected number of equals in harmless text of this length); segments that are
+    not significant count with their x times (x / least significant x) to the fourth power, so that many weak ones stay weak."""
+    least = -math.log(SIGNIFICANT)
+    x = f"greatest(0D, {rate!r}D * s.score - ln({size!r}D * greatest(n, 1)))"
+    return F.expr(f"aggregate({column}, 0D, (a, s) -> a + {x} * pow(least(1D, {x} / {least!r}D), 4))")
 
 
 class ToxicityModel:
@@ -176,9 +196,9 @@ class ToxicityModel:
         labelled = bit_table(taught.select(id_number(F.col("doc_id")).alias("number")), "number", 25)
         prior = count_tables(in_arrow(source.select("text"), _words_of_all, PACKED), BUCKETS).get(-1, np.zeros(BUCKETS, np.int64))
         counted = in_arrow(source.where("doc_id is not null").select("doc_id", id_number(F.col("doc_id")).alias("number"), "text"),
-                           _words_of_labelled(labelled), f"doc_id {kind}, counts binary")
+                           _words_of_labelled(labelled), f"doc_id {kind}, buckets binary")
         # labels grow with the documents: a sort-merge join at every size
-        rows = counted.join(taught.hint("merge"), "doc_id").select("fold", "y", "counts")
+        rows = counted.join(taught.hint("merge"), "doc_id").select("fold", "y", "buckets")
         counts = count_tables(in_arrow(rows, _by_class, PACKED), BUCKETS)
         none = np.zeros(BUCKETS, np.int64)
 
@@ -208,7 +228,7 @@ class ToxicityModel:
                 yield batch.append_column("score", pa.array(curve(x), pa.float64()))
 
         passages = F.expr(f"""filter(transform(segments, s -> struct(s.begin as begin, s.end as end, s.score as score,
-            {size!r}D * greatest(n, 1) * exp(-{rate!r}D * s.score) as expected)), s -> s.expected < 1)""")
+            {size!r}D * greatest(n, 1) * exp(-{rate!r}D * s.score) as expected)), s -> s.expected < {SIGNIFICANT!r}D)""")
         rows = self.scanned.select("doc_id", _evidence("segments", rate, size).alias("evidence"), passages.alias("passages"))
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
         return in_arrow(rows, run, schema + ", score double")
