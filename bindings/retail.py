@@ -91,49 +91,50 @@ SELECT {txt('d', 'date')}, {big('weekofyear(d)', 'week')}, {big('month(d)', 'mon
        {big('year(d)', 'year')}, {big('day(d)', 'day')}, {big('dayofweek(d) + 1', 'week_day')},
        CASE WHEN dayofweek(d) IN (0, 6) THEN 'Y' ELSE 'N' END AS is_weekend,
        CASE WHEN d IN (date '1996-01-01', date '1997-10-01') THEN 'Y' ELSE 'N' END AS is_holiday
-FROM (SELECT DISTINCT cast(o_orderdate as date) AS d FROM orders)
+FROM (SELECT cast(unnest(generate_series(min(cast(o_orderdate as date)), max(cast(o_orderdate as date)), interval 1 day)) as date) AS d FROM orders)
 """)
 def dim_date(i: Inputs):
-    days = i.table("orders").select(F.to_date("o_orderdate").alias("date")).distinct()
+    """Every day from the first to the last order."""
+    day = F.to_date("o_orderdate")
+    days = i.table("orders").agg(F.min(day).alias("first"), F.max(day).alias("last")).select(F.explode(F.sequence("first", "last")).alias("date"))
     return dims.calendar(days, ["1996-01-01", "1997-10-01"])
 
 
+def people(i: Inputs):
+    """A customer's name, a made-up phone number and each mail address of the document of the same number."""
+    doc = F.col("doc_id")
+    phone = F.when(doc % 3 == 0, F.concat(F.lit("1"), 30 + doc % 60, F.lpad((doc * 7919 % 100000000).cast("string"), 8, "0"))).otherwise(doc.cast("string"))
+    mails = F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9._+-]+@[A-Za-z0-9._-]+"), F.lit(0))
+    found = i.table("documents").select("doc_id", phone.alias("phone_num"), F.explode_outer(mails).alias("email"))
+    return found.join(i.table("customer"), F.col("c_custkey") == doc, "left").select("doc_id", F.col("c_name").alias("name"), "phone_num", "email")
+
+
 @query("""
 WITH raw AS (
-  SELECT doc_id, regexp_extract(text, '[A-Za-z0-9._+-]+@[A-Za-z0-9._-]+', 0) AS email, split_part(text, ' ', 1) AS name,
+  SELECT doc_id, c_name AS name, unnest(CASE WHEN len(mails) = 0 THEN [NULL] ELSE mails END) AS email,
          CASE WHEN doc_id % 3 = 0 THEN '1' || (30 + doc_id % 60) || lpad((doc_id * 7919 % 100000000) || '', 8, '0') ELSE doc_id || '' END AS phone
-  FROM documents)
+  FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z0-9._+-]+@[A-Za-z0-9._-]+') AS mails FROM documents) LEFT JOIN customer ON c_custkey = doc_id)
 SELECT doc_id, substring(name, 1, 1) || '*' AS name,
   CASE WHEN regexp_matches(phone, '^(13[0-9]|14[01456879]|15[0-35-9]|16[2567]|17[0-8]|18[0-9]|19[0-35-9])[0-9]{8}$') THEN substring(phone, 1, 3) || '*' END AS phone_num,
   CASE WHEN regexp_matches(email, '^[a-zA-Z0-9_-]+@[a-zA-Z0-9_-]+(\\.[a-zA-Z0-9_-]+)+$') THEN '*@' || split_part(email, '@', 2) END AS email
 FROM raw
 """)
 def mask_pii(i: Inputs):
-    raw = i.table("documents").select(
-        "doc_id", F.split("text", " ")[0].alias("name"),
-        F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("1"), 30 + F.col("doc_id") % 60, F.lpad((F.col("doc_id") * 7919 % 100000000).cast("string"), 8, "0")))
-        .otherwise(F.col("doc_id").cast("string")).alias("phone_num"),
-        F.regexp_extract("text", r"[A-Za-z0-9._+-]+@[A-Za-z0-9._-]+", 0).alias("email"))
-    return dims.mask_pii(raw)
+    return dims.mask_pii(people(i))
 
 
 @query("""
 WITH raw AS (
-  SELECT doc_id, regexp_extract(text, '[A-Za-z0-9._+-]+@[A-Za-z0-9._-]+', 0) AS email, split_part(text, ' ', 1) AS name,
+  SELECT doc_id, c_name AS name, unnest(CASE WHEN len(mails) = 0 THEN [NULL] ELSE mails END) AS email,
          CASE WHEN doc_id % 3 = 0 THEN '1' || (30 + doc_id % 60) || lpad((doc_id * 7919 % 100000000) || '', 8, '0') ELSE doc_id || '' END AS phone
-  FROM documents)
+  FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z0-9._+-]+@[A-Za-z0-9._-]+') AS mails FROM documents) LEFT JOIN customer ON c_custkey = doc_id)
 SELECT doc_id, substring(name, 1, 1) || '*' AS name,
   CASE WHEN regexp_matches(phone, '^1[3-9][0-9]{9}$') THEN substring(phone, 1, 3) || '****' || substring(phone, 8) END AS phone_num,
   CASE WHEN regexp_matches(email, '^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\\.[a-zA-Z0-9-.]+$') THEN '***@' || split_part(email, '@', 2) END AS email
 FROM raw
 """)
 def mask_pii_daily(i: Inputs):
-    raw = i.table("documents").select(
-        "doc_id", F.split("text", " ")[0].alias("name"),
-        F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("1"), 30 + F.col("doc_id") % 60, F.lpad((F.col("doc_id") * 7919 % 100000000).cast("string"), 8, "0")))
-        .otherwise(F.col("doc_id").cast("string")).alias("phone_num"),
-        F.regexp_extract("text", r"[A-Za-z0-9._+-]+@[A-Za-z0-9._-]+", 0).alias("email"))
-    return dims.mask_pii(raw, daily=True)
+    return dims.mask_pii(people(i), daily=True)
 
 
 # History: every customer starts open on the first day; those with an order on the last day change level.
