@@ -6,7 +6,7 @@ ordered by the product of the Gaussian probabilities of their intervals, given t
 the number of rows, so that a bucket keeps about BUCKET of them; the number of cells visited is the smallest that finds
 RECALL of the true neighbours in a sample of at most SAMPLE rows (whose neighbours are farther than those among all rows, so
 that recall over all rows is no lower). Buckets of more than SPLIT rows are salted, and no pairs leave a task but the best of
-each query and bucket.
+each query among all buckets of the task.
 
 Equal vectors are indexed up to k + 1 times, by smallest id: more of them can never be among the k nearest. Equal queries
 are searched once.
@@ -143,8 +143,9 @@ def _entries(hashings: dict[int, Hashing], query: bool):
 
 def _searched(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by bucket, those of the index first: the k best of the bucket for each query."""
+        """Rows sorted by bucket, those of the index first: the k best of this task's buckets for each query."""
         key, ids, parts = None, [], []
+        found = _Best(k)
         for batch in batches:
             names = ("length", "tab", "bucket", "salt", "query")
             columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
@@ -163,23 +164,61 @@ def _searched(k: int):
                 elif ids:
                     if len(ids) > 1:
                         ids, parts = [np.concatenate(ids)], [np.concatenate(parts)]
-                    yield from _best(part.column("id").to_numpy(), matrix(part.column("v")), ids[0], parts[0], k)
+                    found.add(part.column("id").to_numpy(), matrix(part.column("v")), ids[0], parts[0])
+                    if found.full:
+                        yield found.taken()
+        yield found.taken()
 
     return run
 
 
-def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
-    u = unit(rows).T
-    for begin in range(0, len(queries), 256):
-        own = queries[begin : begin + 256]
-        rough = unit(own) @ u
-        if rough.shape[1] > 2 * k + 8:
-            limit = -np.partition(-rough, k - 1, axis=1)[:, k - 1 : k] - 1e-9  # and all that may equal the last
-            q, at = np.nonzero(rough >= limit)
-        else:
-            q, at = np.divmod(np.arange(rough.size), rough.shape[1])
-        yield pa.RecordBatch.from_arrays([pa.array(query_ids[begin + q]), pa.array(ids[at]), pa.array(cosines(own[q], rows[at]))],
-                                         ["query_id", "vec_id", "score"])
+class _Best:
+    """The k best found so far of each query, as arrays that are cut down from time to time and handed on when too many."""
+
+    def __init__(self, k: int, most: int = 400_000):
+        self.k, self.most = k, most
+        self.rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.n = 0
+
+    def add(self, query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        u = unit(rows).T
+        for begin in range(0, len(queries), 256):
+            own = queries[begin : begin + 256]
+            rough = unit(own) @ u
+            if rough.shape[1] > 2 * self.k + 8:
+                limit = -np.partition(-rough, self.k - 1, axis=1)[:, self.k - 1 : self.k] - 1e-9  # and all that may equal the last
+                q, at = np.nonzero(rough >= limit)
+            else:
+                q, at = np.divmod(np.arange(rough.size), rough.shape[1])
+            self.rows.append((query_ids[begin + q], ids[at], cosines(own[q], rows[at])))
+            self.n += len(q)
+            if self.n > self.most:
+                self.cut()
+
+    def cut(self) -> None:
+        if not self.rows:
+            return
+        q, v, s = (np.concatenate(c) for c in zip(*self.rows))
+        order = np.lexsort((-s, v, q))
+        first = np.ones(len(order), bool)  # a pair met in several tables counts once
+        first[1:] = (q[order][1:] != q[order][:-1]) | (v[order][1:] != v[order][:-1])
+        q, v, s = (c[order][first] for c in (q, v, s))
+        order = np.lexsort((v, -s, q))
+        start = np.ones(len(order), bool)
+        start[1:] = q[order][1:] != q[order][:-1]
+        place = np.arange(len(order)) - np.maximum.accumulate(np.where(start, np.arange(len(order)), 0))
+        stay = order[place < self.k]
+        self.rows, self.n = [(q[stay], v[stay], s[stay])], len(stay)
+
+    @property
+    def full(self) -> bool:
+        return self.n > self.most // 2 and len(self.rows) == 1
+
+    def taken(self) -> pa.RecordBatch:
+        self.cut()
+        q, v, s = self.rows[0] if self.rows else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        self.rows, self.n = [], 0
+        return pa.RecordBatch.from_arrays([pa.array(q), pa.array(v), pa.array(s)], ["query_id", "vec_id", "score"])
 
 
 def _search(index: DataFrame, queries: DataFrame, hashings: dict[int, Hashing], k: int) -> DataFrame:
