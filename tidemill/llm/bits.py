@@ -15,9 +15,9 @@ def bit_table(numbers: DataFrame, column: str, log_bits: int) -> np.ndarray:
     low = F.col(column).bitwiseAND(F.lit((1 << log_bits) - 1))
     one = F.expr("shiftleft(1L, cast(place as int))")
     words = numbers.where(F.col(column).isNotNull()).select(F.shiftright(low, 6).alias("word"), low.bitwiseAND(F.lit(63)).alias("place")) \
-        .groupBy("word").agg(F.bit_or(one).alias("bits")).toPandas()
+        .groupBy("word").agg(F.bit_or(one).alias("bits")).toArrow()
     out = np.zeros(1 << (log_bits - 6), np.uint64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return out
 
 
