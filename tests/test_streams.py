@@ -309,3 +309,11 @@ def test_preference_without_values(spark, missing):
     df = spark.createDataFrame([row], "user_id int, behavior_type string, brand_id string, category3_id string, platform string")
     assert users.user_preference(df, "left").count() == 0
     assert users.user_preference(df, "full").count() == (0 if missing == "user_id" else 1)
+
+
+def test_equal_times_have_one_answer(spark, as_rows):
+    rows = [("d", "o", "u", 1.0, 5), ("d", "o", "u", 3.0, 5), ("d", "o", "u", 2.0, 5)]
+    df = spark.createDataFrame(rows, "order_detail_id string, order_id string, user_id string, pay_amount double, ts bigint").selectExpr(
+        "*", "cast(null as string) as sku_id", "cast(null as double) as order_amount", "cast(null as double) as refund_amount")
+    for parts in (1, 3):
+        assert as_rows(cdc.order_lifecycle_merge(df.repartition(parts)), "order_detail_id", "pay_amount") == [("d", 3.0)]

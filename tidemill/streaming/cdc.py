@@ -164,9 +164,9 @@ def order_rows(envelopes: DataFrame) -> DataFrame:
 
 
 def _newest(table: str, columns: dict[str, str], by_refund_time: bool = False) -> Column:
-    """Among the rows of one table in a group: the wanted columns of the newest one."""
+    """Among the rows of one table in a group: the wanted columns of the newest one; of equal times the greatest row."""
     here = F.col("table") == table
-    at = F.struct("after.refund_create_time", "ts_ms") if by_refund_time else F.struct(F.lit(None).cast("string").alias("refund_create_time"), "ts_ms")
+    at = F.struct(*(["after.refund_create_time"] if by_refund_time else []), "ts_ms", "after")
     row = F.struct(*[F.col(source).alias(name) for name, source in columns.items()])
     return F.max_by(row, F.when(here, at))
 
@@ -219,10 +219,10 @@ def lifecycle_events(orders: DataFrame, payments: DataFrame, refunds: DataFrame)
 
 
 def order_lifecycle_merge(events: DataFrame) -> DataFrame:
-    """One row per order detail: for each column the newest value that is not NULL."""
+    """One row per order detail: for each column the newest value that is not NULL; of equal times the greatest."""
     columns = ["order_id", "user_id", "sku_id", "order_amount", "pay_amount", "refund_amount"]
     return events.groupBy("order_detail_id").agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("ts"))).alias(c) for c in columns], F.max("ts").alias("ts")
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("ts", c))).alias(c) for c in columns], F.max("ts").alias("ts")
     )
 
 
