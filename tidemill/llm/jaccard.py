@@ -41,7 +41,7 @@ from tidemill.llm.words import mixed, runs
 
 WINDOW = 32
 COMMON = 32
-COMMON_BITS, CLASS_BITS, SHARED_BITS = 21, 25, 25
+COMMON_BITS, CLASS_BITS, SHARED_BITS = 21, 24, 24
 SKETCH_DIFFERENCE = 52
 SALTS = 16
 

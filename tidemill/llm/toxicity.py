@@ -193,7 +193,7 @@ class ToxicityModel:
         taught = pick(labels, doc_id=doc_id, y=label).where("doc_id is not null and y is not null").groupBy("doc_id").agg(
             (F.avg("y") >= 0.5).cast("long").alias("y")).withColumn("fold", fold(F.col("doc_id")).cast("long")).where("fold <> 2")
         taught = kept(taught)
-        labelled = bit_table(taught.select(id_number(F.col("doc_id")).alias("number")), "number", 25)
+        labelled = bit_table(taught.select(id_number(F.col("doc_id")).alias("number")), "number", 24)
         prior = count_tables(in_arrow(source.select("text"), _words_of_all, PACKED), BUCKETS).get(-1, np.zeros(BUCKETS, np.int64))
         counted = in_arrow(source.where("doc_id is not null").select("doc_id", id_number(F.col("doc_id")).alias("number"), "text"),
                            _words_of_labelled(labelled), f"doc_id {kind}, buckets binary")
