@@ -6,7 +6,7 @@ import warnings
 import numpy as np
 import pytest
 
-from tidemill.llm import mixing
+from tidemill.llm import mixing, nearest
 
 
 def shares(drawn, axis):
@@ -48,3 +48,21 @@ def test_mixing_tells_targets_that_conflict(spark):
     with warnings.catch_warnings():
         warnings.simplefilter("error", UserWarning)
         mixing.mixed(docs, mixing.Targets(source={"s0": 0.5, mixing.OTHER: 0.5}, lang={"en": 0.3, "de": 0.7}))
+
+
+def test_nearest_where_the_most_probes_do_not_suffice(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "BUCKET", 0.05)  # as many projections as 6 million rows get
+    v = np.random.default_rng(4).normal(size=(3000, 64))
+    u = nearest.unit(v)
+    near = u[::50] @ u.T
+    near[np.arange(60), np.arange(0, 3000, 50)] = -2
+    true = np.argsort(-near, axis=1)[:, :5]
+    found = {}
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    for r in nearest.nearest(df).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert sum(len(found[50 * q] & set(t.tolist())) for q, t in enumerate(true)) >= 0.9 * true.size
+    hashing = nearest.fitted(64, 3000, v, 5)
+    assert 0 < hashing.m < 7 and hashing.probes < nearest.MOST_PROBES
+    monkeypatch.setattr(nearest, "MOST_PROBES", 1)  # no projection does
+    assert nearest.fitted(64, 3000, v, 5).m == 0

@@ -5,7 +5,8 @@ A query visits, in each table, the cells with the largest estimated chance to ho
 ordered by the product of the Gaussian probabilities of their intervals, given the distance of neighbours. M follows from
 the number of rows, so that a bucket keeps about BUCKET of them; the number of cells visited is the smallest that finds
 RECALL of the true neighbours in a sample of at most SAMPLE rows (whose neighbours are farther than those among all rows, so
-that recall over all rows is no lower). Buckets of more than SPLIT rows are salted, and no pairs leave a task but the best of
+that recall over all rows is no lower). Where MOST_PROBES cells do not find RECALL, M is lowered until they do: buckets grow
+instead, down to one that holds all rows (M = 0), which is exact. Buckets of more than SPLIT rows are salted, and no pairs leave a task but the best of
 each query among all buckets of the task.
 
 Equal vectors are indexed up to k + 1 times, by smallest id: more of them can never be among the k nearest. Equal queries
@@ -93,7 +94,7 @@ class Hashing:
 
 
 def fitted(length: int, rows: int, sample: np.ndarray, k: int) -> Hashing:
-    """Hashing for ``rows`` vectors, its probes fitted to the sample."""
+    """Hashing for ``rows`` vectors, its probes fitted to the sample; of so few projections that MOST_PROBES suffice for RECALL."""
     m = int(np.clip(round(np.log(max(rows, 1) / BUCKET) / np.log(5)), 0, 12))
     if not m or len(sample) <= k + 1:
         return Hashing(length, 0, 1.0, 1)
@@ -103,17 +104,20 @@ def fitted(length: int, rows: int, sample: np.ndarray, k: int) -> Hashing:
     near[queries, queries] = -2
     true = np.argsort(-near, axis=1)[:, :k]
     distance = float(np.sqrt(np.maximum(2 - 2 * np.take_along_axis(near, true, axis=1), 1e-6)).mean())
-    hashing = Hashing(length, m, distance)
-    first = np.full(true.shape, MOST_PROBES)
-    for table in range(TABLES):
-        cells = hashing.positions(u, table)
-        offsets = hashing.offsets(cells[queries])
-        apart = np.floor(cells)[true] - np.floor(cells[queries])[:, None, :]
-        same = (offsets[:, None, :, :] == apart[:, :, None, :]).all(axis=3)
-        first = np.minimum(first, np.where(same.any(axis=2), same.argmax(axis=2), MOST_PROBES))
-    ranks = np.sort(first.ravel())
-    hashing.probes = int(min(MOST_PROBES, ranks[int(np.ceil(RECALL * len(ranks))) - 1] + 1))
-    return hashing
+    for fewer in range(m, 0, -1):
+        hashing = Hashing(length, fewer, distance)
+        first = np.full(true.shape, MOST_PROBES)
+        for table in range(TABLES):
+            cells = hashing.positions(u, table)
+            offsets = hashing.offsets(cells[queries])
+            apart = np.floor(cells)[true] - np.floor(cells[queries])[:, None, :]
+            same = (offsets[:, None, :, :] == apart[:, :, None, :]).all(axis=3)
+            first = np.minimum(first, np.where(same.any(axis=2), same.argmax(axis=2), MOST_PROBES))
+        last = int(np.sort(first.ravel())[int(np.ceil(RECALL * first.size)) - 1])
+        if last < MOST_PROBES:
+            hashing.probes = last + 1
+            return hashing
+    return Hashing(length, 0, 1.0, 1)
 
 
 def _entries(hashings: dict[int, Hashing], query: bool):
