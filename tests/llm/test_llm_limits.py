@@ -6,7 +6,7 @@ import warnings
 import numpy as np
 import pytest
 
-from tidemill.llm import mixing, nearest
+from tidemill.llm import mixing, nearest, toxicity
 
 
 def shares(drawn, axis):
@@ -66,3 +66,35 @@ def test_nearest_where_the_most_probes_do_not_suffice(spark, monkeypatch):
     assert 0 < hashing.m < 7 and hashing.probes < nearest.MOST_PROBES
     monkeypatch.setattr(nearest, "MOST_PROBES", 1)  # no projection does
     assert nearest.fitted(64, 3000, v, 5).m == 0
+
+
+def test_toxic_passages_of_words_that_stood_before(spark):
+    rng = random.Random(5)
+    plain = [a + str(i) for a in "garden river water stone tree light morning evening people".split() for i in range(6)]
+    bad = "scum moron idiot vermin filth".split()
+    rows, marks = [], []
+    for i in range(400):
+        w = [rng.choice(plain) for _ in range(rng.randint(20, 200))]
+        if i % 4 == 0:
+            at = rng.randrange(len(w))
+            w[at:at] = rng.sample(bad, 4)
+        rows.append((i, " ".join(w)))
+        marks.append((i, int(i % 4 == 0)))
+    passage = " ".join(bad)
+    gap = " ".join(rng.choice(plain) for _ in range(300))
+    scattered = " ".join(x + " " + " ".join(rng.choice(plain) for _ in range(4000)) for x in bad)
+    rows += [(1000, f"{gap} {passage} {gap} {passage} {gap}"), (1001, f"{scattered} {passage} {gap}"), (1002, scattered), (1003, f"{gap} {passage} {gap}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in toxicity.toxicity_scores(docs, spark.createDataFrame(marks, "doc_id long, toxic int")).where("doc_id >= 1000").collect()}
+    taken = {i: [dict(rows)[i].encode()[p.begin : p.end].decode() for p in r.passages] for i, r in found.items()}
+    assert taken[1000] == [passage, passage] and taken[1003] == [passage] and passage in taken[1001]
+    assert found[1000].predicted == found[1001].predicted == found[1003].predicted == 1
+    assert found[1000].score == pytest.approx(found[1003].score, abs=0.05)  # repeats are no new evidence
+
+
+def test_a_word_counts_in_its_best_segment():
+    value = np.array([3.0, -9, 2, -9, 3, 2, 1, -9, 1, -0.5, 1])
+    words = np.array([7, 0, 8, 0, 7, 8, 9, 0, 9, 0, 9])
+    found = toxicity.segments(value)
+    assert toxicity._once(value, words, found).tolist() == [0, -9, 0, -9, 3, 2, 1, -9, 0, -0.5, 0]
+    assert toxicity._both(value, words)[1] == [6.0]

@@ -6,11 +6,13 @@
    nothing grows with the vocabulary.
 2. A word's score is its log-odds between the classes under an informative Dirichlet prior (the corpus' own word shares),
    pulled to zero by ERRORS standard errors, less a drift; the best of the word's own and its stems'. Unknown and ordinary
-   words cost the drift, toxic ones gain, once a document.
-3. One linear scan per document finds all maximal scoring segments: those that cannot gain by being longer or shorter.
+   words cost the drift, toxic ones gain.
+3. One linear scan per document finds all maximal scoring segments: those that cannot gain by being longer or shorter. A
+   passage is a segment, whether or not its words stood before.
 4. Segment scores of harmless text follow an extreme-value law; its parameters give each segment its expected number of
-   equals in a harmless document of the same length. A document's evidence is the sum over its segments, in
-   which significant ones count in full.
+   equals in a harmless document of the same length. Repeats are no new evidence: of each word's places only the one in its
+   best segment counts, the others are nothing, and a second scan over these scores, which have a law of their own, gives the
+   document's evidence, the sum over its segments, in which significant ones count in full.
 5. Evidence becomes a probability by isotonic calibration. Evidence and law are taken from labelled documents with word
    scores that their own fold had no part in.
 """
@@ -40,6 +42,7 @@ ERRORS = 1.5
 LARGEST = 20.0
 SIGNIFICANT = 0.01
 STEMS = (4, 6)
+AROUND = 10
 
 
 def _buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -138,49 +141,71 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 _SEGMENTS = "array<struct<begin:int,end:int,score:double>>"
+_SCORES = pa.list_(pa.float64())
 _SEGMENT_TYPE = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
 
-def _once(value: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Scores of one document's words where a positive word that came before counts nothing: repeats are no new evidence."""
+def _once(value: np.ndarray, words: np.ndarray, found: list[tuple[int, int, float]]) -> np.ndarray:
+    """Scores of one document's words where each positive word counts at one place only: in the segment of ``found`` that has
+    the greatest score with each of its words once; of places in one segment, where the score of the words around is greatest."""
     at = np.flatnonzero(value > 0)
-    if len(at) > 1:
-        first = np.unique(words[at], return_index=True)[1]
-        value = value.copy()
-        value[np.delete(at, first)] = 0.0
+    kinds, kind = np.unique(words[at], return_inverse=True)
+    if len(kinds) == len(at):
+        return value
+    gain = value[at].astype(float)
+    segment = np.searchsorted([begin for begin, _, _ in found], at, side="right") - 1
+    first = np.unique(segment * len(kinds) + kind, return_index=True)[1]
+    repeats = np.bincount(segment, gain, len(found)) - np.bincount(segment[first], gain[first], len(found))
+    own = np.array([score for _, _, score in found]) - repeats
+    total = np.concatenate([[0.0], np.cumsum(value, dtype=float)])
+    around = total[np.minimum(at + AROUND + 1, len(value))] - total[np.maximum(at - AROUND, 0)]
+    order = np.lexsort((at, -around, -own[segment], kind))
+    others = np.ones(len(order), bool)
+    others[np.unique(kind[order], return_index=True)[1]] = False
+    value = value.copy()
+    value[at[order[others]]] = 0.0
     return value
 
 
+def _both(value: np.ndarray, words: np.ndarray) -> tuple[list[tuple[int, int, float]], list[float]]:
+    """A document's segments, and the scores of its segments when each word counts once."""
+    found = segments(value)
+    once = _once(value, words, found)
+    return found, [s for _, _, s in (found if once is value else segments(once))]
+
+
 def _scanned(scores: dict[int, np.ndarray], fit: np.ndarray):
-    """Per document: words, segments with the final word scores, and with those its own fold had no part in."""
+    """Per document: words, segments with the final word scores and their scores with each word once; the same scores, and the
+    best segment's, with those its own fold had no part in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             texts = batch.column("text")
             b, begins, ends, first = _buckets(texts)
             starts = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
-            final, other = [], []
+            final, once, other, best = [], [], [], []
             value = fit[b].max(axis=1, initial=-LARGEST)
             for i, f in enumerate(batch.column("fold").to_pylist()):
                 lo, hi = int(first[i]), int(first[i + 1])
                 at, to = begins[lo:hi] - starts[i], ends[lo:hi] - starts[i]
-                final.append([(int(at[x]), int(to[y - 1]), s) for x, y, s in segments(_once(value[lo:hi], b[lo:hi, 0]))])
-                left = segments(_once(scores[f][b[lo:hi]].max(axis=1, initial=-LARGEST), b[lo:hi, 0])) if f in scores else []
-                other.append([(int(at[x]), int(to[y - 1]), s) for x, y, s in left])
-            named = [[dict(zip(("begin", "end", "score"), s)) for s in doc] for doc in final]
-            named_other = [[dict(zip(("begin", "end", "score"), s)) for s in doc] for doc in other]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("fold"), pa.array(np.diff(first), pa.int64()),
-                                              pa.array(named, _SEGMENT_TYPE), pa.array(named_other, _SEGMENT_TYPE)],
-                                             ["doc_id", "fold", "n", "segments", "left_out"])
+                found, counted = _both(value[lo:hi], b[lo:hi, 0])
+                final.append([{"begin": int(at[x]), "end": int(to[y - 1]), "score": s} for x, y, s in found])
+                once.append(counted)
+                left, counted = _both(scores[f][b[lo:hi]].max(axis=1, initial=-LARGEST), b[lo:hi, 0]) if f in scores else ([], [])
+                other.append(counted)
+                best.append(max((s for _, _, s in left), default=0.0))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("fold"), pa.array(np.diff(first), pa.int64()), pa.array(final, _SEGMENT_TYPE),
+                                              pa.array(once, _SCORES), pa.array(other, _SCORES), pa.array(best, pa.float64())],
+                                             ["doc_id", "fold", "n", "segments", "once", "left_out", "left_out_best"])
 
     return run
 
 
 def _evidence(column: str, rate: float, size: float):
-    """Sum over segments of x, the log of 1 / (expected number of equals in harmless text of this length); segments that are
+    """Sum over the scores of segments of x, the log of 1 / (expected number of equals in harmless text of this length); segments that are
     not significant count with their x times (x / least significant x) to the fourth power, so that many weak ones stay weak."""
     least = -math.log(SIGNIFICANT)
-    x = f"greatest(0D, {rate!r}D * s.score - ln({size!r}D * greatest(n, 1)))"
+    x = f"greatest(0D, {rate!r}D * s - ln({size!r}D * greatest(n, 1)))"
     return F.expr(f"aggregate({column}, 0D, (a, s) -> a + {x} * pow(least(1D, {x} / {least!r}D), 4))")
 
 
@@ -210,17 +235,17 @@ class ToxicityModel:
         self.rate = decay(self.scores, harmless)
         left = {f: fit([k for k in FOLDS if k != f]) for f in FOLDS}
         folded = source.select("doc_id", fold(F.col("doc_id")).cast("long").alias("fold"), "text")
-        self.scanned = kept(in_arrow(folded, _scanned(left, self.scores), f"doc_id {kind}, fold long, n long, segments {_SEGMENTS}, left_out {_SEGMENTS}"))
+        self.scanned = kept(in_arrow(folded, _scanned(left, self.scores), f"doc_id {kind}, fold long, n long, segments {_SEGMENTS}, once array<double>, left_out array<double>, left_out_best double"))
         train = self.scanned.join(taught.select("doc_id", "y").hint("merge"), "doc_id")
-        best = F.coalesce(F.array_max(F.transform("left_out", lambda s: s["score"])), F.lit(0.0))
-        law = train.where("y = 0").agg(F.count("*").alias("n"), F.sum(F.greatest("n", F.lit(1)) * F.exp(-self.rate * best)).alias("d")).first()
-        # the extreme-value law's size parameter of greatest likelihood, given the decay
-        self.size = float(law["n"] / law["d"]) if law["n"] else 1.0
+        best = {"once": F.coalesce(F.array_max("left_out"), F.lit(0.0)), "all": F.col("left_out_best")}
+        law = train.where("y = 0").agg(F.count("*").alias("n"), *[F.sum(F.greatest("n", F.lit(1)) * F.exp(-self.rate * b)).alias(k) for k, b in best.items()]).first()
+        # the extreme-value laws' size parameters of greatest likelihood, given the decay
+        self.size, self.size_of_all = (float(law["n"] / law[k]) if law["n"] and law[k] else 1.0 for k in best)
         self.curve = Isotonic(*binned(train, F.log1p(_evidence("left_out", self.rate, self.size)), F.col("y"), 0.0, 12.0))
 
     def documents(self) -> DataFrame:
         """doc_id, evidence, score, passages (begin and end in bytes, score, expected number of equals), significant ones only."""
-        rate, size, curve = self.rate, self.size, self.curve
+        rate, size, curve = self.rate, self.size_of_all, self.curve
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -229,7 +254,7 @@ class ToxicityModel:
 
         passages = F.expr(f"""filter(transform(segments, s -> struct(s.begin as begin, s.end as end, s.score as score,
             {size!r}D * greatest(n, 1) * exp(-{rate!r}D * s.score) as expected)), s -> s.expected < {SIGNIFICANT!r}D)""")
-        rows = self.scanned.select("doc_id", _evidence("segments", rate, size).alias("evidence"), passages.alias("passages"))
+        rows = self.scanned.select("doc_id", _evidence("once", rate, self.size).alias("evidence"), passages.alias("passages"))
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
         return in_arrow(rows, run, schema + ", score double")
 
