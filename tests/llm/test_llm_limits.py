@@ -6,7 +6,7 @@ import warnings
 import numpy as np
 import pytest
 
-from tidemill.llm import mixing, nearest, toxicity
+from tidemill.llm import jaccard, mixing, nearest, toxicity
 
 
 def shares(drawn, axis):
@@ -98,3 +98,22 @@ def test_a_word_counts_in_its_best_segment():
     found = toxicity.segments(value)
     assert toxicity._once(value, words, found).tolist() == [0, -9, 0, -9, 3, 2, 1, -9, 0, -0.5, 0]
     assert toxicity._both(value, words)[1] == [6.0]
+
+
+def test_links_far_below_75_percent(spark):
+    rows, n = [], iter(range(10**9))
+    for i in range(100):
+        both = [f"w{next(n)}" for _ in range(600)]
+        rows += [(2 * i + k, " ".join(both + [f"w{next(n)}" for _ in range(690)])) for k in (0, 1)]  # 596 shared of 1976
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), percent=30).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(i, i - i % 2) for i in range(200)]
+
+
+def test_windows_and_sketches_follow_the_percent():
+    assert jaccard.sketch_difference(75) == jaccard.sketch_difference(100) == jaccard.SKETCH_DIFFERENCE
+    assert len(jaccard.Sets(75).window(np.arange(1, 5001, dtype=np.uint64))[0]) == jaccard.WINDOW
+    rng, sets = np.random.default_rng(6), jaccard.Sets(10)
+    for _ in range(300):
+        both, a, b = np.split(rng.integers(1, 2**63, 5500).astype(np.uint64), [550, 3025])  # 550 shared of 5500
+        x, y = (sets.window(np.sort(np.concatenate([both, own])))[0] for own in (a, b))
+        assert len(np.intersect1d(x, y))

@@ -21,11 +21,13 @@ therefore formed per shared shingle.
 
 Before sets are compared, 128-bit sketches (one bit of the smallest hash of each of 128 parts of the hash space) rule pairs
 out: a shingle that only one set has changes at most one bit, and by chance over 52 of 128 bits differ in a linked pair with
-a probability below 1e-14.
+a probability below 1e-14. Quarters and 52 hold for a similarity of 75 % and more; below, windows and the number of bits grow so
+that the chances stay below 1e-14.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +48,22 @@ SKETCH_DIFFERENCE = 52
 SALTS = 16
 
 
+def _enough(miss: float) -> int:
+    """So many shingles, each missing in the other set by the chance ``miss``, are all missing with a chance below 1e-14."""
+    return max(WINDOW, math.ceil(32.3 / -math.log(miss))) if miss > 0 else WINDOW
+
+
+def sketch_difference(percent: int) -> int:
+    """More bits than this differ in a pair that links at ``percent`` with a chance below 1e-14: a part's smallest hash is in
+    both sets with a chance of at least ``percent`` / 100, else its bits differ half the time."""
+    q, tail = (100 - percent) / 200, 0.0
+    for bits in range(128, SKETCH_DIFFERENCE, -1):
+        tail += math.comb(128, bits) * q**bits * (1 - q) ** (128 - bits)
+        if tail >= 1e-14:
+            return bits
+    return SKETCH_DIFFERENCE
+
+
 class Sets:
     """Identity, sketch and window of a set of shingle hashes (ascending), at a similarity of ``percent`` / 100."""
 
@@ -69,13 +87,14 @@ class Sets:
         n = len(own)
         safe = n - (-(-self.percent * n // 100)) + 1
         if self.common is None:
-            return own[: min(safe, WINDOW)], n
+            miss = (100 - self.percent) / 100
+            return own[: min(safe, _enough(miss)) if miss < 1 else safe], n
         common = in_table(self.common, own)
         uncommon = own[~common]
         share = len(uncommon) / n
         miss = (100 - self.percent) / 100 / share if share else 1.0
         if miss < 1:
-            safe = min(safe, max(WINDOW, int(np.ceil(32.3 / -np.log(miss)))))
+            safe = min(safe, _enough(miss))
         return np.concatenate([uncommon, own[common]])[:safe], len(uncommon)
 
 
@@ -222,7 +241,7 @@ class JaccardJoin:
         differ = f"(bit_count({x}s1 ^ {y}s1) + bit_count({x}s2 ^ {y}s2))"
         sizes = f"100 * least({x}n, {y}n) >= {self.percent} * greatest({x}n, {y}n)"
         # shingles that only one of two linked sets has: at most (100 - p) / (100 + p) of n_x + n_y
-        bound = f"least({SKETCH_DIFFERENCE}, {100 - self.percent} * ({x}n + {y}n) div {100 + self.percent})"
+        bound = f"least({sketch_difference(self.percent)}, {100 - self.percent} * ({x}n + {y}n) div {100 + self.percent})"
         # met in a common shingle's region: if they share no uncommon shingle (else they meet in its region too), they share
         # at most the smaller common part, and differ in all that is uncommon
         least = f"least({x}n - {x}u, {y}n - {y}u)"
