@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontamination, jaccard, line_dedup, mixing, nearest, quality, token_counts, token_files, toxicity, url_filter
+from tidemill.llm import (decontamination, fingerprints, jaccard, line_dedup, manifest, mixing, nearest, quality, resampling, token_counts, token_files, toxicity,
+                          url_filter)
 from tidemill.llm.shared import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +169,79 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary_path(), END_ID)
     return token_files.token_file_digests(spark, path)
+
+
+@query()
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.beside_next(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprints.as_text(F.col("fingerprint")).alias("fingerprint"),
+                        fingerprints.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+def crc32_sql(text: str) -> str:
+    """crc32 of a text's UTF-8 bytes; needs ``crc`` (t: the table of 256 remainders)."""
+    bytes_ = f"list_transform(range(length(hex(encode({text}))) // 2), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(4294967295, list_reduce([4294967295] || {bytes_}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"
+
+
+CRC_SQL = """crc AS (SELECT list(list_reduce([i, 1, 1, 1, 1, 1, 1, 1, 1], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM range(256) r(i))"""
+
+BUCKETS, PERCENT, MIN_WORDS, SEED = 10_000, 10, 20, 2024
+_FEATURES = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+@query(f"""
+WITH {CRC_SQL},
+d AS (SELECT row_number() OVER () AS r, doc_id, {_FEATURES} AS w FROM documents),
+dw AS (SELECT r, unnest(w) AS w FROM d), bw AS (SELECT unnest({_FEATURES}) AS w FROM benchmark),
+bucket AS (SELECT w, {crc32_sql("w")} % {BUCKETS} AS k FROM (SELECT w FROM dw UNION SELECT w FROM bw), crc),
+s AS (SELECT k, count(*) AS s FROM dw JOIN bucket USING (w) GROUP BY k), t AS (SELECT k, count(*) AS t FROM bw JOIN bucket USING (w) GROUP BY k),
+gain AS (SELECT k, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dw) + {BUCKETS})::DOUBLE
+        / ((s + 1)::DOUBLE * ((SELECT count(*) FROM bw) + {BUCKETS})::DOUBLE))) AS BIGINT) AS g FROM s LEFT JOIN t USING (k)),
+weights AS (SELECT r, CAST(sum(g) AS BIGINT) AS weight FROM dw JOIN bucket USING (w) JOIN gain USING (k) GROUP BY r),
+scored AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{SEED}:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM d LEFT JOIN weights USING (r)),
+placed AS (SELECT *, CASE WHEN n_features >= {MIN_WORDS} THEN row_number() OVER (PARTITION BY n_features >= {MIN_WORDS} ORDER BY score DESC, doc_id) END AS place FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= {PERCENT} * (SELECT count(place) FROM placed) // 100 THEN place END AS rank FROM placed
+""")
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), PERCENT, MIN_WORDS, BUCKETS, 1, SEED)
+
+
+def _field_sql(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}::VARCHAR) || ':' || {column} END"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+# A tree in SQL: the nodes of each level from those below, then every row's way up, one level at a time.
+@query(f"""
+WITH RECURSIVE {CRC_SQL},
+leaves AS (SELECT row_number() OVER (ORDER BY doc_id, leaf) AS r, *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM (
+    SELECT doc_id, lang, {_leaf_sql("n_chars")} AS leaf, CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 7 = 0 THEN {_leaf_sql("(n_chars + 1)")} END AS tampered FROM documents, crc)),
+nodes AS (SELECT lang, 0 AS level, place, leaf AS node, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+    UNION ALL SELECT lang, level + 1, place // 2, sha256(string_agg(node, '' ORDER BY place)), any_value((n + 1) // 2) FROM nodes WHERE n > 1 GROUP BY lang, level, place // 2),
+subroots AS (SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM nodes WHERE n = 1),
+tops AS (SELECT 0 AS level, place, subroot AS node, count(*) OVER () AS n FROM subroots
+    UNION ALL SELECT level + 1, place // 2, sha256(string_agg(node, '' ORDER BY place)), any_value((n + 1) // 2) FROM tops WHERE n > 1 GROUP BY level, place // 2),
+way AS (SELECT r, lang, 0 AS level, place, coalesce(tampered, leaf) AS node, '' AS proof FROM leaves
+    UNION ALL SELECT r, w.lang, w.level + 1, w.place // 2, sha256(CASE WHEN w.place % 2 = 1 THEN coalesce(s.node, '') || w.node ELSE w.node || coalesce(s.node, '') END), w.proof || coalesce(s.node, '')
+    FROM way w JOIN nodes own ON own.lang IS NOT DISTINCT FROM w.lang AND own.level = w.level AND own.place = w.place AND own.n > 1
+    LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM w.lang AND s.level = w.level AND s.place = xor(w.place, 1)),
+low AS (SELECT w.r, w.lang, w.node, w.proof FROM way w JOIN nodes own ON own.lang IS NOT DISTINCT FROM w.lang AND own.level = w.level AND own.place = w.place AND own.n = 1),
+high AS (SELECT r, 0 AS level, s.place, node, proof FROM low JOIN subroots s ON s.lang IS NOT DISTINCT FROM low.lang
+    UNION ALL SELECT r, w.level + 1, w.place // 2, sha256(CASE WHEN w.place % 2 = 1 THEN coalesce(s.node, '') || w.node ELSE w.node || coalesce(s.node, '') END), w.proof || coalesce(s.node, '')
+    FROM high w JOIN tops own ON own.level = w.level AND own.place = w.place AND own.n > 1 LEFT JOIN tops s ON s.level = w.level AND s.place = xor(w.place, 1)),
+ends AS (SELECT w.r, w.node AS folded_root, sha256(w.proof) AS proof_sha256 FROM high w JOIN tops own ON own.level = w.level AND own.place = w.place AND own.n = 1)
+SELECT doc_id, leaf, subroot, t.node AS root, proof_sha256, folded_root, folded_root = t.node AS verified
+FROM leaves l JOIN ends USING (r) JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang JOIN tops t ON t.n = 1
+""")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    found = manifest.manifest(table(spark, sf_dir, "documents"), changed)
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256"), "folded_root", "verified")
