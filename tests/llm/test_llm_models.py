@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 import zlib
 
 import numpy as np
@@ -101,6 +102,39 @@ def test_segments_are_the_maximal_ones():
         assert np.allclose([x for *_, x in got], [s[a:b].sum() for a, b, _ in got])
 
 
+def test_long_nested_segments_are_the_maximal_ones():
+    rng = random.Random(11)
+    for n in (60, 150, 250):
+        for rise in (0.5, 1.0, 2.0):
+            s = np.array([rng.choice([rise, -1.0, -0.25]) + rng.random() / 1000 for _ in range(n)])
+            assert [(a, b) for a, b, _ in toxicity.segments(s)] == [(a, b) for a, b, _ in brute_segments_fast(s)]
+
+
+def brute_segments_fast(s):
+    """As ``brute_segments``, with running sums."""
+    total = np.concatenate([[0.0], np.cumsum(s)])
+
+    def split(a, b):
+        sums = np.triu(total[a : b + 1][None, :] - total[a : b + 1][:, None], 1)
+        if b <= a or sums.max() <= 0:
+            return []
+        i, j = min(np.argwhere(sums == sums.max()).tolist(), key=lambda p: (p[1] - p[0], p[0]))
+        return [*split(a, a + i), (a + i, a + j, 0.0), *split(a + j, b)]
+
+    return split(0, len(s))
+
+
+def test_scan_is_linear():
+    """A million words in the shapes that need most steps: single positives between long falls, rising steps, falling steps."""
+    n = 1_000_000
+    noise = np.random.default_rng(3).normal(-0.2, 1, n)
+    for s in (np.tile([1.0, -2.0], n // 2), np.tile([2.0, -1.0], n // 2), np.tile([1.0, -1.0], n // 2), noise):
+        start = time.perf_counter()
+        found = toxicity.segments(s)
+        assert time.perf_counter() - start < 6 and found
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+
+
 def test_decay_solves_its_equation():
     s, p = np.array([-0.5, 3.0, -2.0]), np.array([90, 1, 9])
     rate = toxicity.decay(s, p)

@@ -50,9 +50,20 @@ def _added(rows: pa.Table) -> pa.Table:
 PACKED = "kind long, part long, counts binary"
 
 
+#: Tables are added in two turns, so that no task adds those of more than a 64th of all tasks, or more than 64.
+LANES = 64
+
+
+def added_in_turns(rows: DataFrame, keys: list[str], add, schema: str) -> DataFrame:
+    """The packed rows of each value of ``keys`` added by ``add``, first those of every 64th task, then their sums."""
+    first = rows.withColumn("lane", F.spark_partition_id() % LANES).groupBy(*keys, "lane").applyInArrow(add, schema)
+    return first.groupBy(*keys).applyInArrow(add, schema)
+
+
 def count_tables(rows: DataFrame, size: int) -> dict[int, np.ndarray]:
-    """The sums, by kind, of the tables that tasks have packed: PARTS rows of fixed size for each kind reach the driver."""
+    """The sums, by kind, of the tables that tasks have packed: PARTS rows of fixed size for each kind reach the driver, in one job."""
     out: dict[int, np.ndarray] = {}
-    for r in rows.groupBy("kind", "part").applyInArrow(_added, PACKED).toLocalIterator():
-        out.setdefault(r["kind"], np.zeros((PARTS, size // PARTS), np.int64))[r["part"]] = np.frombuffer(bytes(r["counts"]), "<i8")
+    for batch in added_in_turns(rows, ["kind", "part"], _added, PACKED).toArrow().to_batches():
+        for kind, part, counts in zip(batch.column("kind").to_pylist(), batch.column("part").to_pylist(), batch.column("counts")):
+            out.setdefault(kind, np.zeros((PARTS, size // PARTS), np.int64))[part] = np.frombuffer(counts.as_buffer(), "<i8")
     return {k: v.reshape(-1) for k, v in out.items()}

@@ -84,16 +84,14 @@ def _search(sketches: Sketches, schema: pa.Schema):
 
 
 def _blocks(items: DataFrame) -> Iterator[list[tuple[object, str]]]:
-    """Distinct (id, text) in blocks of bounded size, one at a time on the driver."""
-    block, size = [], 0
-    for key, text in items.where("text is not null").distinct().toLocalIterator():
-        block.append((key, text))
-        size += len(text) + 100
-        if size >= BLOCK_BYTES:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+    """Distinct (id, text) in blocks of about BLOCK_BYTES, dealt by their hash; one block at a time is on the driver."""
+    items = kept(items.where("text is not null").distinct())
+    size = items.agg(F.sum(F.octet_length("text") + F.lit(100)).cast("long")).first()[0] or 0
+    blocks = size // BLOCK_BYTES + 1
+    for n in range(blocks if size else 0):
+        found = items.where(F.pmod(F.xxhash64("key", "text"), F.lit(blocks)) == n).toArrow()
+        if found.num_rows:
+            yield list(zip(*(c.to_pylist() for c in found.columns)))
 
 
 def contained_items(docs: DataFrame, items: DataFrame, share: float = 0.75, doc_id: str = "doc_id", item_id: str = "item_id",
@@ -111,7 +109,7 @@ def contained_items(docs: DataFrame, items: DataFrame, share: float = 0.75, doc_
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     schema = pa.schema([(n, arrow[k.simpleString()]) for n, k in kinds.items()] + [("n_shingles", pa.int64()), ("n_shared", pa.int64())])
     ddl = ", ".join(f"{n} {k.simpleString()}" for n, k in kinds.items()) + ", n_shingles long, n_shared long"
-    parts = [kept(in_arrow(source, _search(Sketches(block, share), schema), ddl)) for block in _blocks(pick(items, item_id=item_id, text=item_text))]
+    parts = [kept(in_arrow(source, _search(Sketches(block, share), schema), ddl)) for block in _blocks(pick(items, key=item_id, text=item_text))]
     found = reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], ddl)
     return found.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
 

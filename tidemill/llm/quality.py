@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.llm.bits import added_in_turns
 from tidemill.llm.calibration import Isotonic, binned
 from tidemill.llm.shared import fold, in_arrow, kept, pick, text_slices, utf8
 from tidemill.llm.words import runs, words
@@ -159,7 +160,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, l
     fourier = Fourier(*moments.reshape(2, -1))
     taught = pick(labels, doc_id=doc_id, y=label).where("doc_id is not null and y is not null").groupBy("doc_id").agg(F.avg("y").alias("y"))
     train = kept(measured.join(taught, "doc_id").withColumn("fold", fold(F.col("doc_id")).cast("long")).where("fold <> 2").select("fold", "x", "y"))
-    sums = in_arrow(train, _sums(fourier), "fold long, row long, v array<double>").groupBy("fold", "row").applyInArrow(_added, "fold long, row long, v array<double>")
+    rows = "fold long, row long, v array<double>"
+    sums = added_in_turns(in_arrow(train, _sums(fourier), rows), ["fold", "row"], _added, rows)
     by_fold: dict[int, list] = {}
     for r in sums.orderBy("fold", "row").collect():  # folds x features rows, whatever the data's size
         by_fold.setdefault(r["fold"], []).append(r["v"])

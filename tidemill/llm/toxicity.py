@@ -122,22 +122,27 @@ def decay(scores: np.ndarray, counts: np.ndarray) -> float:
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (begin, end, score) in linear time, by the method of Ruzzo and Tompa.
 
-    Only the words with a positive score are visited; the cost of those between comes from running sums.
+    Only the words with a positive score are visited; the cost of those between comes from running sums. Each segment keeps a
+    link to the last one before it with a smaller sum before it; a search that follows links passes every segment once.
     """
     total = np.cumsum(scores, dtype=float)
-    found: list[list] = []  # begin, end, sum before it, sum at its end
-    for i in np.flatnonzero(scores > 0).tolist():
-        new = [i, i + 1, total[i] - float(scores[i]), total[i]]
+    at = np.flatnonzero(scores > 0)
+    begins, ends, lefts, rights, links = [], [], [], [], []
+    for i, left, right in zip(at.tolist(), (total[at] - scores[at]).tolist(), total[at].tolist()):
+        begin, j = i, len(begins) - 1
         while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or found[j][3] >= new[3]:
-                found.append(new)
+            while j >= 0 and lefts[j] >= left:
+                j = links[j]
+            if j < 0 or rights[j] >= right:
                 break
-            new = [found[j][0], new[1], found[j][2], new[3]]
-            del found[j:]
-    return [(b, e, float(r - l)) for b, e, l, r in found]
+            begin, left = begins[j], lefts[j]
+            before = links[j]
+            for column in (begins, ends, lefts, rights, links):
+                del column[j:]
+            j = before
+        for column, value in zip((begins, ends, lefts, rights, links), (begin, i + 1, left, right, j)):
+            column.append(value)
+    return [(b, e, r - l) for b, e, l, r in zip(begins, ends, lefts, rights)]
 
 
 _SEGMENTS = "array<struct<begin:int,end:int,score:double>>"
