@@ -213,7 +213,7 @@ def test_pipeline_stages_against_brute_force(spark):
 
 def test_registry():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= names and set(queries.ORACLES) <= set(entry.oracle_sql())
 
 
