@@ -202,7 +202,7 @@ def cdc_order_wide(i: Inputs):
 
 @query(_WIDE)
 def stream_cdc_order_wide(i: Inputs):
-    return jobs.order_wide_job(all_envelopes(i, live=True), scratch(i.spark, "order-wide"), buckets=8)
+    return jobs.order_wide_job(all_envelopes(i, live=True))
 
 
 _LIFE = """
@@ -234,7 +234,7 @@ def order_lifecycle_merge(i: Inputs):
 @query(_LIFE)
 def stream_order_lifecycle_merge(i: Inputs):
     """A running aggregate in update mode, upserted by key."""
-    return jobs.upsert_updates_job(lifecycle(i, live=True), ["order_detail_id"], scratch(i.spark, "lifecycle"), buckets=8)
+    return jobs.upsert_updates_job(lifecycle(i, live=True), ["order_detail_id"])
 
 
 _JOIN = f"""

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bindings.ctes import cte
 from bindings.inputs import Inputs
 from bindings.register import big, dbl, query
+from bindings.replay import batch_of, dealt, faulty_lines, faulty_sql
 from tidemill.functions import text
 from tidemill.functions.columns import money
 from tidemill.session import scratch
 from tidemill.sources import schemas, streams
-from tidemill.streaming import dedup, jobs, logs, users, windows
+from tidemill.streaming import dedup, jobs, logs, state, users, windows
 
 
 def stream_of(i: Inputs, name: str, by: str | None = None):
@@ -375,7 +377,7 @@ def province_stats(i: Inputs):
 
 @query(_PROVINCE)
 def stream_province_stats(i: Inputs):
-    return jobs.province_stats_job(enriched_orders(i, live=True), scratch(i.spark, "province-stats"), buckets=8)
+    return jobs.province_stats_job(enriched_orders(i, live=True))
 
 
 # alerts
@@ -449,7 +451,7 @@ def user_behaviour_stats(i: Inputs):
 
 @query(_BEH)
 def stream_user_behaviour_stats(i: Inputs):
-    return jobs.behaviour_stats_job(behaviour(i, live=True), scratch(i.spark, "behaviour-stats"), buckets=8)
+    return jobs.behaviour_stats_job(behaviour(i, live=True))
 
 
 _FUNNEL = """
@@ -485,6 +487,11 @@ def user_preference(i: Inputs):
     return users.user_preference(behaviour(i), "left", complete_only=True)
 
 
+@query(_preference("FULL"))
+def stream_user_preference(i: Inputs):
+    return jobs.preference_job(behaviour(i, live=True))
+
+
 @query(_preference("FULL"))
 def user_preference_full(i: Inputs):
     return users.user_preference(behaviour(i), "full")
@@ -524,7 +531,7 @@ def dedup_exact(i: Inputs):
 
 @query(_ONCE)
 def stream_dedup_exact(i: Inputs):
-    return streams.run_to_parquet(dedup.dedup_exact(doubled(i, live=True)).drop("event_time"), "dedup")
+    return streams.run_until_idle(state.exactly_once(doubled(i, live=True)), "dedup").drop("event_time")
 
 
 @query(_ONCE)
@@ -555,7 +562,7 @@ def dedup_newer_only(i: Inputs):
 
 @query(_NEWER)
 def stream_dedup_newer_only(i: Inputs):
-    return jobs.newer_only_job(arriving(i, live=True), ["user_id"], ["order_id"], scratch(i.spark, "newer-only"), buckets=8)
+    return jobs.newer_only_job(arriving(i, live=True), ["user_id"], ["order_id"])
 
 
 @query("""
@@ -569,6 +576,78 @@ def late_rows(i: Inputs):
     return dedup.late_rows(e, 5, "event_type", "at", "batch").drop("at")
 
 
+# late rows of a faulty source, to an output of their own, before the windows
+
+_FAULTY_EVENTS = faulty_sql("(SELECT event_id, event_type, user_id, k AS sku_id, cast(value as decimal(16,2)) AS amount, epoch_us(ts) // 1000 AS ms FROM x_ev)", "event_id", "ms")
+_SPLIT = f"""
+WITH e AS ({_FAULTY_EVENTS}),
+t AS (SELECT event_type, batch, max(max(ms)) OVER (PARTITION BY event_type ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM e GROUP BY event_type, batch),
+m AS (SELECT e.*, coalesce(ms < top - 5000, false) AS is_late FROM e JOIN t USING (event_type, batch))
+"""
+
+
+def split_events(i: Inputs):
+    e = events_of(i).select("event_id", "event_type", "user_id", F.col("k").alias("sku_id"), money("value").alias("amount"), "ms")
+    lines = faulty_lines(i, e, "event_id", "ms", "faulty-events")
+    rows = streams.parsed(lines, T.StructType.fromDDL("event_id bigint, event_type string, user_id bigint, sku_id bigint, amount decimal(16,2), ms bigint"))
+    return jobs.late_split_job(rows.withColumn("at", F.timestamp_millis("ms")), 5, "event_type", "at", scratch(i.spark, "late-rows"))
+
+
+@query(_SPLIT + "SELECT event_type, event_id, ms AS ts, is_late FROM m")
+def stream_late_rows(i: Inputs):
+    on_time, late = split_events(i)
+    rows = on_time.withColumn("is_late", F.lit(False)).unionByName(late.withColumn("is_late", F.lit(True)))
+    return rows.select("event_type", "event_id", F.col("ms").alias("ts"), "is_late")
+
+
+@query(_SPLIT + f"""SELECT {win(3600, 'ms')}, sku_id, count(*) AS order_ct, count(DISTINCT user_id) AS order_user_ct, count(*) AS sku_num, {dbl('sum(amount)', 'order_amount')}
+FROM m WHERE event_type = 'click' AND NOT is_late GROUP BY stt, edt, sku_id""")
+def stream_on_time_windows(i: Inputs):
+    on_time, _ = split_events(i)
+    orders = on_time.where(F.col("event_type") == "click").select(
+        "sku_id", "user_id", F.col("event_id").alias("order_id"), F.lit("order").alias("event_type"), F.col("amount").alias("order_amount"), F.col("ms").alias("ts"))
+    return windows.order_stats(windows.event_timed(orders), "1 hour")
+
+
+# alerts of a stream whose rules change
+
+RULE_SCHEMA = "id bigint, field_name string, operator string, threshold double, description string, status int"
+ALERT_SCHEMA = "rule_id bigint, alert_type string, message string, alert_time string"
+
+
+def rules_of(i: Inputs, version: int):
+    """The rules as of a version: some are added with 2, some thresholds double with 3, some are switched off with 4."""
+    n = F.col("id")
+    return rules(i).where((n % 5 != 3) | F.lit(version >= 2)).withColumns({
+        "threshold": F.when((n % 3 == 2) & F.lit(version >= 3), F.col("threshold") * 2).otherwise(F.col("threshold")),
+        "status": F.when((n % 7 == 1) & F.lit(version >= 4), 0).otherwise(F.col("status"))})
+
+
+@query(f"""
+WITH s AS (SELECT *, epoch(strptime(stt, '%Y-%m-%d %H:%M:%S'))::BIGINT AS sec FROM ({_trade()})),
+b AS (SELECT *, (sec - min(sec) OVER ()) * 5 // (max(sec) OVER () - min(sec) OVER () + 1) AS version FROM s),
+v AS (SELECT stt, edt, sku_id, version, order_amount, refund_amount, f, CASE f WHEN 'order_amount' THEN order_amount WHEN 'refund_amount' THEN refund_amount
+        WHEN 'refund_rate' THEN CASE WHEN order_amount > 0 THEN refund_amount / order_amount END WHEN 'order_ct' THEN order_ct WHEN 'order_user_ct' THEN order_user_ct
+        WHEN 'refund_user_ct' THEN refund_user_ct ELSE sku_num END AS val
+      FROM b, (VALUES ('order_amount'), ('refund_amount'), ('refund_rate'), ('order_ct'), ('order_user_ct'), ('refund_user_ct'), ('sku_num')) t(f)),
+p AS (SELECT DISTINCT cast(p_size as bigint) AS id FROM part WHERE p_size % 4 <> 0),
+r AS (SELECT id, version, id * 0.5 * CASE WHEN id % 3 = 2 AND version >= 3 THEN 2 ELSE 1 END AS threshold, id % 5 AS op,
+        ['order_amount', 'refund_amount', 'refund_rate', 'order_ct', 'order_user_ct', 'refund_user_ct', 'sku_num'][id % 7 + 1] AS f
+      FROM p, range(5) x(version) WHERE (id % 5 <> 3 OR version >= 2) AND NOT (id % 7 = 1 AND version >= 4))
+SELECT id AS rule_id, 'rule ' || id AS alert_type, edt AS alert_time,
+       'ALERT SKU: ' || sku_id || ' | order_amount: ' || printf('%.2f', order_amount) || ' | refund_amount: ' || printf('%.2f', coalesce(refund_amount, 0.0)) AS message
+FROM v JOIN r USING (f, version) WHERE val IS NOT NULL AND CASE op WHEN 0 THEN val > threshold WHEN 1 THEN val >= threshold WHEN 2 THEN val < threshold WHEN 3 THEN val <= threshold ELSE val = threshold END
+""")
+def stream_metric_alerts(i: Inputs):
+    stats = windows.trade_window_stats(details(i), "1 day")
+    timed_stats = stats.withColumn("_sec", F.unix_timestamp("stt"))
+    first, last = timed_stats.agg(F.min("_sec"), F.max("_sec")).first()
+    folder = dealt(i, timed_stats.withColumn("_batch", batch_of("_sec", first or 0, last or 0)).drop("_sec"), "window-stats")
+    source = i.spark.readStream.schema(stats.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    book = jobs.RuleBook(i.spark, scratch(i.spark, "rule-book"), RULE_SCHEMA)
+    return jobs.alert_job(source, book, windows.metric_alerts, scratch(i.spark, "alerts"), ALERT_SCHEMA, before=lambda n: book.publish(rules_of(i, n), n))
+
+
 # messages, words, pages
 
 @query("""

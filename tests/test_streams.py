@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemill.session import scratch
 from tidemill.sources import schemas, streams
 from tidemill.sources.keyed import KeyedTable
-from tidemill.streaming import cdc, dedup, jobs, logs, users, windows
+from tidemill.streaming import cdc, dedup, jobs, logs, state, users, windows
 
 START = 1704067200000  # 2024-01-01 in ms
 
@@ -95,7 +95,7 @@ def test_wide_orders_stream_equals_batch(spark, tmp_path, as_rows):
     rows.append(rows[0])
     folder = feed(tmp_path, [rows[:7], rows[7:20], rows[20:21], rows[21:]])
     want = cdc.cdc_order_wide(streams.parsed(batch(spark, folder), schemas.ENVELOPE))
-    got = jobs.order_wide_job(streams.parsed(live(spark, folder), schemas.ENVELOPE), scratch(spark, "t"), buckets=2)
+    got = jobs.order_wide_job(streams.parsed(live(spark, folder), schemas.ENVELOPE))
     columns = sorted(want.columns)
     assert as_rows(got, *columns) == as_rows(want, *columns)
     kinds = {r["order_id"]: r["event_type"] for r in want.collect()}
@@ -154,12 +154,14 @@ def test_late_rows_go_to_their_own_output(spark, tmp_path, as_rows):
     folder = feed(tmp_path, files)
     schema = "kind string, at timestamp"
     source = live(spark, folder).select(F.from_json("value", schema).alias("r")).select("r.*")
-    got = jobs.late_split_job(source, 5, "kind", "at", scratch(spark, "late"))
+    timely = []
+    on_time, late = jobs.late_split_job(source, 5, "kind", "at", scratch(spark, "late"), on_time=lambda rows, n: timely.append((n, rows.count())))
+    got = on_time.withColumn("is_late", F.lit(False)).unionByName(late.withColumn("is_late", F.lit(True)))
     n = F.regexp_extract(F.input_file_name(), r"(\d+)\.txt", 1).cast("int").alias("batch")
     whole = batch(spark, folder).select(n, F.from_json("value", schema).alias("r")).select("batch", "r.*")
     want = dedup.late_rows(whole, 5, "kind", "at", "batch")
-    assert as_rows(got, "batch", "kind", "at", "is_late") == as_rows(want, "batch", "kind", "at", "is_late")
-    assert got.where("is_late").count() == 2
+    assert as_rows(got, "kind", "at", "is_late") == as_rows(want, "kind", "at", "is_late")
+    assert late.count() == 2 and timely == [(0, 2), (1, 3), (2, 2), (3, 1)]
 
 
 def test_newer_only_stream_equals_batch(spark, tmp_path, as_rows):
@@ -167,7 +169,7 @@ def test_newer_only_stream_equals_batch(spark, tmp_path, as_rows):
     rows = [{"id": rng.randrange(4), "seq": n, "ts_ms": rng.randrange(200)} for n in range(80)]
     folder = feed(tmp_path, [rows[:30], rows[30:31], rows[31:60], rows[60:]])
     schema = "id int, seq int, ts_ms bigint"
-    got = jobs.newer_only_job(live(spark, folder).select(F.from_json("value", schema).alias("r")).select("r.*"), ["id"], ["seq"], scratch(spark, "newer"), buckets=2)
+    got = jobs.newer_only_job(live(spark, folder).select(F.from_json("value", schema).alias("r")).select("r.*"), ["id"], ["seq"])
     whole = batch(spark, folder).select(F.from_json("value", schema).alias("r")).select("r.*")
     assert as_rows(got) == as_rows(dedup.dedup_newer_only(whole, ["id"], ["seq"]))
 
@@ -180,7 +182,7 @@ def test_running_statistics(spark, tmp_path, as_rows):
     schema = "user_id bigint, session_id string, behavior_type string, behavior_time bigint"
     def parse(df):
         return df.select(F.from_json("value", schema).alias("r")).select("r.*")
-    got = jobs.behaviour_stats_job(parse(live(spark, folder)), scratch(spark, "stats"), buckets=2)
+    got = jobs.behaviour_stats_job(parse(live(spark, folder)))
     assert as_rows(got) == as_rows(users.user_behaviour_stats(parse(batch(spark, folder))))
 
 
@@ -199,22 +201,89 @@ def test_keyed_table_repeats_a_batch_without_change(spark, as_rows):
     assert as_rows(table.compact(scratch(spark, "packed"), 2).read()) == want
 
 
-def test_alert_rules_are_read_for_every_batch(spark, tmp_path, as_rows):
-    files = [[{"stt": "a", "edt": "b", "sku_id": 1, "order_amount": 10.0, "refund_amount": 4.0, "order_ct": 2}], [{"stt": "c", "edt": "d", "sku_id": 2, "order_amount": 10.0, "refund_amount": 4.0, "order_ct": 2}]]
+def test_a_forgotten_key_is_taken_again(spark, tmp_path):
+    """The newest time is forgotten after two seconds: what is too old before is new afterwards, in the same query's state."""
+    schema = "id int, seq int, ts_ms bigint"
+    folder, out, checkpoint = feed(tmp_path, [[{"id": 1, "seq": 1, "ts_ms": 50}, {"id": 2, "seq": 2, "ts_ms": 50}]]), scratch(spark, "out"), scratch(spark, "cp")
+
+    def run(keep):
+        source = live(spark, folder).select(F.from_json("value", schema).alias("r")).select("r.*")
+        return sorted(tuple(r) for r in streams.run_until_idle(state.newer_only(source, ["id"], ["seq"], keep=keep), "ttl", checkpoint=checkpoint, out=out).collect())
+
+    def add(n, *rows):
+        (tmp_path / "in" / f"more{n}.txt").write_text("".join(json.dumps(r) + "\n" for r in rows))
+
+    assert run("6 seconds") == [(1, 1, 50), (2, 2, 50)]
+    add(1, {"id": 1, "seq": 3, "ts_ms": 40}, {"id": 2, "seq": 4, "ts_ms": 60})
+    assert run("6 seconds") == [(1, 1, 50), (2, 2, 50), (2, 4, 60)]
+    time.sleep(7)
+    add(2, {"id": 1, "seq": 5, "ts_ms": 30}, {"id": 1, "seq": 6, "ts_ms": 20})
+    assert run("6 seconds") == [(1, 1, 50), (1, 5, 30), (2, 2, 50), (2, 4, 60)]
+
+
+def test_exact_copies_pass_once_while_remembered(spark, tmp_path, as_rows):
+    schema = "id int, v string"
+    folder = feed(tmp_path, [[{"id": 1, "v": "a"}, {"id": 1, "v": "a"}, {"id": 1, "v": "b"}], [{"id": 1, "v": "a"}, {"id": None, "v": None}], [{"id": None, "v": None}, {"id": 2, "v": "a"}]])
+    source = live(spark, folder).select(F.from_json("value", schema).alias("r")).select("r.*")
+    got = streams.run_until_idle(state.exactly_once(source), "exact")
+    assert as_rows(got) == sorted([(1, "a"), (1, "b"), (None, None), (2, "a")], key=repr)
+
+
+def test_wide_order_state_does_not_grow_the_batches(spark, tmp_path):
+    """Twenty batches of one order each: every batch updates and emits its own order's rows only."""
+    files = [[change("order_info", "c", n, id=n, user_id=n), change("order_detail", "c", n, id=f"d{n}", order_id=n, sku_id=1), change("order_detail_coupon", "c", n, order_detail_id=f"d{n}", coupon_id=n)]
+             for n in range(20)]
+    files[19].append(change("payment_info", "c", 60, id="p", order_id=7, total_amount=5))
+    changes = state.order_wide_changes(streams.parsed(live(spark, feed(tmp_path, files)), schemas.ENVELOPE))
+    checkpoint, out = scratch(spark, "wide-cp"), scratch(spark, "wide")
+    query = changes.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", out).trigger(availableNow=True).start()
+    query.awaitTermination()
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    assert len(progress) == 20
+    updated = [sum(o["numRowsUpdated"] for o in p["stateOperators"]) for p in progress]
+    assert max(updated[:19]) == min(updated[:19]) and updated[19] > updated[18]
+    log = spark.read.parquet(out)
+    assert log.count() == 21 and state.current(log, ["order_detail_id"]).where("event_type = 'payment'").select("order_id", "coupon_id").collect() == [("7", "7")]
+
+
+def test_preferences_are_withdrawn_and_sent_anew(spark, tmp_path, as_rows):
+    rng = random.Random(12)
+    rows = [{"user_id": rng.choice([1, 2, 3, None]), "behavior_type": rng.choice(["view", "cart", "pay", "search"]), "brand_id": rng.choice(["a", "b", "c", None]),
+             "category3_id": rng.choice(["x", "y"]), "platform": rng.choice(["p", "q", None])} for _ in range(300)]
+    folder = feed(tmp_path, [rows[:20], rows[20:21], rows[21:150], rows[150:]])
+    schema = "user_id bigint, behavior_type string, brand_id string, category3_id string, platform string"
+    def parse(df):
+        return df.select(F.from_json("value", schema).alias("r")).select("r.*")
+    log = streams.run_to_parquet(state.preference_changes(parse(live(spark, folder))), "preference")
+    want = users.user_preference(parse(batch(spark, folder)), "full")
+    assert as_rows(state.standing(log), *sorted(want.columns)) == as_rows(want, *sorted(want.columns))
+    assert log.where("change = -1").count() > 0 and {r[0] for r in log.groupBy("user_id").agg(F.sum("change")).select("sum(change)").collect()} == {1}
+
+
+RULES = "id bigint, field_name string, operator string, threshold double, description string, status int"
+ALERTS = "rule_id bigint, alert_type string, message string, alert_time string"
+
+
+def test_rules_change_between_batches(spark, tmp_path, as_rows):
+    """A rule is switched on before the second batch, one added before the third, one changed before the fourth."""
+    files = [[{"stt": "a", "edt": f"t{n}", "sku_id": n, "order_amount": 10.0, "refund_amount": 4.0, "order_ct": 2}] for n in range(4)]
     schema = "stt string, edt string, sku_id int, order_amount double, refund_amount double, order_ct bigint, sku_num bigint, order_user_ct bigint, refund_user_ct bigint"
     source = live(spark, feed(tmp_path, files)).select(F.from_json("value", schema).alias("r")).select("r.*")
-    calls = []
+    book = jobs.RuleBook(spark, scratch(spark, "book"), RULES)
+    versions = [[(1, "refund_rate", ">", 0.3, "high", 1), (3, "order_ct", "<", 9.0, "off", 0)]]
+    versions.append([versions[0][0], (3, "order_ct", "==", 2.0, "on", 1)])
+    versions.append([*versions[1], (2, "refund_rate", ">=", 0.4, "high too", 1)])
+    versions.append([(1, "refund_rate", ">", 0.9, "high", 1), *versions[2][1:]])
+    got = jobs.alert_job(source, book, windows.metric_alerts, scratch(spark, "alerts"), ALERTS, before=lambda n: book.publish(spark.createDataFrame(versions[n], RULES), n))
+    assert as_rows(got, "rule_id", "alert_time") == [(1, "t0"), (1, "t1"), (1, "t2"), (2, "t2"), (2, "t3"), (3, "t1"), (3, "t2"), (3, "t3")]
+    # a batch run again uses the rules it had, whatever has been published since
+    assert as_rows(book.at_batch(0), "id", "status") == [(1, 1), (3, 0)] and book.at_batch(1).count() == 2
+    book.publish(spark.createDataFrame([], RULES), 0)
+    assert book.at_batch(0).count() == 2 and book.at_batch(9).count() == 3
 
-    def rules():
-        calls.append(1)
-        data = [(1, "refund_rate", ">", 0.3, "high", 1), (2, "refund_rate", ">=", 0.4, "high too", 1), (3, "order_ct", "<", 9.0, "off", 0)]
-        if len(calls) > 1:
-            data[2] = (3, "order_ct", "==", 2.0, "on", 1)
-        return spark.createDataFrame(data, "id int, field_name string, operator string, threshold double, description string, status int")
 
-    got = jobs.alert_job(source, rules, windows.metric_alerts, scratch(spark, "alerts"))
-    assert as_rows(got, "rule_id", "alert_time") == [(1, "b"), (1, "d"), (2, "b"), (2, "d"), (3, "d")]
-    assert got.first()["message"].startswith("ALERT SKU: ") and "refund_amount: 4.00" in got.first()["message"]
+def test_no_rules_no_alerts(spark):
+    assert jobs.RuleBook(spark, scratch(spark, "book"), RULES).at_batch(0).count() == 0
 
 
 def test_lifecycle_keeps_newest_known_values(spark, as_rows):
@@ -281,7 +350,7 @@ def test_running_aggregate_is_upserted(spark, tmp_path, as_rows):
     schema = "order_detail_id string, order_id int, user_id int, sku_id int, order_amount double, pay_amount double, refund_amount double, ts bigint"
     def merged(df):
         return cdc.order_lifecycle_merge(df.select(F.from_json("value", schema).alias("r")).select("r.*"))
-    got = jobs.upsert_updates_job(merged(live(spark, folder)), ["order_detail_id"], scratch(spark, "life"), buckets=2)
+    got = jobs.upsert_updates_job(merged(live(spark, folder)), ["order_detail_id"])
     assert as_rows(got) == as_rows(merged(batch(spark, folder)))
 
 

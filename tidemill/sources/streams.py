@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,6 +80,32 @@ def run_to_parquet(stream: DataFrame, name: str, mode: str = "append") -> DataFr
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def run_until_idle(stream: DataFrame, name: str, mode: str = "append", linger: float = 0.0, checkpoint: str | None = None, out: str | None = None) -> DataFrame:
+    """Run a stream whose state knows processing time until its sources have nothing new, and return what it wrote.
+
+    Such a query always has one more batch to run, so it never ends under ``availableNow``. Here it runs under a processing-time
+    trigger and is stopped once its sources have stood still for ``linger`` seconds, time for its timers to fire. A later run with
+    the same ``checkpoint`` and ``out`` goes on from there.
+    """
+    spark = stream.sparkSession
+    out, checkpoint = out or scratch(spark, name), checkpoint or scratch(spark, f"{name}-checkpoint")
+    query = (stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint).option("path", out)
+             .trigger(processingTime="200 milliseconds").start())
+    still: float | None = None
+    try:
+        while not query.awaitTermination(0.2):
+            progress = query.lastProgress
+            if progress is None or any(s["startOffset"] != s["endOffset"] for s in progress["sources"]):
+                still = None
+            elif still is None:
+                still = time.monotonic()
+            if still is not None and time.monotonic() - still >= linger:
+                break
+    finally:
+        query.stop()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
 def run_each_batch(stream: DataFrame, name: str, step: Callable[[DataFrame, int], None], mode: str = "append") -> None:
     """Run ``step(batch, batch_id)`` over everything available now."""
     checkpoint = scratch(stream.sparkSession, f"{name}-checkpoint")

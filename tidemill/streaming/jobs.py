@@ -7,69 +7,40 @@ id, so a batch that is run again after a failure gives the same tables.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.session import scratch
 from tidemill.sources.keyed import BUCKETS, KeyedTable
-from tidemill.sources.schemas import ORDER_ROW
-from tidemill.sources.streams import run_each_batch
-from tidemill.streaming import cdc, dedup, logs, users
+from tidemill.sources.streams import run_each_batch, run_to_parquet, run_until_idle
+from tidemill.streaming import cdc, dedup, logs, state, users
 
 def _fields(spec: str) -> T.StructType:
     return T.StructType.fromDDL(spec)
 
 
-class Sums:
-    """Totals per key kept as one partial row per key and batch; the partial rows are merged on read."""
+def behaviour_stats_job(stream: DataFrame) -> DataFrame:
+    """Running user statistics: totals per session are a running aggregate, of which the changed sessions replace the old."""
+    return users.stats_of_sessions(upsert_updates_job(users.session_totals(stream), ["user_id", "session_id"]))
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str],
-                 merge: Callable[[DataFrame], DataFrame], buckets: int = BUCKETS):
-        parts = T.StructType([*schema.fields, T.StructField("part", T.LongType())])
-        self.table = KeyedTable(spark, path, parts, [*keys, "part"], ["part"], buckets, keys)
-        self.merge, self.columns = merge, schema.names
 
-    def add(self, parts: DataFrame, batch_id: int) -> None:
-        self.table.upsert(parts.select(*self.columns).withColumn("part", F.lit(batch_id).cast("bigint")), batch_id)
+def province_stats_job(stream: DataFrame) -> DataFrame:
+    """Running province statistics: totals per province and user are a running aggregate, of which the changed ones replace the old."""
+    return users.stats_of_province_users(upsert_updates_job(users.province_user_totals(stream), ["province", "user_id"]))
 
-    def read(self) -> DataFrame:
-        return self.merge(self.table.read().select(*self.columns))
 
-
-def behaviour_stats_job(stream: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
-    """Running user statistics from partial session totals."""
-    spark = stream.sparkSession
-    schema = _fields("user_id bigint, session_id string, pv bigint, click bigint, cart bigint, pay bigint, "
-                     "records bigint, first_ms bigint, last_ms bigint")
-    sums = Sums(spark, path, schema, ["user_id", "session_id"], users.merge_session_totals, buckets)
-    run_each_batch(stream, "behaviour-stats", lambda batch, n: sums.add(users.session_totals(batch), n))
-    return users.stats_of_sessions(sums.read())
-
-
-def province_stats_job(stream: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
-    spark = stream.sparkSession
-    schema = _fields("province string, user_id bigint, order_amount decimal(26,2), paid bigint, refund_amount decimal(26,2)")
-    sums = Sums(spark, path, schema, ["province", "user_id"], users.merge_province_user_totals, buckets)
-    run_each_batch(stream, "province-stats", lambda batch, n: sums.add(users.province_user_totals(batch), n))
-    return users.stats_of_province_users(sums.read())
-
-
-def upsert_updates_job(updates: DataFrame, keys: list[str], path: str, buckets: int = BUCKETS) -> DataFrame:
+def upsert_updates_job(updates: DataFrame, keys: list[str]) -> DataFrame:
     """A running aggregate in update mode -> one current row per key.
 
-    Update mode hands over the new value of every key a batch changed, so the newest batch wins.
+    The aggregate lives in the state store and hands over the new value of every key a batch changed. These rows are kept as a log,
+    a folder a batch, which a batch that is run again writes again; the last batch of a key wins.
     """
     spark = updates.sparkSession
-    schema = T.StructType([*updates.schema.fields, T.StructField("batch_no", T.LongType())])
-    table = KeyedTable(spark, path, schema, keys, ["batch_no"], buckets)
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch.withColumn("batch_no", F.lit(batch_id).cast("bigint")), batch_id)
-
-    run_each_batch(updates, "upsert-updates", step, mode="update")
-    return table.read().drop("batch_no")
+    path = scratch(spark, "updates")
+    run_each_batch(updates, "upsert-updates", lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/batch={n}"), mode="update")
+    return state.current(spark.read.schema(T.StructType([*updates.schema.fields, T.StructField("batch", T.LongType())])).parquet(path), keys, "batch")
 
 
 def dim_upsert_job(envelopes: DataFrame, rules: Callable[[], DataFrame], path: str, buckets: int = BUCKETS) -> KeyedTable:
@@ -91,55 +62,9 @@ def live_dims(table: KeyedTable, rules: DataFrame) -> DataFrame:
     return table.read().join(names, "sink_table", "left_semi")
 
 
-def order_wide_job(envelopes: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
-    """Wide order rows kept up to date: six keyed tables hold the newest rows, and only the orders a batch touches
-    are joined again."""
-    spark = envelopes.sparkSession
-    row = T.StructType([*ORDER_ROW.fields, T.StructField("ts_ms", T.LongType())])
-    by = {"order_detail": ["order_id"]}
-    state = {
-        t: KeyedTable(spark, f"{path}/{t}", row, keys, ["refund_create_time", "ts_ms"] if t == "order_refund_info" else ["ts_ms"],
-                      buckets, by.get(t, keys))
-        for t, keys in cdc.WIDE_TABLES.items()
-    }
-    wide_schema = _fields(
-        "order_detail_id string, order_id string, sku_id string, sku_name string, order_price string, sku_num string, "
-        "order_detail_create_time string, ts bigint, user_id string, province_id string, order_create_time string, "
-        "activity_id string, coupon_id string, payment_type string, payment_time string, pay_amount string, "
-        "refund_amount string, refund_reason_type string, refund_create_time string, event_type string, batch_no bigint")
-    wide = KeyedTable(spark, f"{path}/wide", wide_schema, ["order_detail_id"], ["batch_no"], buckets)
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        rows = cdc.order_rows(batch).persist()
-        for t, table in state.items():
-            table.upsert(rows.where(F.col("table") == t).select("after.*", "ts_ms"), batch_id)
-        order_id = F.when(F.col("table") == "order_info", F.col("after.id")).otherwise(F.col("after.order_id"))
-        orders = rows.select(order_id.alias("order_id")).where(F.col("order_id").isNotNull()).distinct()
-        loose = rows.where(F.col("after.order_id").isNull() & F.col("after.order_detail_id").isNotNull()).select(
-            F.col("after.order_detail_id").alias("id")).distinct()
-        if not loose.isEmpty():  # promotion or coupon rows that do not name their order
-            more = state["order_detail"].read().join(loose, "id", "left_semi").select("order_id")
-            orders = orders.unionByName(more).distinct()
-        orders = orders.persist()
-        details = state["order_detail"].read(orders).persist()
-        ids = details.select(F.col("id").alias("order_detail_id"))
-        near = {
-            "order_detail": details,
-            "order_info": state["order_info"].read(orders.select(F.col("order_id").alias("id"))),
-            "order_detail_activity": state["order_detail_activity"].read(ids),
-            "order_detail_coupon": state["order_detail_coupon"].read(ids),
-            "payment_info": state["payment_info"].read(orders),
-            "order_refund_info": state["order_refund_info"].read(orders),
-        }
-        fields = F.struct(*ORDER_ROW.names).alias("after")
-        tagged = [df.select(F.lit(t).alias("table"), fields, "ts_ms") for t, df in near.items()]
-        again = cdc.wide_of_rows(reduce(DataFrame.unionByName, tagged))
-        wide.upsert(again.withColumn("batch_no", F.lit(batch_id).cast("bigint")), batch_id)
-        for used in (rows, orders, details):
-            used.unpersist()
-
-    run_each_batch(envelopes, "order-wide", step)
-    return wide.read().drop("batch_no")
+def order_wide_job(envelopes: DataFrame) -> DataFrame:
+    """Wide order rows kept up to date in the state store; returned is the last row of each detail."""
+    return state.current(run_to_parquet(state.order_wide_changes(envelopes), "order-wide"), ["order_detail_id"])
 
 
 def fix_is_new_job(log: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
@@ -161,51 +86,94 @@ def fix_is_new_job(log: DataFrame, path: str, buckets: int = BUCKETS) -> DataFra
     return spark.read.schema(log.schema).parquet(out).select(*log.columns)
 
 
-def newer_only_job(stream: DataFrame, keys: list[str], arrival: list[str], path: str, ts: str = "ts_ms", buckets: int = BUCKETS) -> DataFrame:
-    """Records newer than everything before them of their key; the newest time per key is remembered between batches."""
-    spark = stream.sparkSession
-    schema = T.StructType([*[stream.schema[k] for k in keys], T.StructField("newest", T.LongType())])
-    tops = KeyedTable(spark, f"{path}/newest", schema, keys, ["newest"], buckets)
-    out = f"{path}/rows"
+def newer_only_job(stream: DataFrame, keys: list[str], arrival: list[str], ts: str = "ts_ms", keep: str = "1 day") -> DataFrame:
+    """Records newer than everything before them of their key, of which ``keep`` is remembered."""
+    return run_until_idle(state.newer_only(stream, keys, arrival, ts, keep), "newer-only")
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        earlier = tops.read(batch, before=batch_id)
-        candidates = batch.join(earlier, keys, "left").where(F.col("newest").isNull() | (F.col(ts) > F.col("newest"))).drop("newest")
-        dedup.dedup_newer_only(candidates, keys, arrival, ts).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        tops.upsert(batch.groupBy(*keys).agg(F.max(ts).alias("newest")), batch_id)
-        batch.unpersist()
 
-    run_each_batch(stream, "newer-only", step)
-    return spark.read.schema(stream.schema).parquet(out).select(*stream.columns)
+def preference_job(behaviour: DataFrame) -> DataFrame:
+    """The preferences that hold after all that is available now."""
+    return state.standing(run_to_parquet(state.preference_changes(behaviour), "preference"))
 
 
-def late_split_job(stream: DataFrame, seconds: int, kind: str, event_time: str, path: str) -> DataFrame:
-    """Rows marked late or not against the newest time of earlier batches, which is kept as one small row per kind."""
+def late_split_job(stream: DataFrame, seconds: int, kind: str, event_time: str, path: str,
+                   on_time: Callable[[DataFrame, int], None] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows on time, late rows): a row is late when its time lies more than ``seconds`` before the newest time that earlier
+    batches have seen of its kind. ``on_time`` gets each batch's rows on time, before any window does.
+
+    The newest times are one small table, a row a kind, written whole with every batch: a batch reads that of the batch before it,
+    so one that is run again marks the same rows.
+    """
     spark = stream.sparkSession
-    kind_type = stream.schema[kind].dataType
-    schema = T.StructType([T.StructField(kind, kind_type), T.StructField("newest", T.TimestampType())])
-    tops = KeyedTable(spark, f"{path}/tops", schema, [kind], ["newest"], buckets=1)
-    out = f"{path}/rows"
+    tops = T.StructType([T.StructField(kind, stream.schema[kind].dataType), T.StructField("newest", T.TimestampType())])
 
     def step(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        earlier = tops.read(before=batch_id)
-        marked = dedup.mark_late(batch.join(earlier, kind, "left"), seconds, event_time, "newest").drop("newest")
-        marked.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("is_late").parquet(f"{out}/batch={batch_id}")
-        tops.upsert(batch.groupBy(kind).agg(F.max(event_time).alias("newest")), batch_id)
-        batch.unpersist()
+        try:
+            if batch_id:
+                earlier = spark.read.schema(tops).parquet(f"{path}/newest/batch={batch_id - 1}")
+            else:
+                earlier = spark.createDataFrame([], tops)
+            met = batch.join(earlier.withColumnRenamed(kind, "_kind"), F.col(kind).eqNullSafe(F.col("_kind")), "left")
+            marked = dedup.mark_late(met, seconds, event_time, "newest").drop("newest", "_kind").persist()
+            try:
+                timely = marked.where(~F.col("is_late")).drop("is_late")
+                timely.write.mode("overwrite").parquet(f"{path}/on_time/batch={batch_id}")
+                marked.where("is_late").drop("is_late").write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
+                if on_time is not None:
+                    on_time(timely, batch_id)
+            finally:
+                marked.unpersist()
+            seen = earlier.unionByName(batch.groupBy(kind).agg(F.max(event_time).alias("newest")))
+            seen.groupBy(kind).agg(F.max("newest").alias("newest")).coalesce(1).write.mode("overwrite").parquet(f"{path}/newest/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     run_each_batch(stream, "late-split", step)
-    marked = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType()), T.StructField("is_late", T.BooleanType())])
-    return spark.read.schema(marked).parquet(out)
-
-
-def alert_job(stats: DataFrame, rules: Callable[[], DataFrame], alert: Callable[[DataFrame, DataFrame], DataFrame], path: str) -> DataFrame:
-    """Alerts per batch; rules are read again for every batch."""
+    return tuple(spark.read.schema(stream.schema).parquet(f"{path}/{part}/batch=*") for part in ("on_time", "late"))
+
+
+class RuleBook:
+    """Rules that change while a stream runs: every version is a folder of its own and stays, and each batch notes the version it
+    used, so that a batch run again uses the same rules whatever has been published since."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str):
+        self.spark, self.path, self.schema = spark, path, schema
+
+    def _numbers(self, folder: str) -> list[int]:
+        jvm = self.spark._jvm
+        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+        fs = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(at):
+            return []
+        done = [s.getPath() for s in fs.listStatus(at) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+        return sorted(int(p.getName().split("=")[1]) for p in done)
+
+    def publish(self, rules: DataFrame, version: int) -> None:
+        """The whole rule table as of ``version``; published again, it changes nothing."""
+        if version not in self._numbers("rules"):
+            rules.write.mode("overwrite").parquet(f"{self.path}/rules/version={version}")
+
+    def at_batch(self, batch_id: int) -> DataFrame:
+        """The newest version when the batch is first run, the same one ever after."""
+        note = f"{self.path}/used/batch={batch_id}"
+        if batch_id not in self._numbers("used"):
+            versions = self._numbers("rules")
+            self.spark.createDataFrame([(versions[-1] if versions else -1,)], "version long").coalesce(1).write.mode("overwrite").parquet(note)
+        version = self.spark.read.schema("version long").parquet(note).first()[0]
+        if version < 0:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/rules/version={version}")
+
+
+def alert_job(stats: DataFrame, book: RuleBook, alert: Callable[[DataFrame, DataFrame], DataFrame], path: str,
+              schema: str, before: Callable[[int], None] | None = None) -> DataFrame:
+    """Alerts of each batch under the rules that ``book`` holds when it is run; ``before`` is told the number of a batch first."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        alert(batch, rules()).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if before is not None:
+            before(batch_id)
+        alert(batch, book.at_batch(batch_id)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     run_each_batch(stats, "alerts", step)
-    return stats.sparkSession.read.parquet(path).drop("batch")
+    return stats.sparkSession.read.schema(schema).parquet(f"{path}/batch=*")
