@@ -12,7 +12,7 @@ from tidemill.functions.columns import money
 from tidemill.session import scratch
 from tidemill.sources import schemas, streams
 from tidemill.sources.schemas import struct
-from tidemill.streaming import cdc, enrich, jobs
+from tidemill.streaming import cdc, dedup, enrich, jobs
 
 
 def envelope(df, table: str, op, after, ts_ms, snapshot="false"):
@@ -283,6 +283,20 @@ def snapshot_completion(i: Inputs):
     return cdc.snapshot_completion(parsed_envelopes(order_envelopes(i)))
 
 
+@query("""
+SELECT 'order_info' AS "table", min(ms) AS completed_at, 'change' AS reason FROM e_order WHERE op <> 'r'
+UNION ALL SELECT DISTINCT 'base_supplier', cast(NULL as bigint), 'quiet' FROM supplier
+""")
+def stream_snapshot_completion(i: Inputs):
+    """Orders end their snapshot by a change; suppliers, which only have a snapshot, by three quiet seconds."""
+    supplier = stream_of(i, "supplier")
+    still = envelope(supplier, "base_supplier", "r", {"id": F.col("s_suppkey")}, F.lit(1000))
+    ended = dedup.snapshot_completion_stream(parsed_envelopes(order_envelopes(i, live=True).unionByName(still)), quiet_seconds=3)
+    done = streams.run_until_idle(ended, "snapshot-completion", linger=7)
+    # when a table has been quiet for long enough is a matter of the clock
+    return done.select("table", F.when(F.col("reason") == "change", F.col("completed_at")).alias("completed_at"), "reason")
+
+
 # enrichment
 
 def dims(i: Inputs):

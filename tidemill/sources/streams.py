@@ -91,11 +91,15 @@ def run_until_idle(stream: DataFrame, name: str, mode: str = "append", linger: f
     out, checkpoint = out or scratch(spark, name), checkpoint or scratch(spark, f"{name}-checkpoint")
     query = (stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint).option("path", out)
              .trigger(processingTime="200 milliseconds").start())
-    still: float | None = None
+    still, first = None, None
     try:
         while not query.awaitTermination(0.2):
             progress = query.lastProgress
-            if progress is None or any(s["startOffset"] != s["endOffset"] for s in progress["sources"]):
+            if progress is None:
+                continue
+            first = progress["batchId"] if first is None else first
+            # the first batch may be one that an earlier run had planned, before what is new
+            if progress["batchId"] == first or any(s["startOffset"] != s["endOffset"] for s in progress["sources"]):
                 still = None
             elif still is None:
                 still = time.monotonic()

@@ -98,7 +98,7 @@ class SnapshotWatch(StatefulProcessor):
 def snapshot_completion_stream(envelopes: DataFrame, quiet_seconds: int = 15) -> DataFrame:
     """Tables whose snapshot phase has ended: table, completed_at (ms), reason.
 
-    The quiet-time timer keeps the query alive, so run it with a processing-time trigger and not ``availableNow``.
+    The quiet-time timer keeps the query alive, so run it with ``streams.run_until_idle`` and a ``linger`` beyond the quiet time.
     Records are first reduced to one row per Arrow batch and table, so a large table does not pass whole through
     the task that holds its state.
     """
@@ -113,6 +113,9 @@ def snapshot_completion_stream(envelopes: DataFrame, quiet_seconds: int = 15) ->
         for piece in pieces:
             yield piece.groupby("table", as_index=False).agg({"snapshots": "sum", "first_change": "min"})
 
+    events_conf = marks.sparkSession.conf
+    if "RocksDB" not in events_conf.get("spark.sql.streaming.stateStore.providerClass", ""):
+        events_conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     slim = marks.mapInPandas(reduce, "table string, snapshots long, first_change double")
     return slim.groupBy("table").transformWithStateInPandas(
         SnapshotWatch(quiet_seconds * 1000), outputStructType="table string, completed_at long, reason string",
