@@ -17,6 +17,8 @@ from tidemill.llm.shared import kept, pick
 
 LOG_K = 12
 ERRORS = 5.0
+#: A boilerplate line is met in so many parts of the documents.
+SALTS = 32
 
 
 def _lines(text: Column) -> Column:
@@ -35,7 +37,8 @@ def boilerplate(lines: DataFrame, min_sites: int) -> DataFrame:
     low, high = math.floor(min_sites * (1 - error)), math.ceil(min_sites * (1 + error))
     spread = kept(lines.groupBy("hash").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_K))).alias("sites")).where(F.col("sites") >= low))
     near = spread.where(F.col("sites") <= high).select("hash")
-    exact = lines.join(near, "hash", "left_semi").distinct().groupBy("hash").agg(F.count("site").alias("sites")).where(F.col("sites") >= min_sites)
+    # sites are made distinct within each task first, and by (hash, site), so that a line that stands everywhere is split
+    exact = lines.distinct().join(near, "hash", "left_semi").groupBy("hash").agg(F.count("site").alias("sites")).where(F.col("sites") >= min_sites)
     return kept(spread.where(F.col("sites") > high).select("hash").union(exact.select("hash")))
 
 
@@ -52,7 +55,8 @@ def without_boilerplate(docs: DataFrame, min_sites: int = 8, site: str = "source
     lines = source.select("row", "site", F.explode(F.transform(_lines(F.col("text")), _hash)).alias("hash")).where("hash is not null")
     bad = boilerplate(lines.where("site is not null").select("hash", "site"), min_sites)
     # all boilerplate of a row; a set is at most the row's own lines
-    held = lines.select("row", "hash").join(bad, "hash", "left_semi").groupBy("row").agg(F.collect_set("hash").alias("bad"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    held = lines.select("row", "hash", F.pmod("row", F.lit(SALTS)).cast("int").alias("salt")).join(bad.select("hash", salts.alias("salt")), ["hash", "salt"], "left_semi").groupBy("row").agg(F.collect_set("hash").alias("bad"))
     joined = source.join(held, "row", "left")
     parts = _lines(F.col("text"))
     stays = F.filter(parts, lambda line: ~F.coalesce(F.array_contains("bad", _hash(line)), F.lit(False)))
