@@ -37,10 +37,28 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 _shipped: set[str] = set()
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _released(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``fn`` whose worker gives unused Arrow memory back when its partition is done; workers are reused and wait for more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
 
 def in_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``df.mapInArrow``; the modules of this subpackage are sent to the executors once per application."""
-    context = df.sparkSession.sparkContext
+    """``df.mapInArrow``; the modules of this subpackage are sent to the executors once per application.
+
+    Batches of texts are at most 8 MB, a single longer row aside, where the session sets no limit of its own: a batch stands
+    in the executor twice while it grows, and once more in the worker, for every task at work.
+    """
+    context, conf = df.sparkSession.sparkContext, df.sparkSession.conf
+    if BATCH_BYTES not in conf.getAll:
+        conf.set(BATCH_BYTES, "8m")
     if context.applicationId not in _shipped:
         here = Path(__file__).resolve().parent
         archive = Path(tempfile.mkdtemp(prefix="llm-")) / "tidemill_llm.zip"
@@ -49,7 +67,7 @@ def in_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa
                 z.write(file, file.relative_to(here.parent.parent))
         context.addPyFile(str(archive))
         _shipped.add(context.applicationId)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(_released(fn), schema)
 
 
 def kept(df: DataFrame) -> DataFrame:
