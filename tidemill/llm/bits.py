@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,16 +36,25 @@ PARTS = 64
 
 
 def packed(kind: int, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """A table of counts as rows (kind, part, counts); parts without counts are left out."""
+    """A table of counts as rows (kind, part, counts); parts without counts are left out. Most counts of a task are small or
+    none, so the rows are compressed for the shuffle."""
     for part, block in enumerate(counts.reshape(PARTS, -1)):
         if block.any():
-            yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int64()), pa.array([part], pa.int64()), pa.array([block.astype("<i8").tobytes()], pa.binary())],
+            yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int64()), pa.array([part], pa.int64()), pa.array([_pressed(block)], pa.binary())],
                                              ["kind", "part", "counts"])
 
 
+def _pressed(counts: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(counts.astype("<i8").tobytes())
+
+
+def _unpressed(counts: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(counts.as_buffer()), "<i8")
+
+
 def _added(rows: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(c.as_buffer(), "<i8") for c in rows.column("counts"))
-    return pa.table({"kind": rows.column("kind")[:1], "part": rows.column("part")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+    total = sum(_unpressed(c) for c in rows.column("counts"))
+    return pa.table({"kind": rows.column("kind")[:1], "part": rows.column("part")[:1], "counts": pa.array([_pressed(total)], pa.binary())})
 
 
 PACKED = "kind long, part long, counts binary"
@@ -65,5 +75,5 @@ def count_tables(rows: DataFrame, size: int) -> dict[int, np.ndarray]:
     out: dict[int, np.ndarray] = {}
     for batch in added_in_turns(rows, ["kind", "part"], _added, PACKED).toArrow().to_batches():
         for kind, part, counts in zip(batch.column("kind").to_pylist(), batch.column("part").to_pylist(), batch.column("counts")):
-            out.setdefault(kind, np.zeros((PARTS, size // PARTS), np.int64))[part] = np.frombuffer(counts.as_buffer(), "<i8")
+            out.setdefault(kind, np.zeros((PARTS, size // PARTS), np.int64))[part] = _unpressed(counts)
     return {k: v.reshape(-1) for k, v in out.items()}
