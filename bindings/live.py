@@ -9,7 +9,7 @@ from bindings.ctes import cte
 from bindings.inputs import Inputs
 from bindings.register import big, dbl, query
 from bindings.replay import batch_of, dealt, faulty_lines, faulty_sql
-from tidemill.functions import text
+from tidemill.functions import items, text
 from tidemill.functions.columns import money
 from tidemill.session import scratch
 from tidemill.sources import schemas, streams
@@ -680,3 +680,17 @@ SELECT page_id, url, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>',
 def extract_page_fields(i: Inputs):
     wide = text.extract_page_fields(i.table("pages"))
     return wide.withColumns({"links": F.array_join("links", "|"), "paragraphs": F.size("paragraphs")})
+
+
+@query("""
+WITH bare AS (SELECT page_id, url, regexp_replace(html, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g') AS html FROM pages),
+     items AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>', 1)) AS item, generate_subscripts(regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>', 1), 1) AS item_no FROM bare)
+SELECT page_id, url, cast(item_no AS bigint) AS item_no, CASE WHEN item NOT LIKE '%href="/t%' THEN split_part(split_part(item, 'href="', 2), '"', 1) END AS href,
+       CASE WHEN item LIKE '%href="/t%' THEN split_part(split_part(item, 'href="', 2), '"', 1) END AS old_name,
+       trim(regexp_replace(regexp_replace(item, '<[^>]*>', '', 'g'), '\\s+', ' ', 'g')) AS label FROM items
+""")
+def extract_page_items(i: Inputs):
+    """A third of the pages with single quotes; links to /t... hold a name in place of an href."""
+    html = F.regexp_replace("html", 'href="/t', 'name="/t')
+    pages = i.table("pages").withColumn("html", F.when(F.col("page_id") % 3 == 1, F.translate(html, '"', "'")).otherwise(html))
+    return items.extract_page_items(pages, "li", {"href": items.attribute("a", "href"), "old_name": items.attribute("a", "name"), "label": items.element("a")})
