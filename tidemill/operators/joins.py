@@ -29,10 +29,25 @@ def lookup(
     return df.join(slim, on, "left").drop("_lookup_key")
 
 
-def lookup_text(df: DataFrame, dim: DataFrame, key: str, dim_key: str, columns: Sequence[str], prefix: str) -> DataFrame:
-    """``lookup`` with a text key: blank keys match nothing."""
-    clean = F.when(F.trim(F.col(key)) != "", F.col(key))
-    return lookup(df, dim, clean, dim_key, columns, prefix)
+BLANK_LANES = 4096
+
+
+def lookup_text(df: DataFrame, dim: DataFrame, key: str | Column, dim_key: str, columns: Sequence[str], prefix: str) -> DataFrame:
+    """``lookup`` with a text key: blank keys match nothing.
+
+    Where the join shuffles, rows with a blank key are spread over the tasks by the texts they hold, in place of meeting in the
+    one task of the NULL key; that they match nothing is a condition of its own, so no key of the dimension can be taken for
+    theirs. This holds on streams too, where no plan is changed at run time.
+    """
+    c = F.col(key) if isinstance(key, str) else key
+    clean = F.when(F.trim(c) != "", c)
+    if dim.schema[dim_key].dataType.typeName() != "string":
+        return lookup(df, dim, clean, dim_key, columns, prefix)
+    texts = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() == "string"]
+    lane = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64(*texts), F.lit(BLANK_LANES)).cast("string")) if texts else F.lit("\u0001")
+    slim = dim.select(F.col(dim_key).alias("_lookup_key"), *[F.col(c).alias(f"{prefix}{c}") for c in columns])
+    on = (F.coalesce(clean, lane) == slim["_lookup_key"]) & clean.isNotNull()
+    return df.join(slim, on, "left").drop("_lookup_key")
 
 
 def full_join(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

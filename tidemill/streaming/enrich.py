@@ -32,7 +32,7 @@ def enrich_behaviour(behaviour: DataFrame, dims: Mapping[str, tuple[DataFrame, s
 
 def _dim_fields(df: DataFrame, dim: DataFrame, key: Column, dim_key: str) -> DataFrame:
     """Add ``dim_<column>`` fields; where an earlier dimension gave the same field, the later one wins if it has a value."""
-    joined = lookup(df, dim, F.when(F.trim(key) != "", key), dim_key, dim.columns, "_new_")
+    joined = lookup_text(df, dim, key, dim_key, dim.columns, "_new_")
     fields = {}
     for c in dim.columns:
         new = F.col(f"_new_{c}")
