@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import Day, count_where, day, mean
-from tidemill.operators.joins import full_join, lookup, region_chain
+from tidemill.operators.joins import lookup, region_chain
 from tidemill.operators.recent import recent_days
 
 PLACE = ["org_id", "org_name", "city_id", "city_name", "province_id", "province_name"]
@@ -189,6 +190,21 @@ def _sums(df: DataFrame, keys: Sequence[str], measures: dict[str, str]) -> DataF
     return df.groupBy("recent_days", *keys).agg(*[F.sum(m).alias(name) for name, m in measures.items()])
 
 
+def _side_by_side(keys: Sequence[str], *sides: tuple[DataFrame, dict[str, str]]) -> DataFrame:
+    """Sums of several tables by window and key, next to each other, as a full join would give them: all rows are stacked with
+    the side they come from and added up in one aggregation. ``sides`` holds one bit for each table that has the key. Rows with
+    a NULL in their key meet only those of their own table."""
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True))
+    stacked = [
+        df.select("recent_days", *keys, *[F.col(m).alias(name) for name, m in measures.items()], F.lit(1 << n).alias("_side"),
+                  F.when(~known, F.lit(n)).alias("_apart"))
+        for n, (df, measures) in enumerate(sides)
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
+    names = [name for _, measures in sides for name in measures]
+    return rows.groupBy("recent_days", *keys, "_apart").agg(F.bit_or("_side").alias("sides"), *[F.sum(name).alias(name) for name in names])
+
+
 _ORDER = {"order_count": "order_count", "order_amount": "order_amount"}
 _TRIP = {m: m for m in TRIP_SUMS}
 
@@ -209,23 +225,20 @@ def city_stats(
     org: DataFrame, region: DataFrame, as_of: Day,
 ) -> DataFrame:
     """Orders next to trips per city."""
-    orders = _sums(_all_windows(cargo_1d, cargo_nd, as_of, [*CITY, "order_count", "order_amount"]), CITY, _ORDER)
     cities = _level_places(org, region).select("org_id", *CITY)
     day_trips = truck_1d.join(cities, "org_id", "left")
-    trips = _sums(_all_windows(day_trips, shift_nd, as_of, [*CITY, *TRIP_SUMS]), CITY, _TRIP)
-    both = full_join([orders, trips], ["recent_days", *CITY])
+    both = _side_by_side(
+        CITY, (_all_windows(cargo_1d, cargo_nd, as_of, [*CITY, *_ORDER]), _ORDER),
+        (_all_windows(day_trips, shift_nd, as_of, [*CITY, *TRIP_SUMS]), _TRIP))
     return _dated(both, as_of, *CITY, "order_count", "order_amount", *TRIP_SUMS, *_trip_means())
 
 
 def org_stats(cargo_1d: DataFrame, cargo_nd: DataFrame, truck_1d: DataFrame, shift_nd: DataFrame, as_of: Day) -> DataFrame:
     """Orders next to trips per organisation. The N-day rows need both sides, the last day only one."""
-    columns = [*ORG, "order_count", "order_amount"]
-    day_orders = _sums(_one_day(cargo_1d, as_of), ORG, _ORDER)
-    day_trips = _sums(_one_day(truck_1d, as_of), ORG, _TRIP)
-    keys = ["recent_days", *ORG]
-    last_day = day_orders.join(day_trips, keys, "full")
-    longer = _sums(cargo_nd, ORG, _ORDER).join(_sums(shift_nd, ORG, _TRIP), keys)
-    return _dated(last_day.unionByName(longer), as_of, *columns, *TRIP_SUMS, *_trip_means())
+    both = _side_by_side(
+        ORG, (_all_windows(cargo_1d, cargo_nd, as_of, [*ORG, *_ORDER]), _ORDER),
+        (_all_windows(truck_1d, shift_nd, as_of, [*ORG, *TRIP_SUMS]), _TRIP))
+    return _dated(both.where("recent_days = 1 or sides = 3"), as_of, *ORG, *_ORDER, *TRIP_SUMS, *_trip_means())
 
 
 def driver_stats(shift_nd: DataFrame, as_of: Day) -> DataFrame:
@@ -256,13 +269,10 @@ def _express(
     keys: Sequence[str], as_of: Day,
 ) -> DataFrame:
     """Delivered, sorted and collected side by side; each argument is a (last day, N-day) pair."""
-    delivered = _sums(_all_windows(*deliver, as_of, [*keys, "order_count"]), keys, {"deliver_suc_count": "order_count"})
-    sorted_ = _sums(_all_windows(*sort, as_of, [*keys, "sort_count"]), keys, {"sort_count": "sort_count"})
-    received = _sums(
-        _all_windows(*receive, as_of, [*keys, "order_count", "order_amount"]), keys,
-        {"receive_order_count": "order_count", "receive_order_amount": "order_amount"},
-    )
-    both = full_join([delivered, sorted_, received], ["recent_days", *keys])
+    both = _side_by_side(
+        keys, (_all_windows(*deliver, as_of, [*keys, "order_count"]), {"deliver_suc_count": "order_count"}),
+        (_all_windows(*sort, as_of, [*keys, "sort_count"]), {"sort_count": "sort_count"}),
+        (_all_windows(*receive, as_of, [*keys, *_ORDER]), {f"receive_{m}": m for m in _ORDER}))
     return _dated(both, as_of, *keys, "receive_order_count", "receive_order_amount", "deliver_suc_count", "sort_count")
 
 
@@ -279,9 +289,10 @@ def express_province_stats(deliver, sort, receive, as_of: Day) -> DataFrame:
 
 
 def express_stats(deliver: tuple[DataFrame, DataFrame], sort: tuple[DataFrame, DataFrame], as_of: Day) -> DataFrame:
-    delivered = _sums(_all_windows(*deliver, as_of, ["order_count"]), [], {"deliver_suc_count": "order_count"})
-    sorted_ = _sums(_all_windows(*sort, as_of, ["sort_count"]), [], {"sort_count": "sort_count"})
-    return _dated(full_join([delivered, sorted_], ["recent_days"]), as_of, "deliver_suc_count", "sort_count")
+    both = _side_by_side(
+        [], (_all_windows(*deliver, as_of, ["order_count"]), {"deliver_suc_count": "order_count"}),
+        (_all_windows(*sort, as_of, ["sort_count"]), {"sort_count": "sort_count"}))
+    return _dated(both, as_of, "deliver_suc_count", "sort_count")
 
 
 def line_stats(shift_nd: DataFrame, as_of: Day) -> DataFrame:
@@ -307,9 +318,9 @@ def trans_order_stats(
     receive: tuple[DataFrame, DataFrame], dispatch: tuple[DataFrame, DataFrame], as_of: Day
 ) -> DataFrame:
     names = ["order_count", "order_amount"]
-    received = _sums(_all_windows(*receive, as_of, names), [], {f"receive_{m}": m for m in names})
-    sent = _sums(_all_windows(*dispatch, as_of, names), [], {f"dispatch_{m}": m for m in names})
-    both = full_join([received, sent], ["recent_days"])
+    both = _side_by_side(
+        [], (_all_windows(*receive, as_of, names), {f"receive_{m}": m for m in names}),
+        (_all_windows(*dispatch, as_of, names), {f"dispatch_{m}": m for m in names}))
     return _dated(both, as_of, *[f"receive_{m}" for m in names], *[f"dispatch_{m}" for m in names])
 
 
