@@ -75,12 +75,14 @@ def fix_is_new_job(log: DataFrame, path: str, buckets: int = BUCKETS) -> DataFra
 
     def step(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        firsts = logs.first_visits(batch).select("mid", "first_day")
-        before = known.read(firsts, before=batch_id).select("mid", "first_day")
-        logs.fix_is_new(batch, before).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        fresh = firsts.join(before, "mid", "left_anti")
-        known.upsert(fresh.withColumn("rank", F.lit(-batch_id).cast("bigint")), batch_id)
-        batch.unpersist()
+        try:
+            firsts = logs.first_visits(batch).select("mid", "first_day")
+            before = known.read(firsts, before=batch_id).select("mid", "first_day")
+            logs.fix_is_new(batch, before).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+            fresh = firsts.join(before, "mid", "left_anti")
+            known.upsert(fresh.withColumn("rank", F.lit(-batch_id).cast("bigint")), batch_id)
+        finally:
+            batch.unpersist()
 
     run_each_batch(log, "fix-is-new", step)
     return spark.read.schema(log.schema).parquet(out).select(*log.columns)
