@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from bindings.inputs import Inputs
@@ -122,3 +124,12 @@ def topic_preview(i: Inputs):
 def sink_without_marked_fields(i: Inputs):
     n = i.table("nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("internal"))
     return streams.without_fields(n, ["internal"])
+
+
+@query("SELECT * REPLACE (amount + 1 AS amount) FROM (" + _ORDERS + ") WHERE dt < '1998-01'")
+def table_save(i: Inputs):
+    """A catalogue table made from a query twice: the second one replaces it."""
+    name = f"saved_orders_{uuid.uuid4().hex[:12]}"
+    for rows in (orders(i), orders(i).where(F.col("dt") < "1998-01").withColumn("amount", (F.col("amount") + 1).cast("decimal(16,2)"))):
+        tables.save_table(rows, name, partition_by=["dt"])
+    return i.spark.table(name)
