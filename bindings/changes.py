@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from bindings.ctes import cte
 from bindings.inputs import Inputs
 from bindings.live import stream_of
 from bindings.register import query, tms
+from bindings.replay import BATCHES, dealt
 from tidemill.functions.columns import money
 from tidemill.session import scratch
 from tidemill.sources import schemas, streams
 from tidemill.sources.schemas import struct
 from tidemill.streaming import cdc, dedup, enrich, jobs
+from tidemill.streaming import dims as dim_life
 
 
 def envelope(df, table: str, op, after, ts_ms, snapshot="false"):
@@ -178,6 +182,86 @@ def stream_cdc_dims_by_config(i: Inputs):
     return _columns_text(jobs.live_dims(table, cdc.dim_rules(i.spark)))
 
 
+# life of dimension tables
+
+# Rule changes: batch, time in it, operation, source table, (sink table, columns) before and after. What no change names stays as it was made.
+RULE_CHANGES = [
+    (1, 0, "u", "sku_info", ("dim_sku_info", "id"), ("dim_sku_info", "id,sku_name")),
+    (2, 0, "d", "user_info", ("dim_user_info", "id"), None),
+    (3, 0, "c", "user_info", None, ("dim_user_info", "id,user_level")),
+    (3, 0, "u", "base_province", ("dim_base_province", "id"), ("dim_province", "id,name")),
+    (4, 0, "d", "base_province", ("dim_province", "id,name"), None),
+    (4, 1, "c", "base_province", None, ("dim_province", "id,name,region_id")),
+    (4, 0, "c", "sku_info", None, ("dim_sku_info", "id,price")),
+]
+
+
+def rule_lines(i: Inputs):
+    """All rules read in batch 0, then changed."""
+    def rule(source, sink, columns, key="id"):
+        return {"source_table": source, "sink_table": sink, "sink_columns": columns, "sink_row_key": key}
+
+    changes = [(0, 0, "r", None, rule(*r)) for r in cdc.DIM_RULES]
+    changes += [(b, t, op, old and rule(source, *old), new and rule(source, *new)) for b, t, op, source, old, new in RULE_CHANGES]
+    lines = [(json.dumps({"op": op, "before": before, "after": after, "source": {"db": "shop", "table": dim_life.RULE_TABLE}, "ts_ms": 10 * b + t}), b)
+             for b, t, op, before, after in changes]
+    return i.spark.createDataFrame(lines, "value string, _batch int")
+
+
+def lifecycle_lines(i: Inputs):
+    """Rule changes, and nations, parts, customers and suppliers as rows in five batches: a row comes in the batch of its key modulo 5,
+    cut off for every 11th key; renamed two batches later for every third; with a time before all others in the last for every seventh."""
+    n, p, c, s = (i.table(t) for t in ("nation", "part", "customer", "supplier"))
+    rows = [
+        ("base_province", n, "n_nationkey", "n_name", "name", {"region_id": F.col("n_regionkey"), "secret": F.lit("x")}),
+        ("sku_info", p, "p_partkey", "p_name", "sku_name", {"price": money("p_retailprice"), "tm_id": F.col("p_brand"), "cost": F.col("p_size")}),
+        ("user_info", c, "c_custkey", "c_name", "name", {"user_level": F.col("c_mktsegment"), "passwd": F.lit("x")}),
+        ("spu_info", s, "s_suppkey", "s_name", "spu_name", {"category3_id": F.col("s_nationkey"), "phone": F.col("s_nationkey")}),
+    ]
+    out = rule_lines(i)
+    for table, df, key, name, field, more in rows:
+        k, b = F.col(key), F.col("_batch")
+        first = df.withColumns({"_batch": (k % BATCHES).cast("int"), "_pre": F.lit("")})
+        again = first.where((k % 3 == 0) & (b + 2 < BATCHES)).withColumns({"_batch": b + 2, "_pre": F.lit("new ")})
+        old = first.where(k % 7 == 0).withColumns({"_batch": F.lit(BATCHES - 1), "_pre": F.lit("old ")})
+        every = first.unionByName(again).unionByName(old)
+        after = F.struct(k.cast("string").alias("id"), F.concat("_pre", name).alias(field), *[v.cast("string").alias(f) for f, v in more.items()])
+        ms = F.when(F.col("_pre") == "old ", 0).otherwise(1000 + b)
+        line = F.to_json(F.struct(F.when(F.col("_pre") == "", "r").otherwise("u").alias("op"), after.alias("after"),
+                                  F.struct(F.lit("shop").alias("db"), F.lit(table).alias("table")).alias("source"), ms.alias("ts_ms")))
+        cut = (F.col("_pre") == "") & (k % 11 == 1)
+        out = out.unionByName(every.select(F.when(cut, F.substring(line, 1, 20)).otherwise(line).alias("value"), "_batch"))
+    return out
+
+
+@query("""
+WITH base AS (
+  SELECT 'dim_province' AS sink, 4 AS since, n_nationkey AS k, n_name AS name, n_regionkey || '' AS x FROM nation
+  UNION ALL SELECT 'dim_sku_info', 1, p_partkey, p_name, cast(p_retailprice as decimal(16,2)) || '' FROM part
+  UNION ALL SELECT 'dim_user_info', 3, c_custkey, c_name, c_mktsegment FROM customer
+  UNION ALL SELECT 'dim_spu_info', 0, s_suppkey, s_name, s_nationkey || '' FROM supplier),
+r AS (
+  SELECT *, k % 5 AS b, 1000 + k % 5 AS ts, '' AS pre FROM base WHERE k % 11 <> 1
+  UNION ALL SELECT *, k % 5 + 2, 1002 + k % 5, 'new ' FROM base WHERE k % 3 = 0 AND k % 5 + 2 < 5
+  UNION ALL SELECT *, 4, 0, 'old ' FROM base WHERE k % 7 = 0),
+l AS (SELECT *, row_number() OVER (PARTITION BY sink, k ORDER BY ts DESC) AS rn FROM r WHERE b >= since)
+SELECT sink AS sink_table, k || '' AS row_key, CASE sink
+  WHEN 'dim_province' THEN 'id=' || k || ';name=' || pre || name || ';region_id=' || x
+  WHEN 'dim_sku_info' THEN CASE WHEN b = 4 THEN 'id=' || k || ';price=' || x ELSE 'id=' || k || ';sku_name=' || pre || name END
+  WHEN 'dim_user_info' THEN 'id=' || k || ';user_level=' || x
+  ELSE 'category3_id=' || x || ';id=' || k || ';spu_name=' || pre || name END AS columns
+FROM l WHERE rn = 1
+""")
+def stream_dim_lifecycle(i: Inputs):
+    """Dimension tables made, dropped and made anew by rule changes over five batches; the last batch is then run once more."""
+    lines = lifecycle_lines(i)
+    stream = streams.text_stream(i.spark, "text", dealt(i, lines, "dim-lines", "text"), files_per_batch=1)
+    tables = dim_life.dim_lifecycle_job(parsed_envelopes(stream), scratch(i.spark, "dim-tables"))
+    tables.add(parsed_envelopes(lines.where(F.col("_batch") == BATCHES - 1).select("value")), tables.versions()[-1])
+    tables.remove_old()
+    return _columns_text(tables.read())
+
+
 # wide orders
 
 _WIDE = """

@@ -75,3 +75,14 @@ def column_families(df: DataFrame, key: str, families: dict[str, list[str]]) ->
 def as_view(df: DataFrame, name: str) -> str:
     df.createOrReplaceTempView(name)
     return name
+
+
+def written_numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers n of the folders ``name=n`` below ``path`` that have been written to their end, ascending."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return []
+    done = [s.getPath() for s in fs.listStatus(at) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    return sorted(int(p.getName().split("=")[1]) for p in done)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tidemill.session import scratch
 from tidemill.sources.keyed import BUCKETS, KeyedTable
 from tidemill.sources.streams import run_each_batch, run_to_parquet, run_until_idle
+from tidemill.sources.tables import written_numbers
 from tidemill.streaming import cdc, dedup, logs, state, users
 
 def _fields(spec: str) -> T.StructType:
@@ -143,13 +144,7 @@ class RuleBook:
         self.spark, self.path, self.schema = spark, path, schema
 
     def _numbers(self, folder: str) -> list[int]:
-        jvm = self.spark._jvm
-        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
-        fs = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(at):
-            return []
-        done = [s.getPath() for s in fs.listStatus(at) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-        return sorted(int(p.getName().split("=")[1]) for p in done)
+        return written_numbers(self.spark, f"{self.path}/{folder}")
 
     def publish(self, rules: DataFrame, version: int) -> None:
         """The whole rule table as of ``version``; published again, it changes nothing."""
