@@ -132,6 +132,36 @@ def cdc_payment_facts(i: Inputs):
     return cdc.cdc_facts(parsed_envelopes(payment_envelopes(i)), "payment_info")
 
 
+@query("""
+SELECT 'refund_info' AS "table", op, epoch_us(o_orderdate) // 1000 + d AS ts, 'r' || o_orderkey AS refund_id, o_orderkey || '' AS order_id, o_custkey || '' AS user_id,
+       cast(o_orderkey % 1000 + d as decimal(16,2)) || '' AS refund_amount, 't' || (o_orderkey % 3) AS refund_type, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS refund_time
+FROM orders, (VALUES ('c', 1), ('u', 2)) t(op, d) WHERE o_orderpriority = '5-LOW'
+""")
+def cdc_refund_facts(i: Inputs):
+    """Refunds of all orders of low priority as made, then with another amount."""
+    o = i.table("orders").where(F.col("o_orderpriority") == "5-LOW")
+
+    def sent(op: str, more: int):
+        row = {"id": F.concat(F.lit("r"), F.col("o_orderkey")), "order_id": F.col("o_orderkey"), "user_id": F.col("o_custkey"),
+               "refund_amount": money(F.col("o_orderkey") % 1000 + more), "refund_type": F.concat(F.lit("t"), F.col("o_orderkey") % 3),
+               "refund_time": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), "operator": F.lit("x")}
+        return envelope(o, "refund_info", op, row, F.unix_millis("o_orderdate") + more)
+
+    return cdc.cdc_facts(parsed_envelopes(sent("c", 1).unionByName(sent("u", 2))), "refund_info")
+
+
+@query("""
+SELECT 'order_info' AS part, o_orderkey || '' AS id, op, ms AS ts_ms FROM e_order
+UNION ALL SELECT 'payment_info', 'p' || o_orderkey, 'c', epoch_us(o_orderdate) // 1000 FROM orders WHERE o_orderstatus = 'F'
+""")
+def cdc_split_by_table(i: Inputs):
+    """Two outputs of one stream of change records of three tables; the third is wanted by nobody."""
+    raw = order_envelopes(i).unionByName(payment_envelopes(i)).unionByName(refund_envelopes(i))
+    parts = cdc.split_by_table(parsed_envelopes(raw), ["order_info", "payment_info"])
+    rows = [df.select(F.lit(name).alias("part"), F.get_json_object("after", "$.id").alias("id"), "op", "ts_ms") for name, df in parts.items()]
+    return rows[0].unionByName(rows[1])
+
+
 @query("SELECT o_orderkey || '' AS id, o_custkey || '' AS user_id, cast(o_totalprice as decimal(16,2)) || '' AS total_amount FROM orders WHERE o_orderstatus = 'F'")
 def cdc_snapshot_facts(i: Inputs):
     return cdc.snapshot_rows(parsed_envelopes(order_envelopes(i)), "order_info", struct(id="string", user_id="string", total_amount="string"))
@@ -357,6 +387,24 @@ def comment_order_join(i: Inputs):
     return enrich.comment_order_join(comments, orders)
 
 
+_COMMENTS = """
+SELECT doc_id AS comment_id, doc_id AS order_id, text, strftime(written, '%Y-%m-%d %H:%M:%S.%f') AS comment_time, o_orderkey AS info_id, o_custkey AS info_user_id,
+       cast(o_totalprice as double) AS info_total_amount, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS info_create_time
+FROM (SELECT *, TIMESTAMP '1992-01-01' + to_days(cast(n_chars % 2400 as integer)) AS written FROM documents) JOIN orders ON doc_id = o_orderkey
+WHERE o_orderdate BETWEEN written - INTERVAL 365 DAY AND written + INTERVAL 365 DAY
+"""
+
+
+@query(_COMMENTS)
+def comment_order_interval_join(i: Inputs):
+    """Comments with their text, written within a year of their order: the day of a comment is read from its length."""
+    at = F.timestamp_add("DAY", (F.col("n_chars") % 2400).cast("int"), F.lit("1992-01-01").cast("timestamp"))
+    comments = i.table("documents").select(F.col("doc_id").alias("comment_id"), F.col("doc_id").alias("order_id"), "text", at.alias("comment_time"))
+    orders = i.table("orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_totalprice").alias("total_amount"),
+                                      F.col("o_orderdate").cast("timestamp").alias("create_time"))
+    return enrich.comment_order_join(comments, orders, minutes=365 * 24 * 60)
+
+
 @query("SELECT o_orderkey || '' AS id, op, ms AS ts_ms FROM e_order WHERE op = 'r'")
 def snapshot_phase_filter(i: Inputs):
     return cdc.snapshot_phase_filter(parsed_envelopes(order_envelopes(i))).select(F.get_json_object("after", "$.id").alias("id"), "op", "ts_ms")

@@ -694,3 +694,24 @@ def extract_page_items(i: Inputs):
     html = F.regexp_replace("html", 'href="/t', 'name="/t')
     pages = i.table("pages").withColumn("html", F.when(F.col("page_id") % 3 == 1, F.translate(html, '"', "'")).otherwise(html))
     return items.extract_page_items(pages, "li", {"href": items.attribute("a", "href"), "old_name": items.attribute("a", "name"), "label": items.element("a")})
+
+
+# the first rows of a stream
+
+FIRST_ROWS = 100
+
+
+@query(f"""
+SELECT o_orderkey AS id, o_custkey AS user_id, o_orderstatus AS status
+FROM (SELECT *, (o_orderkey - min(o_orderkey) OVER ()) * 5 // (max(o_orderkey) OVER () - min(o_orderkey) OVER () + 1) AS own FROM orders)
+WHERE own = 0 ORDER BY o_orderkey DESC LIMIT {FIRST_ROWS}
+""")
+def stream_first_rows(i: Inputs):
+    """The first rows of five files of orders, each in falling order of key; later batches add none."""
+    o = i.table("orders")
+    first, last = o.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    line = F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("status")))
+    rows = o.select(line.alias("value"), F.col("o_orderkey").alias("_at"), batch_of("o_orderkey", first or 0, last or 0).alias("_batch"))
+    schema = schemas.struct(id="bigint", user_id="bigint", status="string")
+    stream = streams.json_stream(i.spark, "text", dealt(i, rows, "first-rows", "text", "_at"), schema, files_per_batch=1)
+    return streams.run_to_parquet(streams.first_rows(stream, FIRST_ROWS), "first")

@@ -478,6 +478,31 @@ def store_efficiency_summary(i: Inputs):
     return products.store_efficiency_summary(overview(i))
 
 
+def _over_days(by: str) -> str:
+    def mean(value: str, weight: str, digits: int) -> str:
+        known = f"sum(CASE WHEN {value} IS NOT NULL THEN {weight} END)"
+        return f"CASE WHEN {known} > 0 THEN cast(round(cast(cast(sum(cast({value} as decimal(20,6)) * cast({weight} as decimal(10,0))) as double) / {known} as decimal(20,10)), {digits}) as double) END AS {value}"
+
+    counts = ("pv", "uv", "micro_detail_uv", "fav_user_cnt", "cart_user_cnt", "cart_total_qty", "order_user_cnt", "order_total_qty", "pay_user_cnt", "pay_total_qty")
+    amounts = ("order_total_amt", "pay_total_amt", "refund_amt")
+    sums = [big(f"coalesce(sum({c}), 0)", c) for c in counts] + [dbl(f"coalesce(sum(cast({c} as decimal(20,2))), 0)", c) for c in amounts]
+    return f"""
+SELECT *, {_rate('pay_user_cnt', 'uv')} AS pay_rate, {_rate('order_user_cnt', 'uv')} AS order_rate, {_rate('fav_user_cnt', 'uv')} AS fav_rate,
+       {_rate('cart_user_cnt', 'uv')} AS cart_rate, {_money_rate('pay_total_amt', 'pay_user_cnt')} AS item_per_pay_user, {_money_rate('pay_total_amt', 'uv')} AS visitor_value
+FROM (SELECT {by}, count(DISTINCT dt) AS days, {mean('avg_stay_time', 'uv', 2)}, {mean('bounce_rate', 'pv', 4)}, {', '.join(sums)} FROM p_over GROUP BY {by})
+"""
+
+
+@query(_over_days("product_id, store_id"))
+def product_efficiency_over_days(i: Inputs):
+    return products.efficiency_over_days(overview(i), ["product_id", "store_id"])
+
+
+@query(_over_days("store_id"))
+def store_efficiency_over_days(i: Inputs):
+    return products.efficiency_over_days(overview(i), ["store_id"])
+
+
 @query(f"""
 SELECT product_id, store_id, dt, uv, micro_detail_uv AS click_uv, order_user_cnt AS order_uv, pay_user_cnt AS pay_uv, {_rate('micro_detail_uv', 'uv')} AS click_rate,
        {_rate('order_user_cnt', 'micro_detail_uv')} AS order_rate, {_rate('pay_user_cnt', 'order_user_cnt')} AS pay_rate

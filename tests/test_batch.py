@@ -11,7 +11,7 @@ from tidemill.functions import text
 from tidemill.operators.joins import full_join, region_chain
 from tidemill.operators.latest import dim_upsert_latest, latest_by_key, scd2_merge
 from tidemill.operators.recent import recent_days, roll_forward
-from tidemill.plans import dims, pages, reports, summaries, transport, visits
+from tidemill.plans import dims, pages, products, reports, summaries, transport, visits
 from tidemill.streaming.dedup import dedup_bounded
 
 
@@ -232,3 +232,21 @@ def test_bounded_copies_further_apart_both_stay(spark, as_rows):
     rows = [("a", "2020-01-01 00:00:00"), ("a", "2020-01-01 00:30:00"), ("a", "2020-01-01 00:30:00"), ("a", "2020-01-08 00:00:00"), ("b", "2020-01-01 00:00:00")]
     df = spark.createDataFrame(rows, "k string, t string").selectExpr("k", "cast(t as timestamp) as t")
     assert as_rows(dedup_bounded(df, ["k"], "t", "1 hour").selectExpr("k", "day(t)")) == [("a", 1), ("a", 8), ("b", 1)]
+
+
+def test_efficiency_over_days_weighs_by_visitors(spark, as_rows):
+    keys = [("p", "s", "2024-06-01"), ("p", "s", "2024-06-02"), ("p", "s", "2024-06-03"), ("q", "s", "2024-06-01")]
+    seen = [(10, 8, 2.0, 0.5, 3), (40, 2, 12.0, 0.25, None), (0, 0, None, None, 0), (0, 0, None, None, 0)]
+    visit = spark.createDataFrame([k + v for k, v in zip(keys, seen)],
+                                  "product_id string, store_id string, dt string, pv long, uv long, avg_stay_time double, bounce_rate double, micro_detail_uv long")
+    fav = spark.createDataFrame([keys[0] + (4,)], "product_id string, store_id string, dt string, fav_user_cnt long")
+    cart = spark.createDataFrame([keys[1] + (1, 2)], "product_id string, store_id string, dt string, cart_user_cnt long, cart_total_qty long")
+    orders = spark.createDataFrame([keys[0] + (2, 3, 30.0, 2, 2, 25.0, 1.0)], "product_id string, store_id string, dt string, order_user_cnt long, "
+                                   "order_total_qty long, order_total_amt double, pay_user_cnt long, pay_total_qty long, pay_total_amt double, refund_amt double")
+    daily = products.product_efficiency_overview(visit, fav, cart, orders)
+    assert as_rows(daily, "dt", "avg_stay_time", "bounce_rate", "fav_user_cnt", "pay_rate") == sorted([
+        ("2024-06-01", 2.0, 0.5, 4, 0.25), ("2024-06-02", 12.0, 0.25, None, None), ("2024-06-03", None, None, None, 0.0), ("2024-06-01", None, None, None, 0.0)], key=repr)
+    added = products.efficiency_over_days(daily, ["product_id"])
+    got = as_rows(added, "product_id", "days", "pv", "uv", "avg_stay_time", "bounce_rate", "fav_user_cnt", "cart_total_qty", "pay_rate")
+    # (8 * 2 + 2 * 12) / 10 and (10 * 0.5 + 40 * 0.25) / 50, not the plain means 7 and 0.375
+    assert got == [("p", 3, 50, 10, 4.0, 0.3, 4, 2, 0.2), ("q", 1, 0, 0, None, None, 0, 0, 0.0)]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import Day, amount_per, band, count_where, day, days_back, flag, ratio, zero_if_null
@@ -101,25 +103,44 @@ def product_efficiency_monitor(visit: DataFrame, fav: DataFrame, cart: DataFrame
     return wide.withColumns({"conversion_rate": rate, "visit_interval": band("uv", VISIT_BANDS, "0-99")})
 
 
+def _rounded_mean(mean: Column, digits: int) -> Column:
+    """Through ten decimals, so that halves round up."""
+    return F.round(mean.cast("decimal(20,10)"), digits).cast("double")
+
+
+def _with_rates(df: DataFrame) -> DataFrame:
+    """Users of each step per visitor; payments per payer and per visitor."""
+    steps = {"pay_rate": "pay_user_cnt", "order_rate": "order_user_cnt", "fav_rate": "fav_user_cnt", "cart_rate": "cart_user_cnt"}
+    amounts = {"item_per_pay_user": "pay_user_cnt", "visitor_value": "uv"}
+    return df.withColumns({name: ratio(users, "uv") for name, users in steps.items()}
+                          | {name: amount_per("pay_total_amt", per) for name, per in amounts.items()})
+
+
 def product_efficiency_overview(visit: DataFrame, fav: DataFrame, cart: DataFrame, orders: DataFrame) -> DataFrame:
-    """All measures per product, store and day with stay weighted by visitors and bounce by visits."""
-    def weighted(value: str, weight: str, digits: int):
-        total = F.sum(F.col(weight))
-        mean = (F.sum(F.col(value) * F.col(weight)) / total).cast("decimal(20,10)")  # so that halves round up
-        return F.when(total > 0, F.round(mean, digits).cast("double")).alias(value)
-
-    wide = _joined(visit, fav, cart, orders).groupBy(*KEYS).agg(
-        F.sum("pv").alias("pv"), F.sum("uv").alias("uv"), weighted("avg_stay_time", "uv", 2), weighted("bounce_rate", "pv", 4),
-        F.sum("micro_detail_uv").alias("micro_detail_uv"), *[F.sum(m).alias(m) for m in MEASURES],
-    )
-    return wide.withColumns({
-        "pay_rate": ratio("pay_user_cnt", "uv"),
-        "order_rate": ratio("order_user_cnt", "uv"),
-        "fav_rate": ratio("fav_user_cnt", "uv"),
-        "cart_rate": ratio("cart_user_cnt", "uv"),
-        "item_per_pay_user": amount_per("pay_total_amt", "pay_user_cnt"),
-        "visitor_value": amount_per("pay_total_amt", "uv"),
-    })
+    """All measures per product, store and day. The four summaries hold one row a key, so nothing is left to add up.
+
+    Measures that a key lacks are NULL, and so are a mean stay without visitors and a bounce rate without visits.
+    """
+    return _with_rates(_joined(visit, fav, cart, orders).select(
+        *KEYS, "pv", "uv", F.when(F.col("uv") > 0, _rounded_mean(F.col("avg_stay_time"), 2)).alias("avg_stay_time"),
+        F.when(F.col("pv") > 0, _rounded_mean(F.col("bounce_rate"), 4)).alias("bounce_rate"), "micro_detail_uv", *MEASURES))
+
+
+def efficiency_over_days(overview: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The overview of several days, products or stores added up per ``by``.
+
+    Stay is the mean weighted by visitors, bounce by visits, over the rows that have one; rates are taken of the sums, so a day of
+    many visitors counts for more than a quiet one. Sums of no values are 0. Visitors of several days count once a day.
+    """
+    def mean(value: str, weight: str, digits: int) -> Column:
+        known = F.when(F.col(value).isNotNull(), F.col(weight))
+        total = F.sum(F.col(value).cast("decimal(20,6)") * known.cast("decimal(18,0)")).cast("double")
+        return F.when(F.sum(known) > 0, _rounded_mean(total / F.sum(known), digits)).alias(value)
+
+    sums = ["pv", "uv", "micro_detail_uv", *MEASURES]
+    added = overview.groupBy(*by).agg(F.countDistinct("dt").alias("days"), mean("avg_stay_time", "uv", 2), mean("bounce_rate", "pv", 4),
+                                      *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
+    return _with_rates(added)
 
 
 def store_efficiency_summary(overview: DataFrame) -> DataFrame:
