@@ -317,10 +317,12 @@ class JaccardJoin:
     def documents(self) -> DataFrame:
         """doc_id, n_shingles, component_id of every row."""
         roots = components(self.links())
-        placed = self.classes.select("cid", "least_id").join(roots, F.col("cid") == F.col("node"), "left").select(
-            "cid", "least_id", F.coalesce("root", "cid").alias("root"))
-        least = placed.groupBy("root").agg(F.min("least_id").alias("component"))
-        component = placed.join(least, "root").select("cid", "component")
+        placed = kept(self.classes.select("cid", "least_id").join(roots, F.col("cid") == F.col("node"), "left").select("cid", "least_id", "root"))
+        # classes without links are their own component; of the others one component may hold most, so the smallest ids are
+        # written before they are joined: AQE splits a hot root only where both sides come straight from a shuffle
+        linked = placed.where("root is not null")
+        least = kept(linked.groupBy("root").agg(F.min("least_id").alias("component")))
+        component = linked.join(least, "root").select("cid", "component").union(placed.where("root is null").select("cid", "least_id"))
         return self.profiles.select("doc_id", "cid", F.col("n").alias("n_shingles")).join(component, "cid", "left").select(
             "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
 
