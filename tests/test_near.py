@@ -52,3 +52,12 @@ def test_related_actions_of_the_last_days_only(spark):
     df = spark.createDataFrame(rows, "user_id int, action_time timestamp, sku_id int, action_type string")
     got = related_actions(df, [5], "2024-01-20").collect()
     assert [tuple(r) for r in got] == [(5, 6, "cart", 1)]
+
+
+def test_spread_rows_are_not_broadcast(spark):
+    """Sizes known before the rows are spread over their bits say nothing about the rows that are joined."""
+    df = spark.createDataFrame(sample(), "user_id int, at timestamp, sku int, kind string")
+    left, right = df.selectExpr("user_id", "at", "sku as main"), df.selectExpr("user_id", "at", "sku as related", "kind")
+    got = near_pair_counts(left, right, "user_id", "at", "main", ["related", "kind"], 60)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert text.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in text

@@ -45,7 +45,7 @@ def _counted(left: DataFrame, right: DataFrame, key: str, tag: str, tags: Sequen
     Same slot: every pair is near enough. Neighbour slot: near enough when one offset is not above the other,
     which holds when the offsets are equal or first differ at one bit that is 1 on the greater side. Grouping
     both sides by (bit, bits above) turns that into an equi join of counts: at most one row per bit, and no
-    row pairs.
+    row pairs. Sizes are estimated from the files, before the rows are spread, so the join is asked not to broadcast.
     """
     bits = range(int(width).bit_length())
     side_left = [
@@ -68,7 +68,7 @@ def _counted(left: DataFrame, right: DataFrame, key: str, tag: str, tags: Sequen
 
     a = spread(left, side_left, [tag], "_left_n", 1)
     b = spread(right, side_right, tags, "_right_n", 0)
-    return a.join(b, [key, "_slot", "_dir", "_cell"]).where(F.col(tag) != F.col(tags[0]))
+    return a.hint("merge").join(b, [key, "_slot", "_dir", "_cell"]).where(F.col(tag) != F.col(tags[0]))
 
 
 def near_pair_counts(left: DataFrame, right: DataFrame, key: str, time: str, tag: str, tags: Sequence[str], seconds: int) -> DataFrame:
@@ -81,6 +81,6 @@ def near_pair_counts(left: DataFrame, right: DataFrame, key: str, time: str, tag
     width = seconds * 1_000_000
     a = _slotted(left, key, time, [tag], width)
     around = a.select(key, _neighbours(F.col("_slot")).alias("_slot")).distinct()
-    b = _slotted(right, key, time, tags, width).join(around, [key, "_slot"], "left_semi")
+    b = _slotted(right, key, time, tags, width).join(around.hint("merge"), [key, "_slot"], "left_semi")
     counted = _counted(a, b, key, tag, tags, width)
     return counted.groupBy(tag, *tags).agg(F.sum(F.col("_left_n") * F.col("_right_n")).alias("pairs"))
