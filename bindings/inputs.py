@@ -16,6 +16,7 @@ class Inputs:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.sf_dir = spark, sf_dir
         self._tables: dict[str, DataFrame] = {}
+        self.folders: dict[tuple[str, str], tuple[str, int]] = {}  # tables written for streams, with their files a batch
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:

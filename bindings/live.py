@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from bindings.ctes import cte
 from bindings.inputs import Inputs
 from bindings.register import big, dbl, query
-from bindings.replay import batch_of, dealt, faulty_lines, faulty_sql
+from bindings.replay import batch_of, dealt, faulty_lines, faulty_sql, files_of, in_batches
 from tidemill.functions import items, text
 from tidemill.functions.columns import money
 from tidemill.session import scratch
@@ -17,16 +17,19 @@ from tidemill.streaming import dedup, jobs, logs, state, users, windows
 
 
 def stream_of(i: Inputs, name: str, by: str | None = None):
-    """A driver table as a stream of at least five batches: written in the order of time (or of ``by``) as five parts, one file a batch."""
+    """A driver table as a stream of five batches, in the order of time (or of ``by``); written once for all streams of a query."""
     table = i.spark.read.parquet(f"{i.sf_dir}/{name}.parquet")
     by, schema = by or {"events": "ts", "orders": "o_orderdate"}.get(name, table.columns[0]), table.schema
-    at = F.col(by) if schema[by].dataType.typeName() in ("long", "integer") else F.unix_micros(F.col(by).cast("timestamp"))
-    cuts = table.agg(F.percentile_approx(at, [0.2, 0.4, 0.6, 0.8])).first()[0] or []
-    out = scratch(i.spark, f"stream-of-{name}")
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        part = table if low is None else table.where(at > low)
-        (part if high is None else part.where(at <= high)).write.mode("append").parquet(out)
-    df = i.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(out)
+    if (name, by) not in i.folders:
+        at = F.col(by) if schema[by].dataType.typeName() in ("long", "integer") else F.unix_micros(F.col(by).cast("timestamp"))
+        cuts = table.agg(F.percentile_approx(at, [0.2, 0.4, 0.6, 0.8])).first()[0] or []
+        parts = []
+        for low, high in zip([None, *cuts], [*cuts, None]):
+            part = table if low is None else table.where(at > low)
+            parts.append(part if high is None else part.where(at <= high))
+        i.folders[name, by] = in_batches(i, parts, files_of(table), f"stream-of-{name}"), files_of(table)
+    out, files = i.folders[name, by]
+    df = i.spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(out)
     return df.withColumns({f.name: F.col(f.name).cast("timestamp") for f in schema if f.dataType.typeName() == "timestamp_ntz"})
 
 

@@ -1,17 +1,19 @@
 """A faulty text source: a table's records as lines of text that come doubled, late, out of order and cut off.
 
-Five files are written one after the other and read one a batch. Time, from the first to the last record, is cut in five; a record
-comes with the file of its time, or later:
+Five batches are written one after the other and read one at a time. Time, from the first to the last record, is cut in five; a
+record comes with the batch of its time, or later:
 
-* every 17th record (by number, remainder 3) comes two files late, every 11th (remainder 5) comes again with the next file;
-* the lines of a file are in falling order of time;
+* every 17th record (by number, remainder 3) comes two batches late, every 11th (remainder 5) comes again with the next batch;
+* the lines of a file are in falling order of time; a large batch has several files;
 * every 29th record (remainder 1) is cut off after 20 characters.
 
-Files of records that come in order hold no late row; here the rows two files late are late by hours.
+Batches of records that come in order hold no late row; here the rows two batches late are late by hours.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,18 +25,36 @@ BATCHES = 5
 LATE, AGAIN, CUT = (17, 3), (11, 5), (29, 1)
 
 
-def dealt(i: Inputs, rows: DataFrame, name: str, fmt: str = "parquet", order: str | None = None) -> str:
-    """Rows with a column ``_batch`` as one file a batch, in that order; the folder."""
+def in_batches(i: Inputs, parts: Iterable[DataFrame], files: int, name: str, fmt: str = "parquet", order: str | None = None) -> str:
+    """Frames written one after the other, each as exactly ``files`` files, so that a stream of ``files`` files a batch reads one
+    frame a batch whatever its size; the folder. With ``order`` the rows of a file are in falling order of it.
+
+    A large table in one file a batch would pass through one task; in as many files as tasks happen to write, a batch would hold
+    a piece of a frame, and pieces come in no order of time.
+    """
     out = scratch(i.spark, name)
+    for n, part in enumerate(parts):
+        part = part.repartition(files)
+        part = part.sortWithinPartitions(F.col(order).desc()).drop(order) if order else part
+        part.write.mode("append").format(fmt).save(out)
+        # few or no rows leave tasks without a file
+        for _ in range(files * (n + 1) - len(i.spark.read.schema(part.schema).format(fmt).load(out).inputFiles())):
+            i.spark.createDataFrame([], part.schema).coalesce(1).write.mode("append").format(fmt).save(out)
+    return out
+
+
+def files_of(rows: DataFrame) -> int:
+    """Files a batch: one for a small table, else as many as tasks read it."""
+    return rows.rdd.getNumPartitions()
+
+
+def dealt(i: Inputs, rows: DataFrame, name: str, fmt: str = "parquet", order: str | None = None, files: int = 1) -> str:
+    """Rows with a column ``_batch`` as ``files`` files a batch, in that order; the folder."""
     rows = rows.persist()
     try:
-        for n in range(BATCHES):
-            part = rows.where(F.col("_batch") == n).drop("_batch").coalesce(1)
-            part = part.sortWithinPartitions(F.col(order).desc()).drop(order) if order else part
-            part.write.mode("append").format(fmt).save(out)
+        return in_batches(i, (rows.where(F.col("_batch") == n).drop("_batch") for n in range(BATCHES)), files, name, fmt, order)
     finally:
         rows.unpersist()
-    return out
 
 
 def batch_of(ms, first: int, last: int):
@@ -52,7 +72,8 @@ def faulty_lines(i: Inputs, rows: DataFrame, number: str, ms: str, name: str) ->
     comes = F.least(F.when(n % LATE[0] == LATE[1], own + 2).otherwise(own), F.lit(BATCHES - 1))
     again = F.when(n % AGAIN[0] == AGAIN[1], F.least(comes + 1, F.lit(BATCHES - 1)))
     sent = rows.select(value.alias("value"), F.col(ms).alias("_at"), F.explode(F.array(comes, again)).alias("_batch")).where(F.col("_batch").isNotNull())
-    return streams.text_stream(i.spark, "text", dealt(i, sent, name, "text", "_at"), files_per_batch=1)
+    files = files_of(rows)
+    return streams.text_stream(i.spark, "text", dealt(i, sent, name, "text", "_at", files), files_per_batch=files)
 
 
 def faulty_sql(table: str, number: str, ms: str) -> str:
