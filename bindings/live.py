@@ -534,7 +534,7 @@ def dedup_exact(i: Inputs):
 
 @query(_ONCE)
 def stream_dedup_exact(i: Inputs):
-    return streams.run_until_idle(state.exactly_once(doubled(i, live=True)), "dedup").drop("event_time")
+    return streams.run_to_parquet(state.exactly_once(doubled(i, live=True)), "dedup").drop("event_time")
 
 
 @query(_ONCE)

@@ -424,3 +424,24 @@ def test_lifecycle_joins_its_orders_once(spark):
 
     plan = QUERIES["order_lifecycle_merge"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join ") == 1
+
+
+def refuse_processors(monkeypatch):
+    def refused(*_, **__):
+        raise AssertionError("a processor")
+
+    monkeypatch.setattr(state, "stateful", refused)
+
+
+@pytest.mark.parametrize("keep, times", [("1 hour", 1), ("1 second", 2)])
+def test_exact_copies_make_no_call_a_key_and_are_forgotten(spark, tmp_path, monkeypatch, keep, times):
+    """Three runs of one query: a copy of the first record comes once another batch has told that time went on."""
+    refuse_processors(monkeypatch)
+    folder, out, checkpoint = feed(tmp_path, [['{"id": 1}', '{"id": 1}']]), scratch(spark, "out"), scratch(spark, "cp")
+    for n, line in enumerate([None, '{"id": 2}', '{"id": 1}']):
+        if line:
+            time.sleep(2 if n == 1 else 0)
+            (tmp_path / "in" / f"more{n}.txt").write_text(f"{line}\n{line}\n")
+        once = state.exactly_once(live(spark, folder).select(F.from_json("value", "id int").alias("r")).select("r.*"), keep=keep)
+        (once.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", out).trigger(availableNow=True).start().awaitTermination())
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1] * times + [2]

@@ -97,24 +97,16 @@ def newer_only(stream: DataFrame, keys: Sequence[str], arrival: Sequence[str], t
     return stateful(slim, keys, NewerOnly(arrival, ts, milliseconds(stream.sparkSession, keep)), stream.schema, forgets=True)
 
 
-class FirstOnly(_Plain):
-    """Lets the first record of a key pass; the key is forgotten ``keep_ms`` later."""
-
-    def __init__(self, keep_ms: int):
-        self.keep_ms = keep_ms
-
-    def init(self, handle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean", self.keep_ms)
-
-    def handleInputRows(self, key, rows, timerValues):
-        if not self.seen.exists():
-            self.seen.update((True,))
-            yield next(iter(rows))
-
-
 def exactly_once(stream: DataFrame, columns: Sequence[str] | None = None, keep: str = "1 day") -> DataFrame:
-    """Whole records once (or once per ``columns``) within ``keep`` of the first: the state holds no key for longer."""
-    return stateful(stream, list(columns or stream.columns), FirstOnly(milliseconds(stream.sparkSession, keep)), stream.schema, forgets=True)
+    """Whole records once (or once per ``columns``) within ``keep`` of the first.
+
+    The time of a batch is the records' event time: a key lies in the state store with the time it runs out, without a call into
+    Python, and goes with the end of the next batch after that time. A copy that comes later than ``keep`` passes from then on. A stream with a
+    watermark of its own would hold keys until that has passed as well.
+    """
+    half = milliseconds(stream.sparkSession, keep) // 2  # a key stays for the delay, and the watermark follows by the delay
+    seen = stream.withColumn("_seen", F.current_timestamp()).withWatermark("_seen", f"{half} milliseconds")
+    return seen.dropDuplicatesWithinWatermark(list(columns or stream.columns)).drop("_seen")
 
 
 # --- wide order rows -----------------------------------------------------------------------------------------------
