@@ -445,3 +445,16 @@ def test_exact_copies_make_no_call_a_key_and_are_forgotten(spark, tmp_path, monk
         once = state.exactly_once(live(spark, folder).select(F.from_json("value", "id int").alias("r")).select("r.*"), keep=keep)
         (once.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", out).trigger(availableNow=True).start().awaitTermination())
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1] * times + [2]
+
+
+def test_preference_job_makes_no_call_a_key(spark, tmp_path, as_rows, monkeypatch):
+    refuse_processors(monkeypatch)
+    rng = random.Random(21)
+    rows = [{"user_id": rng.choice([1, 2, None]), "behavior_type": rng.choice(["view", "cart", "pay", "search"]), "brand_id": rng.choice(["a", "b", None]),
+             "category3_id": rng.choice(["x", "y"]), "platform": rng.choice(["p", "q", None])} for _ in range(200)]
+    folder = feed(tmp_path, [rows[:20], rows[20:21], rows[21:]])
+    schema = "user_id bigint, behavior_type string, brand_id string, category3_id string, platform string"
+    def parse(df):
+        return df.select(F.from_json("value", schema).alias("r")).select("r.*")
+    want = users.user_preference(parse(batch(spark, folder)), "full")
+    assert as_rows(jobs.preference_job(parse(live(spark, folder))), *want.columns) == as_rows(want, *want.columns)

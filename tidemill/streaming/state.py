@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tidemill.sources.schemas import ORDER_ROW
-from tidemill.streaming import cdc
+from tidemill.streaming import cdc, users
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -228,7 +228,7 @@ def current(changes: DataFrame, keys: Sequence[str], version: str = "version") -
 
 # --- preferences with withdrawn rows -------------------------------------------------------------------------------
 
-PREFERENCES = ("view", "cart", "pay", "place")
+PREFERENCES = (*users.BRAND_KINDS, "place")
 _TOP = ", ".join(f"{p}_name string, {p}_platform string, {p}_n long" for p in PREFERENCES)
 
 
@@ -278,12 +278,7 @@ def preference_changes(behaviour: DataFrame) -> DataFrame:
     """Each user's most viewed, carted and paid brand and most frequent category with platform, as a log: user_id, top_view_brand,
     top_cart_brand, top_pay_brand, prefer_category3, prefer_platform, change (+1 a row that holds from here, -1 one that holds no
     more). ``standing`` gives the rows that hold. Ties go to the smaller name, as in ``users.user_preference``."""
-    known = behaviour.where(F.col("user_id").isNotNull())
-    brand = F.when(F.col("brand_id").isNotNull() & F.col("behavior_type").isin(*PREFERENCES[:3]),
-                   F.struct(F.col("behavior_type").alias("what"), F.col("brand_id").alias("name"), F.lit(None).cast("string").alias("platform")))
-    place = F.when(F.col("category3_id").isNotNull() & F.col("platform").isNotNull(),
-                   F.struct(F.lit("place").alias("what"), F.col("category3_id").alias("name"), "platform"))
-    items = known.select("user_id", F.explode(F.array(brand, place)).alias("i")).where(F.col("i").isNotNull()).select("user_id", "i.*", F.lit(1).cast("long").alias("n"))
+    items = users.preference_items(behaviour).withColumn("n", F.lit(1).cast("long"))
     user = items.schema["user_id"].dataType.simpleString()
     counted = items.mapInArrow(_counted, f"user_id {user}, what string, name string, platform string, n long")
     return stateful(counted, ["user_id"], Preference(),

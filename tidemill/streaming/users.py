@@ -80,30 +80,43 @@ def province_stats(orders: DataFrame) -> DataFrame:
     return stats_of_province_users(province_user_totals(orders))
 
 
-def user_preference(behaviour: DataFrame, form: str = "left", complete_only: bool = False) -> DataFrame:
-    """Each user's most viewed, carted and paid brand and most frequent category with platform; ties go to the
-    smaller name.
+BRAND_KINDS = ("view", "cart", "pay")
 
-    ``form="left"`` keeps users with a viewed brand, ``"full"`` all users with any preference.
-    """
+
+def preference_items(behaviour: DataFrame) -> DataFrame:
+    """A row for each brand that a user has viewed, carted or paid, and for each place (category with platform): user_id, what, name, platform."""
     known = behaviour.where(F.col("user_id").isNotNull())
-    kinds = ("view", "cart", "pay")
-    no_text = F.lit(None).cast("string")
-    brands = known.where(F.col("brand_id").isNotNull() & F.col("behavior_type").isin(*kinds)).groupBy(
-        "user_id", F.col("behavior_type").alias("what"), F.col("brand_id").alias("name")
-    ).agg(F.count(F.lit(1)).alias("n")).select("user_id", "what", "name", no_text.alias("platform"), "n")
-    places = known.where(F.col("category3_id").isNotNull() & F.col("platform").isNotNull()).groupBy(
-        "user_id", F.col("category3_id").alias("name"), "platform"
-    ).agg(F.count(F.lit(1)).alias("n")).select("user_id", F.lit("place").alias("what"), "name", "platform", "n")
+    brand = F.when(F.col("brand_id").isNotNull() & F.col("behavior_type").isin(*BRAND_KINDS),
+                   F.struct(F.col("behavior_type").alias("what"), F.col("brand_id").alias("name"), F.lit(None).cast("string").alias("platform")))
+    place = F.when(F.col("category3_id").isNotNull() & F.col("platform").isNotNull(),
+                   F.struct(F.lit("place").alias("what"), F.col("category3_id").alias("name"), "platform"))
+    return known.select("user_id", F.explode(F.array(brand, place)).alias("i")).where(F.col("i").isNotNull()).select("user_id", "i.*")
+
+
+def preference_counts(behaviour: DataFrame) -> DataFrame:
+    """How often each of ``preference_items`` occurs, as ``n``; on a stream a running aggregate."""
+    return preference_items(behaviour).groupBy("user_id", "what", "name", "platform").agg(F.count(F.lit(1)).alias("n"))
 
+
+def top_preferences(counts: DataFrame) -> DataFrame:
+    """Of ``preference_counts``, each user's most frequent brands and place; ties go to the smaller name."""
     def top(column: str, what: str) -> Column:
         rank = F.when(F.col("what") == what, F.struct(-F.col("n"), F.col("name"), F.col("platform")))
         return F.min_by(column, rank)
 
-    result = brands.unionByName(places).groupBy("user_id").agg(
-        *[top("name", k).alias(f"top_{k}_brand") for k in kinds],
+    return counts.groupBy("user_id").agg(
+        *[top("name", k).alias(f"top_{k}_brand") for k in BRAND_KINDS],
         top("name", "place").alias("prefer_category3"), top("platform", "place").alias("prefer_platform"),
     )
+
+
+def user_preference(behaviour: DataFrame, form: str = "left", complete_only: bool = False) -> DataFrame:
+    """Each user's most viewed, carted and paid brand and most frequent category with platform; ties go to the
+    smaller name.
+
+    ``form="left"`` keeps users with a viewed brand, ``"full"`` all users with any preference.
+    """
+    result = top_preferences(preference_counts(behaviour))
     if form == "left":
         result = result.where(F.col("top_view_brand").isNotNull())
     return result.dropna() if complete_only else result
