@@ -48,3 +48,9 @@ def test_order_and_pairs_need_no_single_task(spark, no_broadcast, name):
     text = plan(spark, name)
     met = text.count("Exchange SinglePartition")
     assert met == len(re.findall(r"Exchange SinglePartition[^\n]*\n[^\n]*HashAggregate\(keys=\[\], functions=\[partial_", text))
+
+
+def test_routes_are_met_without_a_shuffle(spark, no_broadcast):
+    """Records of one table and operation would meet in one task."""
+    text = plan(spark, "cdc_route")
+    assert "SortMergeJoin" not in text and "Exchange hashpartitioning" not in text

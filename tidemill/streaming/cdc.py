@@ -76,7 +76,8 @@ def cdc_route(envelopes: DataFrame, routes: DataFrame, default: str = DEFAULT_SI
     rows = envelopes.where(F.col("after").isNotNull()).select(
         _table().alias("_t"), _kind(F.col("op"), "insert").alias("_k"), F.col("after").alias("data")
     )
-    named = routes.select(F.col("table").alias("_rt"), F.col("type").alias("_rk"), "sink_table")
+    # routes are a handful of rows of configuration; without the hint the records of one table and operation meet in one task
+    named = F.broadcast(routes.select(F.col("table").alias("_rt"), F.col("type").alias("_rk"), "sink_table"))
     on = (F.col("_t") == F.col("_rt")) & (F.col("_k") == F.col("_rk"))
     return rows.join(named, on, "left").select(F.coalesce("sink_table", F.lit(default)).alias("sink_table"), "data")
 
