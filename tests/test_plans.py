@@ -54,3 +54,8 @@ def test_routes_are_met_without_a_shuffle(spark, no_broadcast):
     """Records of one table and operation would meet in one task."""
     text = plan(spark, "cdc_route")
     assert "SortMergeJoin" not in text and "Exchange hashpartitioning" not in text
+
+
+def test_dimension_rules_are_met_without_a_sort(spark, no_broadcast):
+    """Records of one table would be sorted in one task."""
+    assert "SortMergeJoin" not in plan(spark, "cdc_dims_by_config")

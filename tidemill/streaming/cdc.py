@@ -129,7 +129,8 @@ def dim_changes(envelopes: DataFrame, rules: DataFrame) -> DataFrame:
     rows = envelopes.where((F.col("op") != "d") & F.col("after").isNotNull()).select(
         _table().alias("_t"), once(F.from_json("after", "map<string,string>")).alias("_row"), "ts_ms"
     )
-    joined = rows.join(rules, F.col("_t") == F.col("source_table"))
+    # rules are a handful of rows of configuration; without the hint all records of a table meet in one task
+    joined = rows.join(F.broadcast(rules), F.col("_t") == F.col("source_table"))
     keep = F.split("sink_columns", ",")
     return joined.select(
         "sink_table", F.col("_row")[F.col("sink_row_key")].alias("row_key"),
