@@ -25,16 +25,16 @@ BATCHES = 5
 LATE, AGAIN, CUT = (17, 3), (11, 5), (29, 1)
 
 
-def in_batches(i: Inputs, parts: Iterable[DataFrame], files: int, name: str, fmt: str = "parquet", order: str | None = None) -> str:
+def in_batches(i: Inputs, parts: Iterable[DataFrame], files: int, name: str, fmt: str = "parquet", order: str | None = None, spread: bool = True) -> str:
     """Frames written one after the other, each as exactly ``files`` files, so that a stream of ``files`` files a batch reads one
     frame a batch whatever its size; the folder. With ``order`` the rows of a file are in falling order of it.
 
     A large table in one file a batch would pass through one task; in as many files as tasks happen to write, a batch would hold
-    a piece of a frame, and pieces come in no order of time.
+    a piece of a frame, and pieces come in no order of time. Frames that lie in ``files`` tasks already need no ``spread``.
     """
     out = scratch(i.spark, name)
     for n, part in enumerate(parts):
-        part = part.repartition(files)
+        part = part.repartition(files) if spread else part
         part = part.sortWithinPartitions(F.col(order).desc()).drop(order) if order else part
         part.write.mode("append").format(fmt).save(out)
         # few or no rows leave tasks without a file
@@ -48,11 +48,21 @@ def files_of(rows: DataFrame) -> int:
     return rows.rdd.getNumPartitions()
 
 
+def spread_rows(rows: DataFrame, tasks: int) -> DataFrame:
+    """Rows in ``tasks`` tasks by a hash of all they hold. Not in turn, for which each task would sort its rows first: a file whose
+    rows are one block is read by one task, however many tasks its bytes are dealt to."""
+    plain = [f"`{f.name}`" for f in rows.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return rows.repartition(tasks, F.xxhash64(*plain))
+
+
 def dealt(i: Inputs, rows: DataFrame, name: str, fmt: str = "parquet", order: str | None = None, files: int = 1) -> str:
-    """Rows with a column ``_batch`` as ``files`` files a batch, in that order; the folder."""
-    rows = rows.persist()
+    """Rows with a column ``_batch`` as ``files`` files a batch, in that order; the folder.
+
+    The rows are read once and spread before they are kept: kept as they are read, those of one block would be one task's in every batch.
+    """
+    rows = spread_rows(rows, files).persist()
     try:
-        return in_batches(i, (rows.where(F.col("_batch") == n).drop("_batch") for n in range(BATCHES)), files, name, fmt, order)
+        return in_batches(i, (rows.where(F.col("_batch") == n).drop("_batch") for n in range(BATCHES)), files, name, fmt, order, spread=False)
     finally:
         rows.unpersist()
 

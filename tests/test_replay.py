@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from bindings import replay
 from bindings.inputs import Inputs
 from bindings.live import stream_of
 from bindings.replay import in_batches
@@ -41,3 +42,12 @@ def test_batches_of_few_or_no_rows(spark, fmt):
     folder = in_batches(i, parts, 3, "few", fmt)
     stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 3).format(fmt).load(folder)
     assert [n for n, in batches(spark, stream, F.count("*"))] == [50, 0, 1, 2, 40]
+
+
+def test_rows_of_one_block_are_kept_in_many_tasks(spark, many_tasks, monkeypatch):
+    """The tables' files hold one block each, which one task reads; kept so, each batch would be taken from that task's rows."""
+    orders, met = Inputs(spark, SMALL).table("orders"), []
+    monkeypatch.setattr(replay, "in_batches", lambda i, parts, *a, **k: met.extend(p.groupBy(F.spark_partition_id()).count().count() for p in parts))
+    files = replay.files_of(orders)
+    replay.dealt(Inputs(spark, SMALL), orders.withColumn("_batch", (F.col("o_orderkey") % 5).cast("int")), "x", files=files)
+    assert files > 1 and met == [files] * 5
