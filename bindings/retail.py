@@ -267,8 +267,9 @@ def fact_payment_success_by_status(i: Inputs):
 # A day in mid-range, so that both the day and the day before hold paid orders.
 @query(_PAY + "WHERE pay_dt = date '2000-06-11' AND dt IN (date '2000-06-11', date '2000-06-10')")
 def fact_payment_success_daily(i: Inputs):
-    return facts.fact_payment_success(i.raw_order_detail(), i.raw_payment(), i.raw_orders(), i.raw_detail_activity(),
-                                      i.raw_detail_coupon(), i.dictionary(), as_of="2000-06-11")
+    d = i.of_days("2000-06-10", "2000-06-11")
+    return facts.fact_payment_success(d.raw_order_detail(), d.raw_payment(), d.raw_orders(), d.raw_detail_activity(day=True),
+                                      d.raw_detail_coupon(day=True), i.dictionary(), as_of="2000-06-11")
 
 
 @query("SELECT id, user_id, sku_id, sku_name, sku_num FROM x_cart WHERE is_ordered = '0'")

