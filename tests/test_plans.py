@@ -64,3 +64,8 @@ def test_dimension_rules_are_met_without_a_sort(spark, no_broadcast):
 def test_benefits_of_lines_need_no_orders(spark, no_broadcast, name, times):
     """A join for the order's day alone would move all lines and orders once more for each benefit."""
     assert plan(spark, name).count("Exchange hashpartitioning(l_orderkey") == times
+
+
+def test_daily_payments_move_the_lines_of_their_days_only(spark):
+    files = QUERIES["fact_payment_success_daily"](spark, SMALL).inputFiles()
+    assert any("lines-of-days" in f for f in files) and not any("lineitem.parquet" in f for f in files)
