@@ -69,3 +69,9 @@ def test_benefits_of_lines_need_no_orders(spark, no_broadcast, name, times):
 def test_daily_payments_move_the_lines_of_their_days_only(spark):
     files = QUERIES["fact_payment_success_daily"](spark, SMALL).inputFiles()
     assert any("lines-of-days" in f for f in files) and not any("lineitem.parquet" in f for f in files)
+
+
+def test_dimensions_that_name_each_other_are_joined_first(spark, no_broadcast):
+    """The rows are moved for items, users and provinces; spu, category and brand meet the items."""
+    moved = [line for line in plan(spark, "enrich_order_detail").split("\n") if "Exchange hashpartitioning(coalesce(" in line and "order_detail_id" in line]
+    assert len(moved) == 3

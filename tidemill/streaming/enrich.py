@@ -30,14 +30,15 @@ def enrich_behaviour(behaviour: DataFrame, dims: Mapping[str, tuple[DataFrame, s
     return _chain(behaviour, dims, ["user_id", "sku_id", "category3_id", "page_id"])
 
 
-def _dim_fields(df: DataFrame, dim: DataFrame, key: Column, dim_key: str) -> DataFrame:
+def _dim_fields(df: DataFrame, dim: DataFrame, key: Column, dim_key: str, columns: Sequence[str] | None = None, prefix: str = "dim_") -> DataFrame:
     """Add ``dim_<column>`` fields; where an earlier dimension gave the same field, the later one wins if it has a value."""
-    joined = lookup_text(df, dim, key, dim_key, dim.columns, "_new_")
+    columns = dim.columns if columns is None else columns
+    joined = lookup_text(df, dim, key, dim_key, columns, "_new_")
     fields = {}
-    for c in dim.columns:
+    for c in columns:
         new = F.col(f"_new_{c}")
-        fields[f"dim_{c}"] = F.coalesce(new, F.col(f"dim_{c}")) if f"dim_{c}" in df.columns else new
-    return joined.withColumns(fields).drop(*[f"_new_{c}" for c in dim.columns])
+        fields[f"{prefix}{c}"] = F.coalesce(new, F.col(f"{prefix}{c}")) if f"{prefix}{c}" in df.columns else new
+    return joined.withColumns(fields).drop(*[f"_new_{c}" for c in columns])
 
 
 def _key_of(df: DataFrame, name: str, extra: Sequence[Column] = ()) -> Column:
@@ -49,6 +50,21 @@ def _key_of(df: DataFrame, name: str, extra: Sequence[Column] = ()) -> Column:
 ORDER_DETAIL_KEYS = ["sku_id", "spu_id", "category3_id", "tm_id", "user_id", "province_id"]
 
 
+def _completed(dims: Mapping[str, tuple[DataFrame, str]], keys: Sequence[str], held: Sequence[str]) -> list[tuple[str, DataFrame]]:
+    """The dimensions to join to the rows, by ``_key``. One whose key no record holds and one dimension before it gives is joined to that
+    dimension in place of the rows: each join of the rows moves them all."""
+    out: list[tuple[str, DataFrame]] = []
+    for key in keys:
+        dim, dim_key = dims[key]
+        givers = [n for n, (_, earlier) in enumerate(out) if key in earlier.columns]
+        if key in held or len(givers) != 1:
+            out.append((key, dim.withColumn("_key", F.col(dim_key))))
+        else:
+            first, giver = out[givers[0]]
+            out[givers[0]] = first, _dim_fields(giver, dim, F.col(key), dim_key, prefix="")
+    return out
+
+
 def enrich_order_detail(raw: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> tuple[DataFrame, DataFrame]:
     """Wide order records as text -> (rows with the fields of six dimensions and amounts as DOUBLE, dirty records).
 
@@ -58,9 +74,8 @@ def enrich_order_detail(raw: DataFrame, dims: Mapping[str, tuple[DataFrame, str]
     both = parse(filled, ORDER_WIDE)
     dirty = both.where(F.col("bad").isNotNull()).select(F.col("bad").alias("raw"), F.lit("JSON").alias("error"))
     rows = both.where(F.col("bad").isNull()).select("record.*").drop("_corrupt")
-    for key in ORDER_DETAIL_KEYS:
-        dim, dim_key = dims[key]
-        rows = _dim_fields(rows, dim, _key_of(rows, key), dim_key)
+    for key, dim in _completed(dims, ORDER_DETAIL_KEYS, rows.columns):
+        rows = _dim_fields(rows, dim, _key_of(rows, key), "_key", [c for c in dim.columns if c != "_key"])
     amounts = {"order_amount": "order_price", "payment_amount": "pay_amount"}
     bad = [
         F.when(F.col(source).isNotNull() & F.col(source).try_cast("double").isNull(), F.concat(F.lit(f"{source}: "), source))
