@@ -75,3 +75,11 @@ def test_dimensions_that_name_each_other_are_joined_first(spark, no_broadcast):
     """The rows are moved for items, users and provinces; spu, category and brand meet the items."""
     moved = [line for line in plan(spark, "enrich_order_detail").split("\n") if "Exchange hashpartitioning(coalesce(" in line and "order_detail_id" in line]
     assert len(moved) == 3
+
+
+def test_stream_dimensions_stay_off_the_driver(spark):
+    from bindings.changes import pay_rows
+    from bindings.inputs import Inputs
+
+    text = pay_rows(Inputs(spark, SMALL), live=True)._jdf.queryExecution().logical().toString()
+    assert text.count("strategy=merge") + text.count("UnresolvedHint merge") + text.count("ResolvedHint (strategy=merge)") >= 2

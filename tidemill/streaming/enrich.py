@@ -118,6 +118,9 @@ def enrich_payments(payments: DataFrame, users: DataFrame, sku: DataFrame) -> Da
     u = users.select(F.col("id").alias("_uid"), F.col("gender").alias("user_gender"), F.col("age").alias("user_age"))
     s = sku.select(F.col("id").alias("_sid"), "sku_name", F.col("category3_id").alias("category"))
     valid = payments.where(F.col("payment_id").isNotNull())
+    if payments.isStreaming:
+        # every batch would send a broadcast dimension to the driver again
+        u, s = u.hint("merge"), s.hint("merge")
     return lookup(lookup(valid, u, "user_id", "_uid"), s, "sku_id", "_sid")
 
 
