@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from bindings.ctes import cte
 from bindings.inputs import Inputs
 from bindings.register import big, dbl, query
-from bindings.replay import batch_of, dealt, faulty_lines, faulty_sql, files_of, in_batches
+from bindings.replay import batch_of, dealt, faulty_lines, faulty_sql, files_of
 from tidemill.functions import items, text
 from tidemill.functions.columns import money
 from tidemill.session import scratch
@@ -23,11 +23,10 @@ def stream_of(i: Inputs, name: str, by: str | None = None):
     if (name, by) not in i.folders:
         at = F.col(by) if schema[by].dataType.typeName() in ("long", "integer") else F.unix_micros(F.col(by).cast("timestamp"))
         cuts = table.agg(F.percentile_approx(at, [0.2, 0.4, 0.6, 0.8])).first()[0] or []
-        parts = []
-        for low, high in zip([None, *cuts], [*cuts, None]):
-            part = table if low is None else table.where(at > low)
-            parts.append(part if high is None else part.where(at <= high))
-        i.folders[name, by] = in_batches(i, parts, files_of(table), f"stream-of-{name}"), files_of(table)
+        batch = F.lit(0)
+        for cut in cuts:
+            batch = batch + F.coalesce((at > cut).cast("int"), F.lit(0))
+        i.folders[name, by] = dealt(i, table.withColumn("_batch", batch), f"stream-of-{name}", files=files_of(table)), files_of(table)
     out, files = i.folders[name, by]
     df = i.spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(out)
     return df.withColumns({f.name: F.col(f.name).cast("timestamp") for f in schema if f.dataType.typeName() == "timestamp_ntz"})
