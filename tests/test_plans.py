@@ -83,3 +83,8 @@ def test_stream_dimensions_stay_off_the_driver(spark):
 
     text = pay_rows(Inputs(spark, SMALL), live=True)._jdf.queryExecution().logical().toString()
     assert text.count("strategy=merge") + text.count("UnresolvedHint merge") + text.count("ResolvedHint (strategy=merge)") >= 2
+
+
+def test_change_records_are_made_from_one_reading_of_spread_rows(spark):
+    text = plan(spark, "cdc_order_wide")
+    assert text.count("FileScan parquet [l_orderkey") == 2 and text.count("REPARTITION_BY_COL") >= 2 and "BroadcastHashJoin" not in text
