@@ -339,6 +339,24 @@ def test_snapshot_completion_after_quiet_time(spark, tmp_path):
     assert [(table, reason) for table, _, reason in done] == [("t", "quiet")]
 
 
+def test_snapshot_state_has_few_tasks(spark, monkeypatch):
+    """Every task of the state starts a Python worker in every batch; there is one row a table."""
+    from bindings import changes
+    from bindings.catalog import QUERIES
+
+    kept, run = scratch(spark, "few-tasks"), streams.run_until_idle
+    monkeypatch.setattr(changes.streams, "run_until_idle", lambda *a, **b: run(*a, checkpoint=kept, **b))
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        done = QUERIES["stream_snapshot_completion"](spark, "/root/testdata/sf0.001").collect()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "24"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+    assert sorted((r["table"], r["reason"]) for r in done) == [("base_supplier", "quiet"), ("order_info", "change")]
+    assert len([n for n in os.listdir(f"{kept}/state/0") if n.isdigit()]) <= 8
+
+
 def test_running_aggregate_is_upserted(spark, tmp_path, as_rows):
     rng = random.Random(8)
     rows = [{"order_detail_id": f"d{rng.randrange(5)}", "order_id": 1, "user_id": 2, "sku_id": None, "order_amount": rng.choice([None, 1.0 * n]), "pay_amount": None,

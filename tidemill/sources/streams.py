@@ -80,17 +80,28 @@ def run_to_parquet(stream: DataFrame, name: str, mode: str = "append") -> DataFr
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def run_until_idle(stream: DataFrame, name: str, mode: str = "append", linger: float = 0.0, checkpoint: str | None = None, out: str | None = None) -> DataFrame:
+def run_until_idle(stream: DataFrame, name: str, mode: str = "append", linger: float = 0.0, checkpoint: str | None = None, out: str | None = None,
+                   state_tasks: int | None = None) -> DataFrame:
     """Run a stream whose state knows processing time until its sources have nothing new, and return what it wrote.
 
     Such a query always has one more batch to run, so it never ends under ``availableNow``. Here it runs under a processing-time
     trigger and is stopped once its sources have stood still for ``linger`` seconds, time for its timers to fire. A later run with
     the same ``checkpoint`` and ``out`` goes on from there.
+
+    ``state_tasks`` bounds the tasks of a state that stays small whatever the rows: each of them starts a state store and a Python worker in
+    every batch, idle ones too. A state that grows with its rows keeps the session's shuffle partitions.
     """
     spark = stream.sparkSession
     out, checkpoint = out or scratch(spark, name), checkpoint or scratch(spark, f"{name}-checkpoint")
-    query = (stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint).option("path", out)
-             .trigger(processingTime="200 milliseconds").start())
+    writer = (stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint).option("path", out)
+              .trigger(processingTime="200 milliseconds"))
+    # a query takes the settings of its session when it starts, and keeps their number of tasks in its checkpoint
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(tasks), state_tasks or int(tasks))))
+    try:
+        query = writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
     still, first = None, None
     try:
         while not query.awaitTermination(0.2):
