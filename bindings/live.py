@@ -355,7 +355,7 @@ def user_order_window(i: Inputs):
 
 @query(_user_orders(f"WHERE {closed(60, 'ms', '(SELECT max(ms) FROM t_ord)')}"))
 def stream_user_order_window(i: Inputs):
-    return streams.run_to_parquet(windows.user_order_window(enriched_orders(i, live=True)), "user-orders")
+    return jobs.closed_windows_job(windows.user_order_rows(enriched_orders(i, live=True)), windows.user_order_totals)
 
 
 @query(f"""

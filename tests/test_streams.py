@@ -1,5 +1,6 @@
 """Streams fed in several files against their batch counterparts, with late, doubled and broken input."""
 
+import glob
 import json
 import os
 import random
@@ -357,6 +358,16 @@ def test_snapshot_state_has_few_tasks(spark, monkeypatch):
     assert len([n for n in os.listdir(f"{kept}/state/0") if n.isdigit()]) <= 8
 
 
+def test_closed_windows_pass_one_state_store(spark):
+    """All parts of a window come with the batch that closes it, so adding them up needs no state of its own."""
+    from bindings.catalog import QUERIES
+
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{root}/*-checkpoint-*/state/*"))
+    assert QUERIES["stream_user_order_window"](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(set(glob.glob(f"{root}/*-checkpoint-*/state/*")) - before) == 1
+
+
 def test_running_aggregate_is_upserted(spark, tmp_path, as_rows):
     rng = random.Random(8)
     rows = [{"order_detail_id": f"d{rng.randrange(5)}", "order_id": 1, "user_id": 2, "sku_id": None, "order_amount": rng.choice([None, 1.0 * n]), "pay_amount": None,

@@ -143,18 +143,27 @@ def payment_5min(payments: DataFrame, size: str = "5 minutes") -> DataFrame:
     return _bounds(counted, "window_gmv", "window_payments", "window_users")
 
 
-def user_order_window(orders: DataFrame, size: str = "1 minute") -> DataFrame:
-    """Orders, refunds and sums per user and window; an order's rows count as one order."""
+def user_order_rows(orders: DataFrame, size: str = "1 minute") -> DataFrame:
+    """Refunds and sums per window, user and order; on a stream all rows of a window come with the batch that closes it."""
     rows = orders.where(F.col("user_id").isNotNull())
-    per_order = rows.groupBy(_windowed(rows, size).alias("window"), "user_id", "order_id").agg(
+    return rows.groupBy(_windowed(rows, size).alias("window"), "user_id", "order_id").agg(
         count_where(F.col("refund_amount") > 0).alias("refund_ct"),
         *[F.sum(c).alias(f"{c}_sum") for c in ("order_amount", "refund_amount", "coupon_amount")],
     )
+
+
+def user_order_totals(per_order: DataFrame) -> DataFrame:
+    """``user_order_rows`` per user and window; an order's rows count as one order."""
     sums = ["refund_ct", "order_amount_sum", "refund_amount_sum", "coupon_amount_sum"]
     counted = per_order.groupBy("window", "user_id").agg(F.count("order_id").alias("order_ct"), *[F.sum(c).alias(c) for c in sums])
     return _bounds(counted, "user_id", "order_ct", *sums)
 
 
+def user_order_window(orders: DataFrame, size: str = "1 minute") -> DataFrame:
+    """Orders, refunds and sums per user and window; an order's rows count as one order."""
+    return user_order_totals(user_order_rows(orders, size))
+
+
 def platform_stats(orders: DataFrame, size: str = "1 minute") -> DataFrame:
     """Users, orders, amount and mean order per channel and window."""
     rows = orders.where(F.col("channel").isNotNull() & F.col("user_id").isNotNull())
