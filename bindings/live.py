@@ -115,7 +115,8 @@ UNION ALL SELECT 'action', uid, ms FROM r_ok WHERE event_type = 'click' UNION AL
 
 
 def _sent(df):
-    return df.select("topic", F.get_json_object("value", "$.common.uid").alias("uid"), F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
+    record = F.from_json("value", "common struct<uid: string>, ts bigint")
+    return df.select("topic", streams.once(record).alias("r")).select("topic", F.col("r.common.uid").alias("uid"), F.col("r.ts").alias("ts"))
 
 
 @query(_ROUTED)

@@ -88,3 +88,8 @@ def test_stream_dimensions_stay_off_the_driver(spark):
 def test_change_records_are_made_from_one_reading_of_spread_rows(spark):
     text = plan(spark, "cdc_order_wide")
     assert text.count("FileScan parquet [l_orderkey") == 2 and text.count("REPARTITION_BY_COL") >= 2 and "BroadcastHashJoin" not in text
+
+
+def test_sent_records_are_read_back_with_one_parse(spark):
+    text = plan(spark, "stream_topic_routing")
+    assert "get_json_object" not in text and len(re.findall(r"Generate explode\(array\(from_json", text)) == 1
