@@ -90,13 +90,14 @@ class Inputs:
     def raw_detail_activity(self, day: bool = False) -> DataFrame:
         activity = F.round(F.col("l_discount") * 100).cast("bigint")
         return self._with_day(self.table("lineitem").where(F.col("l_discount") > 0), day).select(
-            self.line_id().alias("order_detail_id"), activity.alias("activity_id"),
+            F.col("l_orderkey").alias("order_id"), self.line_id().alias("order_detail_id"), activity.alias("activity_id"),
             (activity * 10 + F.col("l_linenumber")).alias("activity_rule_id"), *(["ds"] if day else []),
         )
 
     def raw_detail_coupon(self, day: bool = False) -> DataFrame:
         return self._with_day(self.table("lineitem").where(F.col("l_tax") > 0), day).select(
-            self.line_id().alias("order_detail_id"), F.round(F.col("l_tax") * 100).cast("bigint").alias("coupon_id"), *(["ds"] if day else []),
+            F.col("l_orderkey").alias("order_id"), self.line_id().alias("order_detail_id"),
+            F.round(F.col("l_tax") * 100).cast("bigint").alias("coupon_id"), *(["ds"] if day else []),
         )
 
     def raw_payment(self) -> DataFrame:

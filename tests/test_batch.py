@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import columns as c
 from tidemill.functions import text
-from tidemill.operators.joins import full_join, region_chain
+from tidemill.operators.joins import full_join, lookup_within, region_chain
 from tidemill.operators.latest import dim_upsert_latest, latest_by_key, scd2_merge
 from tidemill.operators.recent import recent_days, roll_forward
-from tidemill.plans import dims, pages, products, reports, summaries, transport, visits
+from tidemill.plans import dims, facts, pages, products, reports, summaries, transport, visits
 from tidemill.streaming.dedup import dedup_bounded
 
 
@@ -259,3 +259,22 @@ def test_order_to_pay_is_rounded(spark):
         df = spark.createDataFrame(flow, "payment_date_id string, t string").select(
             "payment_date_id", F.col("t").cast("timestamp").alias("payment_time"), F.lit("2020-01-02").cast("timestamp").alias("order_time"))
         assert tuple(reports.order_to_pay_avg_seconds(df, "2020-01-02").first()) == (date(2020, 1, 2), want)
+
+
+def test_lookup_within_gives_what_a_left_join_gives(spark, as_rows):
+    """Two matches, two equal rows, no match, the key of another order, no key, no order."""
+    lines = spark.createDataFrame([(1, "a", 5), (1, "a", 6), (1, "b", 7), (2, "c", 8), (2, None, 9), (None, "a", 0)], "order_id long, id string, n int")
+    cuts = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (2, "b", "z"), (2, "c", None), (2, None, "v"), (None, "a", "w")],
+                                 "order_id long, line string, cut string")
+    got = lookup_within(lines, cuts, "order_id", "id", "line", ["cut"])
+    same = lines.join(cuts.withColumnRenamed("line", "id"), ["order_id", "id"], "left")
+    assert got.columns == ["order_id", "id", "n", "cut"] and as_rows(got) == as_rows(same) and got.count() == 8
+
+
+def test_benefits_without_an_order_are_met_by_line(spark, as_rows):
+    detail = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2)], "id string, order_id long")
+    activity = spark.createDataFrame([(1, "a", 3, 4), (2, "c", 5, 6)], "order_id long, order_detail_id string, activity_id int, activity_rule_id int")
+    coupon = spark.createDataFrame([(1, "b", 7)], "order_id long, order_detail_id string, coupon_id int")
+    want = [("a", 3, 4, None), ("b", None, None, 7), ("c", 5, 6, None)]
+    for a, b in ((activity, coupon), (activity.drop("order_id"), coupon), (activity.drop("order_id"), coupon.drop("order_id"))):
+        assert as_rows(facts._with_benefits(detail, a, b), "id", "activity_id", "activity_rule_id", "coupon_id") == want

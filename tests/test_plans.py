@@ -66,6 +66,13 @@ def test_benefits_of_lines_need_no_orders(spark, no_broadcast, name, times):
     assert plan(spark, name).count("Exchange hashpartitioning(l_orderkey") == times
 
 
+@pytest.mark.parametrize("name", ["fact_order_detail", "fact_payment_success", "fact_payment_success_by_status"])
+def test_benefits_come_to_the_lines(spark, no_broadcast, name):
+    """The rows of lines lie by their order; dealt by line for the benefits, all their columns would be moved once more."""
+    text = plan(spark, name)
+    assert "Exchange hashpartitioning(id#" not in text and text.count("Exchange hashpartitioning(_lookup_within") == 2
+
+
 def test_daily_payments_move_the_lines_of_their_days_only(spark):
     files = QUERIES["fact_payment_success_daily"](spark, SMALL).inputFiles()
     assert any("lines-of-days" in f for f in files) and not any("lineitem.parquet" in f for f in files)

@@ -29,6 +29,18 @@ def lookup(
     return df.join(slim, on, "left").drop("_lookup_key")
 
 
+def lookup_within(df: DataFrame, dim: DataFrame, within: str, key: str, dim_key: str, columns: Sequence[str]) -> DataFrame:
+    """``lookup`` by a key that belongs to one value of ``within``, a column of both sides; a NULL matches nothing.
+
+    Rows that joins before have dealt by ``within`` stay where they are, only the dimension is moved. As two equal columns
+    would deal both sides by both, the key is a range of one value. Each row is compared with all of the dimension's rows of its
+    ``within`` value, so these should be few, as the lines of an order are.
+    """
+    slim = dim.select(F.col(within).alias("_lookup_within"), F.col(dim_key).alias("_lookup_key"), *columns)
+    on = (df[within] == slim["_lookup_within"]) & df[key].between(slim["_lookup_key"], slim["_lookup_key"])
+    return df.join(slim, on, "left").drop("_lookup_within", "_lookup_key")
+
+
 BLANK_LANES = 4096
 
 

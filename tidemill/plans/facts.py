@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import Day, date_id, money, zero_if_null
-from tidemill.operators.joins import lookup, name_of_code
+from tidemill.operators.joins import lookup, lookup_within, name_of_code
 from tidemill.plans.dims import PAYMENT_TYPES
 
 # Status codes of the order systems.
@@ -27,8 +27,13 @@ def _priced(order_detail: DataFrame) -> DataFrame:
 
 
 def _with_benefits(detail: DataFrame, activity: DataFrame, coupon: DataFrame) -> DataFrame:
-    wide = lookup(detail, activity, "id", "order_detail_id", ["activity_id", "activity_rule_id"])
-    return lookup(wide, coupon, "id", "order_detail_id", ["coupon_id"])
+    """Promotion and coupon by line; where these name the line's order too, the lines stay with their order."""
+    for benefit, columns in ((activity, ["activity_id", "activity_rule_id"]), (coupon, ["coupon_id"])):
+        if "order_id" in benefit.columns:
+            detail = lookup_within(detail, benefit, "order_id", "id", "order_detail_id", columns)
+        else:
+            detail = lookup(detail, benefit, "id", "order_detail_id", columns)
+    return detail
 
 
 def _amounts():
