@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from bindings import replay
+from bindings import changes, replay
 from bindings.inputs import Inputs
 from bindings.live import stream_of
 from bindings.replay import in_batches
@@ -68,3 +68,22 @@ def test_batches_of_a_table_leave_no_shuffle_files(spark):
     while files() - before and time.monotonic() < until:
         time.sleep(0.2)
     assert not files() - before and spark.read.parquet(folder).count() == 5000
+
+
+def test_only_rows_in_few_blocks_are_spread(spark, tmp_path):
+    rows = spark.range(4000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    rows.repartition(24).write.parquet(f"{tmp_path}/many")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/one")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        spread = {}
+        for name in ("many", "one"):
+            df = spark.read.parquet(f"{tmp_path}/{name}")
+            assert replay.files_of(df) > 8
+            out = changes.envelopes_of(df, ["id"], (None, F.col("text")), (F.col("id") > 9, F.col("text")))
+            spread[name] = "REPARTITION_BY_COL" in out._jdf.queryExecution().executedPlan().toString()
+            assert out.count() == 7990
+        assert spread == {"many": False, "one": True}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -445,6 +445,47 @@ def test_wide_orders_job_keeps_no_state(spark, tmp_path, monkeypatch):
     assert made and all(os.path.exists(path) for path in made) and not any(os.path.exists(f"{path}/state") for path in made)
 
 
+@pytest.fixture
+def few_bytes(spark, monkeypatch):
+    """Any records are many; four buckets."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    monkeypatch.setattr(cdc, "LOG_BYTES", -1)
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def odd_changes():
+    """Equal times, equal rows, keys that are missing, tables that are not wanted, rows without ``after``."""
+    rng, out = random.Random(21), []
+    for _ in range(400):
+        o, d, t = rng.randrange(12), rng.randrange(30), rng.randrange(3)
+        some = {"order_id": o, "sku_id": rng.randrange(4), "sku_name": rng.choice("ab"), "activity_id": rng.randrange(3), "coupon_id": rng.randrange(3),
+                "user_id": rng.randrange(5), "total_amount": rng.randrange(3), "refund_amount": rng.randrange(3), "refund_create_time": rng.randrange(2)}
+        after = {k: v for k, v in some.items() if rng.random() < 0.8}
+        table = rng.choice([*cdc.WIDE_TABLES, "user_info"])
+        key = {"order_detail": {"id": d}, "order_info": {"id": o}, "order_detail_activity": {"order_detail_id": d}, "order_detail_coupon": {"order_detail_id": d}}.get(table, {"id": d})
+        out.append(change(table, "u", t, **after, **({} if rng.random() < 0.05 else key)))
+    return [*out, *out[:50], {"op": "d", "source": {"db": "d", "table": "order_detail"}, "ts_ms": 9}]
+
+
+@pytest.mark.parametrize("changes", [order_changes, odd_changes])
+def test_wide_orders_of_many_records(spark, tmp_path, as_rows, few_bytes, changes):
+    """Many records are reduced from files by key, and the same rows come out; nothing is shuffled, and what was reduced is gone."""
+    rows = changes()
+    folder = feed(tmp_path, [rows[:7], rows[7:20], rows[20:]])
+    envelopes = streams.parsed(batch(spark, folder), schemas.ENVELOPE)
+    want = cdc.wide_of_rows(cdc.order_rows(envelopes))
+    got = cdc.cdc_order_wide(envelopes)
+    assert got.columns == want.columns and as_rows(got) == as_rows(want) and got.count() > 10
+    assert "Exchange hashpartitioning" in want._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    streamed = jobs.order_wide_job(streams.parsed(live(spark, folder), schemas.ENVELOPE))
+    assert as_rows(streamed, *want.columns) == as_rows(want)
+    kept = spark.conf.get("spark.checkpoint.dir")
+    assert glob.glob(f"{kept}/wide_rows-*/side=order") and not glob.glob(f"{kept}/wide_rows-*/side=detail-*")
+
+
 def test_lifecycle_events_in_one_pass(spark, as_rows):
     lines = spark.createDataFrame([("a", 1, 5, 3, True, True), ("b", 2, 6, 4, False, False), (None, 3, 7, 4, True, True)],
                                   "order_detail_id string, order_id int, user_id int, sku_id int, paid boolean, back boolean")
